@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, packing, secrets
+from . import chat, decontaminate, exact_dedup, mixing, packing, quality, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,14 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"))
+
+
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), keep="max")
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -58,6 +66,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
+    "op3_quality": op3_quality,
+    "op4_mix": op4_mix,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_chat": op7_chat,
     "op10_secret_scan": op10_secret_scan,
