@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, ascii_lower_tokens
 
-MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+#: Powers of an odd number: shingles of up to 64 words.
+POWERS = np.multiply.accumulate(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
 #: Counters of the frequency sketch, and how many of them make a row of it.
-SKETCH, SKETCH_ROW = 1 << 18, 1 << 12
+SKETCH_BITS, SKETCH_ROW = 21, 1 << 15
 #: Pivots a class is compared with.
 PIVOTS = 4
 #: 64-bit words of the filter that spares sets which no pair asks for; a full filter only spares nothing.
@@ -55,17 +56,26 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     k = min(width, len(words))
     total = np.full(len(words) - k + 1, k, np.uint64)
-    for i in range(k):
-        total += _mix(h[i : len(h) - k + 1 + i] * MULTIPLIERS[i % 5] + np.uint64(i))
+    for i in range(k):  # a polynomial in an odd number, different for each place
+        total += h[i : len(h) - k + 1 + i] * POWERS[i]
     return np.unique(_mix(total))
 
 
+def _counter(found: np.ndarray) -> np.ndarray:
+    """Counters of shingles in the sketch."""
+    return (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
 def class_of(found: np.ndarray) -> tuple[int, int]:
     """Two signed 64-bit hashes of a set."""
     data = found.tobytes()
     return xxhash.xxh64_intdigest(data) - (1 << 63), xxhash.xxh64_intdigest(data, 7) - (1 << 63)
 
 
+def text_id(text: str | None) -> int:
+    return xxhash.xxh3_64_intdigest((text or "").encode()) - (1 << 63)
+
+
 def prefix_length(n, percent: int):
     """Short lists of a set of n: a partner shares at least ceil(n * percent / 100) shingles."""
     return n - (n * percent + 99) // 100 + 1
@@ -73,37 +83,40 @@ def prefix_length(n, percent: int):
 
 def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """Rows of documents (id, size, class, min-hashes) and, with a null class, rows of the frequency sketch."""
-    salts = _mix(np.arange(1, PIVOTS + 1, dtype=np.uint64) * MULTIPLIERS[0])
+    salts = _mix(POWERS[:PIVOTS]) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, seen = np.zeros(SKETCH, np.int64), set()
+        sketch, seen = np.zeros(1 << SKETCH_BITS, np.uint32), set()
 
-        def out(ids, n, c1, c2, lows, part, counts):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(lows, pa.list_(pa.int64())), pa.array(part, pa.int64()), pa.array(counts, pa.binary())],
-                ["doc_id", "n", "c1", "c2", "lows", "part", "counts"],
-            )
+        def out(ids, n, c1, c2, text, lows, part, counts):
+            longs = [pa.array(x, pa.int64()) for x in (ids, n, c1, c2, text)]
+            arrays = [*longs, pa.array(lows, pa.list_(pa.int64())), pa.array(part, pa.int64()), pa.array(counts, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "c1", "c2", "text_id", "lows", "part", "counts"])
 
         for batch in batches:
-            n, ones, twos, lows = [], [], [], []
+            n, ones, twos, texts, lows, new = [], [], [], [], [], []
             for text in batch.column(1):
-                found = shingles(text.as_py(), width)
+                text = text.as_py()
+                found = shingles(text, width)
                 c1, c2 = class_of(found)
+                texts.append(text_id(text))
                 n.append(len(found))
                 ones.append(c1)
                 twos.append(c2)
-                lows.append([int(_mix(found ^ s).min().astype(np.int64)) for s in salts] if len(found) else [])
+                lows.append([int((found * s).min().astype(np.int64)) for s in salts] if len(found) else [])
                 if c1 not in seen:
                     seen.add(c1)
-                    np.add.at(sketch, (found >> np.uint64(46)).astype(np.int64), 1)
-            k = len(n)
-            yield out(batch.column(0), n, ones, twos, lows, [None] * k, [None] * k)
+                    new.append(found)
+            at, k = _counter(np.concatenate(new)) if new else np.empty(0, np.int64), len(n)
+            at, times = np.unique(at, return_counts=True)
+            sketch[at] += times.astype(np.uint32)
+            yield out(batch.column(0), n, ones, twos, texts, lows, [None] * k, [None] * k)
         rows = sketch.reshape(-1, SKETCH_ROW)
         used = np.flatnonzero(rows.any(axis=1)).tolist()
         none = [None] * len(used)
-        yield out(none, none, none, none, none, used, [rows[i].tobytes() for i in used])
+        yield out(none, none, none, none, none, none, used, [rows[i].tobytes() for i in used])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n long, c1 long, c2 long, lows array<long>, part long, counts binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n long, c1 long, c2 long, text_id long, lows array<long>, part long, counts binary")
 
 
 def _sketch(scanned: DataFrame) -> np.ndarray:
@@ -113,22 +126,21 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.uint32)
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([c.tobytes() for c in total.values()], pa.binary())], ["part", "counts"])
 
     schema = "part long, counts binary"
     rows = scanned.where("part is not null").select("part", "counts").mapInArrow(add, schema).repartition(8, "part").mapInArrow(add, schema)
-    sketch = np.zeros((SKETCH // SKETCH_ROW, SKETCH_ROW), np.int64)
+    sketch = np.zeros(((1 << SKETCH_BITS) // SKETCH_ROW, SKETCH_ROW), np.uint32)
     for r in rows.collect():
-        sketch[r["part"]] = np.frombuffer(r["counts"], np.int64)
+        sketch[r["part"]] = np.frombuffer(r["counts"], np.uint32)
     return sketch.ravel()
 
 
 def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, percent: int) -> DataFrame:
     """(shingle, c1, n, place): the short lists' postings, one class at most once a partition."""
-    order = np.searchsorted(np.unique(sketch), sketch).astype(np.uint32)
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, seen = shared.value, set()
@@ -140,7 +152,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, pe
                 if c1 in seen or not len(found):
                     continue
                 seen.add(c1)
-                first = np.lexsort((found, rank[(found >> np.uint64(46)).astype(np.int64)]))[: prefix_length(len(found), percent)]
+                first = np.argsort(rank[_counter(found)], kind="stable")[: prefix_length(len(found), percent)]
                 held.append((found[first].astype(np.int64), c1, len(found)))
             if held:
                 sizes = np.array([len(x) for x, _, _ in held])
@@ -158,10 +170,13 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, pe
     return docs.select(F.lit(0), F.col(text_col).cast("string")).mapInArrow(run, "shingle long, c1 long, n long, place long")
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, text_col: str, width: int) -> DataFrame:
-    """(c1, shingles) of the classes that pairs (a, b) ask for, and a few others; a class at most once a partition."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("c1"))
-    words = asked.selectExpr(f"shiftright(pmod(c1, {FILTER_WORDS * 64}L), 6) as word", "shiftleft(1L, cast(pmod(c1, 64L) as int)) as bits")
+def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, text_col: str, width: int) -> DataFrame:
+    """(c1, shingles) of the classes that pairs (a, b) ask for.
+
+    Each class is read from one of its texts; a filter of fixed size over the texts' hashes spares shingling the others.
+    """
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
+    words = classes.join(asked, "c1", "left_semi").selectExpr(f"shiftright(pmod(text_id, {FILTER_WORDS * 64}L), 6) as word", "shiftleft(1L, cast(pmod(text_id, 64L) as int)) as bits")
     filled = np.zeros(FILTER_WORDS, np.int64)
     for r in words.groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
         filled[r["word"]] = r["bits"]
@@ -172,22 +187,25 @@ def _sets(docs: DataFrame, pairs: DataFrame, text_col: str, width: int) -> DataF
         for batch in batches:
             ones, sets = [], []
             for text in batch.column(1):
-                found = shingles(text.as_py(), width)
+                text = text.as_py()
+                slot = text_id(text) % (FILTER_WORDS * 64)
+                if not int(bits[slot >> 6]) >> (slot & 63) & 1:
+                    continue
+                found = shingles(text, width)
                 c1 = class_of(found)[0]
-                slot = c1 % (FILTER_WORDS * 64)
-                if c1 not in seen and int(bits[slot >> 6]) >> (slot & 63) & 1:
+                if c1 not in seen:
                     seen.add(c1)
                     ones.append(c1)
                     sets.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ones, pa.int64()), pa.array(sets, pa.binary())], ["c1", "shingles"])
 
     found = docs.select(F.lit(0), F.col(text_col).cast("string")).mapInArrow(run, "c1 long, shingles binary")
-    return found.join(asked.distinct(), "c1", "left_semi").groupBy("c1").agg(F.first("shingles").alias("shingles"))
+    return found.join(asked, "c1", "left_semi").dropDuplicates(["c1"])
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, text_col: str, width: int, percent: int) -> DataFrame:
+def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str, text_col: str, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that link, decided on whole sets."""
-    sets = scratch.table(_sets(docs, pairs, text_col, width), f"{name}-sets")
+    sets = scratch.table(_sets(docs, pairs, classes, text_col, width), f"{name}-sets")
     left = pairs.join(sets.withColumnsRenamed({"c1": "a", "shingles": "x"}), "a")
     both = left.join(sets.withColumnsRenamed({"c1": "b", "shingles": "y"}), "b").select("a", "b", "x", "y")
 
@@ -206,19 +224,47 @@ def _linked(docs: DataFrame, pairs: DataFrame, scratch: Scratch, name: str, text
     return links
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of one partition as stars: each node with the least node of its part."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := root.get(top, top)) != top:
+            top = up
+        while root.get(x, x) != top:
+            root[x], x = top, root[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+            root.setdefault(min(a, b), min(a, b))
+    pairs = [(x, t) for x in root if (t := find(x)) != x]
+    for at in range(0, len(pairs), 8192):
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs[at : at + 8192], strict=True)], ["a", "b"])
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(node, component): the least node that is connected with each node of edges (a, b), by alternating large and small stars."""
-    edges = scratch.table(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
+    """(node, component): the least node that is connected with each node of edges (a, b), by alternating large and small stars.
+
+    Before the first round each partition replaces its edges by stars, so that rounds move about one edge a node.
+    """
+    thin = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).repartition("b").mapInArrow(_forest, "a long, b long")
+    edges = scratch.table(thin.distinct(), f"{name}-0")
     k, before = 0, None
     while True:
+        # large stars: the larger neighbours of a node go to the least of its neighbours
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = edges.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least.withColumnRenamed("a", "u"), "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).where("m < a")
+        moved = edges.join(least.select(F.col("a").alias("b"), "m"), "b", "left").select("a", F.coalesce("m", "b").alias("b"))
+        large = moved.union(edges.join(least.select(F.col("a").alias("b"), "m"), "b").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
+        # small stars: a node and its smaller neighbours go to the least of them
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = low.select("a", F.col("m").alias("b")).union(large.join(low.where("n > 1"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
         k += 1
-        edges = scratch.table(small.where("a <> b").distinct(), f"{name}-{k}")
+        edges = scratch.table(small.distinct(), f"{name}-{k}")
         scratch.drop(f"{name}-{k - 1}")
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
@@ -231,10 +277,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     scratch = Scratch(docs.sparkSession, "jaccard")
     scanned = scratch.table(_scan(docs, id_col, text_col, width), "scan")
     sketch = _sketch(scanned)
-    rows = scanned.where("part is null").select("doc_id", "n", "c1", "c2", "lows")
-    folded = rows.where("n > 0 and doc_id is not null").groupBy("c1").agg(F.min("doc_id").alias("node"), F.min("n").alias("n"), F.min("c2").alias("c2"), F.max("c2").alias("other"), F.min("lows").alias("lows"))
+    rows = scanned.where("part is null").select("doc_id", "n", "c1", "c2", "text_id", "lows")
+    folded = rows.where("n > 0 and doc_id is not null").groupBy("c1").agg(F.min("doc_id").alias("node"), F.min("n").alias("n"), F.min("c2").alias("c2"), F.max("c2").alias("other"), F.min("text_id").alias("text_id"), F.min("lows").alias("lows"))
     sure = F.when(F.col("c2") == F.col("other"), F.col("node")).otherwise(F.raise_error(F.lit("equal hashes of different sets")))
-    classes = scratch.table(folded.select("c1", sure.cast("long").alias("node"), "n", "lows"), "classes")
+    classes = scratch.table(folded.select("c1", sure.cast("long").alias("node"), "n", "text_id", "lows"), "classes")
 
     # Pivots: of the classes with one min-hash, the one with the least hash.
     by_low = classes.select("c1", "n", F.explode("lows").alias("low"))
@@ -243,7 +289,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     fits = f"a <> b and n * {percent} <= m * 100 and m * {percent} <= n * 100"
     stars = by_low.join(pivots, "low").select(F.col("c1").alias("a"), "b", "n", "m").where(fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     stars = scratch.table(stars, "stars")
-    first = _linked(docs, stars, scratch, "star", text_col, width, percent)
+    first = _linked(docs, stars, classes, scratch, "star", text_col, width, percent)
     near = components(first, scratch, "near")
 
     # Postings of the short lists whose shingle stands in more than one component.
@@ -271,7 +317,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     skipped = f"greatest(x_n - {prefix_sql('x_n', percent)}, y_n - {prefix_sql('y_n', percent)})"
     pair = meets.selectExpr("greatest(x_c1, y_c1) as a", "least(x_c1, y_c1) as b", f"{need} - {skipped} as least_meets").groupBy("a", "b").agg(F.count("*").alias("met"), F.max("least_meets").alias("least_meets"))
     candidates = scratch.table(pair.where("met >= least_meets").select("a", "b"), "candidates")
-    second = _linked(docs, candidates, scratch, "list", text_col, width, percent)
+    second = _linked(docs, candidates, classes, scratch, "list", text_col, width, percent)
 
     names = classes.select("c1", "node")
     links = first.union(second).join(names.withColumnsRenamed({"c1": "a", "node": "p"}), "a").join(names.withColumnsRenamed({"c1": "b", "node": "q"}), "b").select(F.col("p").alias("a"), F.col("q").alias("b"))
