@@ -9,9 +9,9 @@ Two sets x and y link when 100 * |x and y| >= percent * |x or y|, that is when t
   lists) are skipped, where p is such that a partner must occur on a short list. A pair that occurs c times on
   merged lists can share at most c + max(n - p) shingles, so pairs with less than T - max(n - p) occurrences go.
   The others are decided exactly: the shorter set is probed by binary search in the longer one.
-* Lists grow with groups of near copies. So before lists are merged, each class is compared with a few pivots, one for
-  each of its min-hashes; verified links make components. Only pairs of different components are looked for on
-  the lists, against the list's largest component, so that m near copies cost m comparisons, not m squared.
+* Lists grow with groups of near copies. So before lists are merged, classes are sorted by their min-hash signatures, in a
+  few rotations, and each is compared with its next neighbours; verified links make components. Only pairs of different components are looked for on
+  the lists, against the list's largest component, so that m near copies cost some m comparisons, not m squared.
   No link between different components is lost; inside a component no link can change the result.
 
 Defined results: a null, empty or blank text has an empty set, links with nothing and is its own component; with fewer
@@ -36,8 +36,8 @@ from .common import Scratch, ascii_lower_tokens
 POWERS = np.multiply.accumulate(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
 #: Counters of the frequency sketch, and how many of them make a row of it.
 SKETCH_BITS, SKETCH_ROW = 21, 1 << 15
-#: Pivots a class is compared with.
-PIVOTS = 4
+#: Min-hashes of a signature, its rotations that are sorted, neighbours that are compared, and min-hashes that these must share.
+SIGNATURE, ROTATIONS, NEIGHBOURS, ALIKE = 32, 4, 5, 20
 #: 64-bit words of the filter that spares sets which no pair asks for; a full filter only spares nothing.
 FILTER_WORDS = 1 << 17
 
@@ -83,15 +83,15 @@ def prefix_length(n, percent: int):
 
 def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """Rows of documents (id, size, class, min-hashes) and, with a null class, rows of the frequency sketch."""
-    salts = _mix(POWERS[:PIVOTS]) | np.uint64(1)
+    salts = _mix(POWERS[:SIGNATURE]) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = np.zeros(1 << SKETCH_BITS, np.uint32), set()
 
         def out(ids, n, c1, c2, text, lows, part, counts):
             longs = [pa.array(x, pa.int64()) for x in (ids, n, c1, c2, text)]
-            arrays = [*longs, pa.array(lows, pa.list_(pa.int64())), pa.array(part, pa.int64()), pa.array(counts, pa.binary())]
-            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "c1", "c2", "text_id", "lows", "part", "counts"])
+            arrays = [*longs, pa.array(lows, pa.binary()), pa.array(part, pa.int64()), pa.array(counts, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "c1", "c2", "text_id", "signature", "part", "counts"])
 
         for batch in batches:
             n, ones, twos, texts, lows, new = [], [], [], [], [], []
@@ -103,7 +103,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
                 n.append(len(found))
                 ones.append(c1)
                 twos.append(c2)
-                lows.append([int((found * s).min().astype(np.int64)) for s in salts] if len(found) else [])
+                lows.append(np.array([(found * s).min() >> np.uint64(32) for s in salts], ">u4").tobytes() if len(found) else None)
                 if c1 not in seen:
                     seen.add(c1)
                     new.append(found)
@@ -116,7 +116,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
         none = [None] * len(used)
         yield out(none, none, none, none, none, none, used, [rows[i].tobytes() for i in used])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n long, c1 long, c2 long, text_id long, lows array<long>, part long, counts binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n long, c1 long, c2 long, text_id long, signature binary, part long, counts binary")
 
 
 def _sketch(scanned: DataFrame) -> np.ndarray:
@@ -138,6 +138,36 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
     return sketch.ravel()
 
 
+def _neighbours(classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes that stand near each other in a sorted rotation of the signatures and share most of them."""
+    step = SIGNATURE // ROTATIONS * 4
+    turned = F.explode(F.array(*[F.struct(F.lit(r).alias("rotation"), F.concat(F.substring("signature", r * step + 1, 4 * SIGNATURE), F.substring("signature", 1, r * step)).alias("key")) for r in range(ROTATIONS)]))
+    rows = classes.select("c1", "n", turned.alias("t")).select("t.rotation", "t.key", "c1", "n").repartitionByRange("rotation", "key").sortWithinPartitions("rotation", "key", "c1")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(-1, SIGNATURE)
+            here = [batch.column(0).to_numpy(), keys, batch.column(2).to_numpy(), batch.column(3).to_numpy()]
+            new = len(last[0]) if last else 0
+            turn, key, c1, n = (np.concatenate([o, h]) for o, h in zip(last, here, strict=True)) if last else here
+            found = []
+            for lag in range(1, min(NEIGHBOURS, len(c1) - 1) + 1):
+                first = max(0, new - lag)
+                x, y = slice(first, len(c1) - lag), slice(first + lag, len(c1))
+                fits = (n[x] * percent <= n[y] * 100) & (n[y] * percent <= n[x] * 100) & (turn[x] == turn[y])
+                fits &= (key[x] == key[y]).sum(axis=1) >= ALIKE
+                found.append(np.stack([np.maximum(c1[x], c1[y])[fits], np.minimum(c1[x], c1[y])[fits]]))
+            last = [v[-NEIGHBOURS:] for v in (turn, key, c1, n)]
+            if found:
+                a, b = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, percent: int) -> DataFrame:
     """(shingle, c1, n, place): the short lists' postings, one class at most once a partition."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
@@ -277,18 +307,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     scratch = Scratch(docs.sparkSession, "jaccard")
     scanned = scratch.table(_scan(docs, id_col, text_col, width), "scan")
     sketch = _sketch(scanned)
-    rows = scanned.where("part is null").select("doc_id", "n", "c1", "c2", "text_id", "lows")
-    folded = rows.where("n > 0 and doc_id is not null").groupBy("c1").agg(F.min("doc_id").alias("node"), F.min("n").alias("n"), F.min("c2").alias("c2"), F.max("c2").alias("other"), F.min("text_id").alias("text_id"), F.min("lows").alias("lows"))
+    rows = scanned.where("part is null").select("doc_id", "n", "c1", "c2", "text_id", "signature")
+    folded = rows.where("n > 0 and doc_id is not null").groupBy("c1").agg(F.min("doc_id").alias("node"), F.min("n").alias("n"), F.min("c2").alias("c2"), F.max("c2").alias("other"), F.min("text_id").alias("text_id"), F.min("signature").alias("signature"))
     sure = F.when(F.col("c2") == F.col("other"), F.col("node")).otherwise(F.raise_error(F.lit("equal hashes of different sets")))
-    classes = scratch.table(folded.select("c1", sure.cast("long").alias("node"), "n", "text_id", "lows"), "classes")
-
-    # Pivots: of the classes with one min-hash, the one with the least hash.
-    by_low = classes.select("c1", "n", F.explode("lows").alias("low"))
-    pivots = by_low.groupBy("low").agg(F.min(F.struct("n", F.xxhash64("c1").alias("h"), "c1")).alias("pivot"), F.max("c1").alias("most"), F.min("c1").alias("least"))
-    pivots = scratch.table(pivots.where("most > least").select("low", F.col("pivot.c1").alias("b"), F.col("pivot.n").alias("m")), "pivots")
-    fits = f"a <> b and n * {percent} <= m * 100 and m * {percent} <= n * 100"
-    stars = by_low.join(pivots, "low").select(F.col("c1").alias("a"), "b", "n", "m").where(fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    stars = scratch.table(stars, "stars")
+    classes = scratch.table(folded.select("c1", sure.cast("long").alias("node"), "n", "text_id", "signature"), "classes")
+
+    stars = scratch.table(_neighbours(classes, percent), "stars")
     first = _linked(docs, stars, classes, scratch, "star", text_col, width, percent)
     near = components(first, scratch, "near")
 
