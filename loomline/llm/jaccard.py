@@ -7,7 +7,8 @@ Two sets x and y link when 100 * |x and y| >= percent * |x or y|, that is when t
   whole corpus; any order gives right results, a good one short lists.
 * DivideSkip: of a set of n, the inverted lists of the first p shingles (short lists) are merged, the other n - p (long
   lists) are skipped, where p is such that a partner must occur on a short list. A pair that occurs c times on
-  merged lists can share at most c + max(n - p) shingles, so pairs with less than T - max(n - p) occurrences go.
+  merged lists can share at most c + max(n - p) shingles, so pairs with less than T - max(n - p) occurrences go. So do pairs
+  whose places on a list, or whose shingles that no other short list holds, leave less than T to share.
   The others are decided exactly: the shorter set is probed by binary search in the longer one.
 * Lists grow with groups of near copies. So before lists are merged, classes are sorted by their min-hash signatures, in a
   few rotations, and each is compared with its next neighbours; verified links make components. Only pairs of different components are looked for on
@@ -169,7 +170,7 @@ def _neighbours(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, percent: int) -> DataFrame:
-    """(shingle, c1, n, place): the short lists' postings, one class at most once a partition."""
+    """(shingle, c1, n, rank, place): the short lists' postings, one class at most once a partition."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,12 +193,13 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, pe
                         pa.array(np.concatenate([x for x, _, _ in held])),
                         pa.array(np.repeat(np.array([c for _, c, _ in held], np.int64), sizes)),
                         pa.array(np.repeat(np.array([n for _, _, n in held], np.int64), sizes)),
+                        pa.array(np.concatenate([rank[_counter(x.astype(np.uint64))] for x, _, _ in held]).astype(np.int64)),
                         pa.array((np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int64)),
                     ],
-                    ["shingle", "c1", "n", "place"],
+                    ["shingle", "c1", "n", "rank", "place"],
                 )
 
-    return docs.select(F.lit(0), F.col(text_col).cast("string")).mapInArrow(run, "shingle long, c1 long, n long, place long")
+    return docs.select(F.lit(0), F.col(text_col).cast("string")).mapInArrow(run, "shingle long, c1 long, n long, rank long, place long")
 
 
 def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -316,27 +318,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     first = _linked(docs, stars, classes, scratch, "star", text_col, width, percent)
     near = components(first, scratch, "near")
 
-    # Postings of the short lists whose shingle stands in more than one component.
+    # Postings of the short lists whose shingle stands in more than one class.
     postings = scratch.table(_prefixes(docs, sketch, text_col, width, percent), "postings")
     many = postings.groupBy("shingle").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo < hi").select("shingle")
     many = scratch.table(many, "many")
-    known = classes.select("c1").join(near.withColumnRenamed("node", "c1"), "c1", "left").select("c1", F.coalesce("component", "c1").alias("part"))
-    known = scratch.table(known, "parts")
-    shared = scratch.table(postings.join(many, "shingle").join(known, "c1").distinct(), "shared")
+    shared = scratch.table(postings.drop("rank").join(many, "shingle").distinct(), "shared")
+    last = postings.where(f"place + 1 = n - (n * {percent} + 99) div 100 + 1").select("c1", "n", "rank", (F.col("shingle").bitwiseXOR(F.lit(-(2**63)))).alias("hash"))
+    ends = scratch.table(last.distinct(), "ends")
     scratch.drop("postings", "many")
-    sized = shared.groupBy("shingle", "part").agg(F.count("*").alias("k"))
-    mixed = sized.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max(F.struct("k", "part")).alias("most")).where("lo < hi")
-    mixed = scratch.table(mixed.select("shingle", F.col("most.part").alias("main")), "mixed")
-    lists = scratch.table(shared.join(mixed, "shingle"), "lists")
-    scratch.drop("shared")
+
+    lists = _lists(shared, classes, near, scratch, "lists").join(_bounds(shared, ends, percent), "c1")
+    lists = scratch.table(lists, "bounded")
+    scratch.drop("shared", "ends")
 
     # Merge: count the short lists on which a pair meets, one side outside the list's main component.
-    x = lists.where("part <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("c1", "n", "place", "part")])
-    y = lists.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("c1", "n", "place", "part")], (F.col("part") == F.col("main")).alias("y_main"))
+    x = lists.where("part <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("c1", "n", "place", "part", "end", "top")])
+    y = lists.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("c1", "n", "place", "part", "end", "top")], (F.col("part") == F.col("main")).alias("y_main"))
     need = f"(({percent} * (x_n + y_n) + {99 + percent}) div {100 + percent})"
     meets = x.join(y, "shingle").where(
         f"x_part <> y_part and (y_main or x_c1 < y_c1) and x_n * {percent} <= y_n * 100 and y_n * {percent} <= x_n * 100"
-        f" and least(x_place, y_place) + least(x_n - x_place, y_n - y_place) >= {need}"
+        f" and least(x_place, y_place) + least(x_n - x_place, y_n - y_place) >= {need} and if(x_end <= y_end, x_top, y_top) >= {need}"
     )
     skipped = f"greatest(x_n - {prefix_sql('x_n', percent)}, y_n - {prefix_sql('y_n', percent)})"
     pair = meets.selectExpr("greatest(x_c1, y_c1) as a", "least(x_c1, y_c1) as b", f"{need} - {skipped} as least_meets").groupBy("a", "b").agg(F.count("*").alias("met"), F.max("least_meets").alias("least_meets"))
@@ -353,6 +354,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
+def _bounds(shared: DataFrame, ends: DataFrame, percent: int) -> DataFrame:
+    """(c1, end, top): the last place in the order that a class's short lists reach, and how many shingles it can share with a class
+    whose short lists reach as far: all but those that stand on the short lists of no other class."""
+    counts = shared.groupBy("c1").agg(F.count("*").alias("met"))
+    alone = F.expr(prefix_sql("n", percent)) - F.col("met")
+    return counts.join(ends, "c1").select("c1", F.struct("rank", "hash").alias("end"), (F.col("n") - alone).alias("top"))
+
+
+def _lists(shared: DataFrame, classes: DataFrame, near: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Postings (shingle, c1, n, place) of shingles in more than one component, with part and the list's main part."""
+    parts = classes.select("c1").join(near.withColumnRenamed("node", "c1"), "c1", "left").select("c1", F.coalesce("component", "c1").alias("part"))
+    known = scratch.table(shared.join(scratch.table(parts, f"{name}-parts"), "c1"), f"{name}-known")
+    sized = known.groupBy("shingle", "part").agg(F.count("*").alias("k"))
+    mixed = sized.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max(F.struct("k", "part")).alias("most")).where("lo < hi")
+    mixed = scratch.table(mixed.select("shingle", F.col("most.part").alias("main")), f"{name}-mixed")
+    lists = scratch.table(known.join(mixed, "shingle"), f"{name}-lists")
+    scratch.drop(f"{name}-known", f"{name}-mixed", f"{name}-parts")
+    return lists
+
+
 def _with_repeats(links: DataFrame, rows: DataFrame, names: DataFrame) -> DataFrame:
     """Links between nodes, and those that ids standing for several classes make."""
     twice = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo < hi").select("doc_id")
