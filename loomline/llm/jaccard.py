@@ -8,11 +8,11 @@ Two sets x and y link when 100 * |x and y| >= percent * |x or y|, that is when t
 * DivideSkip: of a set of n, the inverted lists of the first p shingles (short lists) are merged, the other n - p (long
   lists) are skipped, where p is such that a partner must occur on a short list. A pair that occurs c times on
   merged lists can share at most c + max(n - p) shingles, so pairs with less than T - max(n - p) occurrences go. So do pairs
-  whose places on a list, or whose shingles that no other short list holds, leave less than T to share.
+  whose places on a list leave less than T to share.
   The others are decided exactly: the shorter set is probed by binary search in the longer one.
 * Lists grow with groups of near copies. So before lists are merged, classes are sorted by their min-hash signatures, in a
   few rotations, and each is compared with its next neighbours; verified links make components. Only pairs of different components are looked for on
-  the lists, against the list's largest component, so that m near copies cost some m comparisons, not m squared.
+  the lists, by the classes of the smaller one, so that m near copies cost some m comparisons, not m squared.
   No link between different components is lost; inside a component no link can change the result.
 
 Defined results: a null, empty or blank text has an empty set, links with nothing and is its own component; with fewer
@@ -39,6 +39,8 @@ POWERS = np.multiply.accumulate(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
 SKETCH_BITS, SKETCH_ROW = 21, 1 << 15
 #: Min-hashes of a signature, its rotations that are sorted, neighbours that are compared, and min-hashes that these must share.
 SIGNATURE, ROTATIONS, NEIGHBOURS, ALIKE = 32, 4, 5, 20
+#: Entries of a list that a query reads at once.
+LIST_ROWS = 65_536
 #: 64-bit words of the filter that spares sets which no pair asks for; a full filter only spares nothing.
 FILTER_WORDS = 1 << 17
 
@@ -170,7 +172,7 @@ def _neighbours(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, percent: int) -> DataFrame:
-    """(shingle, c1, n, rank, place): the short lists' postings, one class at most once a partition."""
+    """(shingle, c1, n, place): the short lists' postings, one class at most once a partition."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,13 +195,12 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, pe
                         pa.array(np.concatenate([x for x, _, _ in held])),
                         pa.array(np.repeat(np.array([c for _, c, _ in held], np.int64), sizes)),
                         pa.array(np.repeat(np.array([n for _, _, n in held], np.int64), sizes)),
-                        pa.array(np.concatenate([rank[_counter(x.astype(np.uint64))] for x, _, _ in held]).astype(np.int64)),
                         pa.array((np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int64)),
                     ],
-                    ["shingle", "c1", "n", "rank", "place"],
+                    ["shingle", "c1", "n", "place"],
                 )
 
-    return docs.select(F.lit(0), F.col(text_col).cast("string")).mapInArrow(run, "shingle long, c1 long, n long, rank long, place long")
+    return docs.select(F.lit(0), F.col(text_col).cast("string")).mapInArrow(run, "shingle long, c1 long, n long, place long")
 
 
 def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -322,26 +323,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     postings = scratch.table(_prefixes(docs, sketch, text_col, width, percent), "postings")
     many = postings.groupBy("shingle").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo < hi").select("shingle")
     many = scratch.table(many, "many")
-    shared = scratch.table(postings.drop("rank").join(many, "shingle").distinct(), "shared")
-    last = postings.where(f"place + 1 = n - (n * {percent} + 99) div 100 + 1").select("c1", "n", "rank", (F.col("shingle").bitwiseXOR(F.lit(-(2**63)))).alias("hash"))
-    ends = scratch.table(last.distinct(), "ends")
+    shared = scratch.table(postings.join(many, "shingle").distinct(), "shared")
     scratch.drop("postings", "many")
 
-    lists = _lists(shared, classes, near, scratch, "lists").join(_bounds(shared, ends, percent), "c1")
-    lists = scratch.table(lists, "bounded")
-    scratch.drop("shared", "ends")
-
-    # Merge: count the short lists on which a pair meets, one side outside the list's main component.
-    x = lists.where("part <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("c1", "n", "place", "part", "end", "top")])
-    y = lists.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("c1", "n", "place", "part", "end", "top")], (F.col("part") == F.col("main")).alias("y_main"))
-    need = f"(({percent} * (x_n + y_n) + {99 + percent}) div {100 + percent})"
-    meets = x.join(y, "shingle").where(
-        f"x_part <> y_part and (y_main or x_c1 < y_c1) and x_n * {percent} <= y_n * 100 and y_n * {percent} <= x_n * 100"
-        f" and least(x_place, y_place) + least(x_n - x_place, y_n - y_place) >= {need} and if(x_end <= y_end, x_top, y_top) >= {need}"
-    )
-    skipped = f"greatest(x_n - {prefix_sql('x_n', percent)}, y_n - {prefix_sql('y_n', percent)})"
-    pair = meets.selectExpr("greatest(x_c1, y_c1) as a", "least(x_c1, y_c1) as b", f"{need} - {skipped} as least_meets").groupBy("a", "b").agg(F.count("*").alias("met"), F.max("least_meets").alias("least_meets"))
-    candidates = scratch.table(pair.where("met >= least_meets").select("a", "b"), "candidates")
+    lists = _lists(shared, classes, near, scratch, "lists")
+    scratch.drop("shared")
+
+    candidates = scratch.table(_merged(lists, scratch, percent), "candidates")
     second = _linked(docs, candidates, classes, scratch, "list", text_col, width, percent)
 
     names = classes.select("c1", "node")
@@ -354,20 +342,66 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
-def _bounds(shared: DataFrame, ends: DataFrame, percent: int) -> DataFrame:
-    """(c1, end, top): the last place in the order that a class's short lists reach, and how many shingles it can share with a class
-    whose short lists reach as far: all but those that stand on the short lists of no other class."""
-    counts = shared.groupBy("c1").agg(F.count("*").alias("met"))
-    alone = F.expr(prefix_sql("n", percent)) - F.col("met")
-    return counts.join(ends, "c1").select("c1", F.struct("rank", "hash").alias("end"), (F.col("n") - alone).alias("top"))
+def _merged(lists: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Pairs (a, b) that meet on enough short lists: the T-occurrence search of each class among those of larger components.
+
+    A list is a row of arrays; where a list is longer than LIST_ROWS, all lists are dealt into buckets of partners. A query's
+    lists of one bucket come together sorted, and its partners' occurrences are counted by merging them.
+    """
+    longest = lists.groupBy("shingle").agg(F.count("*").alias("k")).agg(F.max("k")).first()[0] or 1
+    bucket = F.pmod("c1", F.lit(-(-longest // LIST_ROWS))).alias("bucket")
+    columns = [F.collect_list(c).alias(f"y_{c}") for c in ("c1", "n", "place", "part", "weight")]
+    arrays = lists.groupBy("shingle", bucket).agg(*columns)
+    asking = lists.where("part <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("c1", "n", "place", "part", "weight")])
+    met = asking.join(scratch.table(arrays, "arrays"), "shingle").drop("shingle")
+    dealt = met.repartition("x_c1", "bucket").sortWithinPartitions("x_c1", "bucket")
+    names = ["x_c1", "bucket", "x_n", "x_place", "x_part", "x_weight", "y_c1", "y_n", "y_place", "y_part", "y_weight"]
+
+    def need(x, y):
+        return (percent * (x + y) + 99 + percent) // (100 + percent)
+
+    def search(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        x, _, n, _, part, weight = rows[0][:6]
+        found, sizes = [], []
+        for row in rows:
+            place = row[3]
+            y, m, at, parts, weights = (v.values.to_numpy(zero_copy_only=False) if hasattr(v, "values") else np.asarray(v) for v in row[6:])
+            fits = ((weights > weight) | ((weights == weight) & (parts > part))) & (n * percent <= m * 100) & (m * percent <= n * 100)
+            fits &= np.minimum(at, place) + np.minimum(m - at, n - place) >= need(n, m)
+            found.append(y[fits])
+            sizes.append(m[fits])
+        y, first, met = np.unique(np.concatenate(found), return_index=True, return_counts=True)
+        m = np.concatenate(sizes)[first]
+        skipped = np.maximum(n - prefix_length(n, percent), m - prefix_length(m, percent))
+        y = y[met >= need(n, m) - skipped]
+        return np.maximum(x, y), np.minimum(x, y)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            keys = [batch.column(i).to_pylist() for i in range(6)]
+            out = []
+            for i in range(batch.num_rows):
+                row = (*[k[i] for k in keys], *[batch.column(c)[i] for c in range(6, 11)])
+                if held and held[0][:2] != row[:2]:
+                    out.append(search(held))
+                    held = []
+                held.append(row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*out, strict=True)], ["a", "b"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in search(held)], ["a", "b"])
+
+    return dealt.select(*names).mapInArrow(run, "a long, b long").distinct()
 
 
 def _lists(shared: DataFrame, classes: DataFrame, near: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Postings (shingle, c1, n, place) of shingles in more than one component, with part and the list's main part."""
-    parts = classes.select("c1").join(near.withColumnRenamed("node", "c1"), "c1", "left").select("c1", F.coalesce("component", "c1").alias("part"))
+    """Postings (shingle, c1, n, place) of shingles in more than one component, with part, its size as weight, and the list's largest part as main."""
+    sizes = near.groupBy("component").agg((F.count("*") + 1).alias("k"))
+    named = near.join(sizes, "component").select(F.col("node").alias("c1"), "component", "k").union(sizes.select(F.col("component"), "component", "k"))
+    parts = classes.select("c1").join(named, "c1", "left").select("c1", F.coalesce("component", "c1").alias("part"), F.coalesce("k", F.lit(1)).alias("weight"))
     known = scratch.table(shared.join(scratch.table(parts, f"{name}-parts"), "c1"), f"{name}-known")
-    sized = known.groupBy("shingle", "part").agg(F.count("*").alias("k"))
-    mixed = sized.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max(F.struct("k", "part")).alias("most")).where("lo < hi")
+    mixed = known.groupBy("shingle").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max(F.struct("weight", "part")).alias("most")).where("lo < hi")
     mixed = scratch.table(mixed.select("shingle", F.col("most.part").alias("main")), f"{name}-mixed")
     lists = scratch.table(known.join(mixed, "shingle"), f"{name}-lists")
     scratch.drop(f"{name}-known", f"{name}-mixed", f"{name}-parts")
