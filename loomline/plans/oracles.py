@@ -101,7 +101,7 @@ SELECT node_id, header, md5(h || chr(10) || chr(10) || regexp_replace(text, '^\\
 SQL["lexical_texts"] = f"""
 WITH {_NODES} SELECT node_id, {_COLLAPSE.format("concat_ws(' ', text, podcast_name, episode_title, day, '20260101', speaker, speaker, nullif(array_to_string(tags, ' '), ''), nullif(array_to_string(tags[1:2], ' '), ''))")} AS lexical_text FROM n"""
 SQL["dense_export"] = """
-SELECT source AS cache_id, 'doc-' || doc_id AS stable_document_id, md5(CASE WHEN doc_id % 2 = 0 THEN text ELSE upper(text) END) AS text_md5 FROM documents WHERE source NOT IN ('src1', 'src2')"""
+SELECT source AS cache_id, 'doc-' || doc_id AS stable_document_id, md5(CASE WHEN doc_id % 2 = 0 THEN text ELSE 'dense ' || text END) AS text_md5 FROM documents WHERE source NOT IN ('src1', 'src2')"""
 _ALIASES = "MAP {'artificial intelligence': 'ai', 'federal reserve': 'fed', 'fed reserve': 'fed', 'federal reserve inflation': 'fed', 'russia ukraine': 'ukraine war', 'russia ukraine war': 'ukraine war', 'ukraine': 'ukraine war', 'us': 'u.s.', 'u s': 'u.s.'}"
 
 
@@ -246,7 +246,7 @@ SELECT event_type, count(*) AS requests, count(*) FILTER (value < 5) AS failures
 SQL["run_stats"] = "SELECT count(*) AS files, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'view') AS view, count(*) FILTER (event_type = 'purchase') AS purchase FROM events"
 SQL["rolling_300s"] = """
 WITH e AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events)
-SELECT event_id, count(*) OVER w AS window_count, round(sum(value) OVER w, 6) AS window_sum, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 6) AS recent_mean
+SELECT event_id, count(*) OVER w AS window_count, round(sum(value) OVER w, 2) AS window_sum, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 4) AS recent_mean
 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 300 PRECEDING AND CURRENT ROW)"""
 SQL["latest_status"] = "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"
 SQL["pending_files"] = "SELECT event_id AS fingerprint FROM events WHERE event_id % 10 = 0 OR NOT (event_id % 2 = 0 AND event_id % 3 <> 0)"

@@ -206,7 +206,7 @@ def representation_fingerprints(spark, sf):
 
 @query
 def dense_export(spark, sf):
-    n = nodes(spark, sf).withColumn("cache_id", F.col("podcast_id")).withColumn("embedding_text", F.when(F.col("seq") % 2 == 0, "").otherwise(F.upper("page_content")))
+    n = nodes(spark, sf).withColumn("cache_id", F.col("podcast_id")).withColumn("embedding_text", F.when(F.col("seq") % 2 == 0, "").otherwise(F.concat(F.lit("dense "), "page_content")))
     caches = n.select("cache_id").distinct().select("cache_id", F.when(F.col("cache_id").isin("src1", "src2"), "2.1").otherwise("2.0").alias("schema_version"), F.when(F.col("cache_id") == "src1", "contextual-header-v1").alias("dense_text"))
     return representations.dense_export(caches, n).select("cache_id", "stable_document_id", F.md5("text").alias("text_md5"))
 
@@ -562,7 +562,7 @@ def run_stats(spark, sf):
 @query
 def rolling_300s(spark, sf):
     out = telemetry.rolling(table(spark, sf, "events"), "user_id", "ts", "value")
-    return out.select("event_id", "window_count", F.round("window_sum", 6).alias("window_sum"), F.round("recent_mean", 6).alias("recent_mean"))
+    return out.select("event_id", "window_count", F.round("window_sum", 2).alias("window_sum"), F.round("recent_mean", 4).alias("recent_mean"))
 
 
 @query
