@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import canonical_hash
 
 # Fixed values of the delta contract.
-CONTRACT, PRODUCER = "processed-delta-v1", "Podcast-RAG-pipeline"
+CONTRACT = "processed-delta-v1"
 CHANGED, REMOVED = "content_or_authoritative_metadata_changed", "source_document_removed_advisory"
 OUTSIDE_IDENTITY = {"notes", "display_label", "ui_state", "delta_id"}
 
@@ -46,7 +46,7 @@ def apply_delta(status: DataFrame, old: DataFrame, new: DataFrame, key: str) ->
     return stay.unionByName(come)
 
 
-def delta_record(status: DataFrame, old: DataFrame, key: str, groups: dict[str, str], *, corpus: str, corrections: str, processing: str, representation: str) -> dict[str, Any]:
+def delta_record(status: DataFrame, old: DataFrame, key: str, groups: dict[str, str], *, corpus: str, corrections: str, processing: str, representation: str, producer: str = "loomline") -> dict[str, Any]:
     """The interchange record of a delta. It lists document ids, as its format asks, and so is for reviewable deltas."""
     rows = status.orderBy(key).collect()
     ids = {s: [str(r[key]) for r in rows if r["status"] == s] for s in ("added", "changed", "unchanged", "removed")}
@@ -54,7 +54,7 @@ def delta_record(status: DataFrame, old: DataFrame, key: str, groups: dict[str,
     caches = [r[0] for r in old.select(F.col("cache_id").cast("string")).where("cache_id is not null").distinct().orderBy("cache_id").collect()] if "cache_id" in old.columns else []
     record: dict[str, Any] = {
         "contract_version": CONTRACT,
-        "producer": {"name": PRODUCER, "contract_version": "1"},
+        "producer": {"name": producer, "contract_version": "1"},
         "parent_corpus_id": corpus,
         "parent_cache_ids": caches,
         "correction_set_ids": [corrections],
