@@ -11,6 +11,7 @@ from ..functions import dates, hashing
 from ..functions.arrays import most_common, ordered_distinct, scope_of
 from ..functions.text import budget_lines, collapse, fallback_summary, summary_bullets, tag_words, text_key
 from .chunking import render_for_rollup
+from .lineage import cut
 from .model import answered, offline_summary
 
 GROUP, LEAST_TO_CLUSTER, MAX_CLUSTERS, MAX_LEVELS = 6, 12, 300, 4
@@ -220,16 +221,15 @@ def build_hierarchy(leaves: DataFrame, mode: str = "chronological", levels: int
 
     The driver loops over at most `levels` levels. An episode goes on while it has `least` nodes that aren't duplicates.
     """
-    current, made = leaves, []
+    current, every = leaves, None
     for level in range(1, levels + 1):
         w = Window.partitionBy("episode_id")
         enough = current.withColumn("_n", F.count("*").over(w)).where(F.col("_n") >= least).drop("_n")
-        summaries = near_duplicates(summarise(assign_groups(enough, mode), level), ["episode_id"], "seq", "page_content")
-        made.append(summaries)
+        if every is not None and enough.isEmpty():
+            break
+        summaries = cut(near_duplicates(cut(summarise(assign_groups(enough, mode), level)), ["episode_id"], "seq", "page_content"))
+        every = summaries if every is None else every.unionByName(summaries)
         current = summaries.where("not duplicate").drop("duplicate")
-    every = made[0]
-    for more in made[1:]:
-        every = every.unionByName(more)
     return every
 
 

@@ -110,7 +110,8 @@ def positions_of(text: str | None) -> list[dict]:
         else:
             items = [value]
     good = [i for i in items if isinstance(i, dict) and i.get("claim")]
-    return good or [i for i in cut if isinstance(i, dict) and i.get("claim")]
+    salvaged = [i for i in cut if isinstance(i, dict) and i.get("claim")]
+    return good if len(good) >= len(salvaged) else salvaged
 
 
 def _as_text(x) -> str:

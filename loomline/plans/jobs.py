@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import chunking, hierarchy, metrics, model, positions, topics, validation
+from ..operators.lineage import cut
 from ..sources import caches, judgments, transcripts
 
 
@@ -14,16 +15,17 @@ def build_nodes(segments: DataFrame, config: Config | None = None) -> DataFrame:
     """Leaf chunks, summaries, theses and position cards of all episodes, by the offline model."""
     c = config or Config()
     titles = segments.groupBy("episode_id").agg(F.first("episode_title").alias("episode_title"))
-    leaves = chunking.leaf_chunks(segments, c.leaf_chunk_size, c.leaf_chunk_overlap_segments)
+    leaves = cut(chunking.leaf_chunks(segments, c.leaf_chunk_size, c.leaf_chunk_overlap_segments))
     summaries = hierarchy.build_hierarchy(leaves, c.grouping_mode if c.grouping_mode in ("semantic", "speaker_first") else "chronological", c.max_levels, c.min_docs_to_cluster)
     tops = leaves.unionByName(summaries, allowMissingColumns=True)
-    theses = hierarchy.theses(leaves, tops, c.episode_thesis_max_chars)
+    theses = cut(hierarchy.theses(leaves, tops, c.episode_thesis_max_chars))
     parents = summaries.select("episode_id", F.col("node_id").alias("parent_id"), F.explode("child_ids").alias("node_id")).dropDuplicates(["episode_id", "node_id"])
-    every = tops.unionByName(theses, allowMissingColumns=True).drop("parent_id") if "parent_id" in tops.columns else tops.unionByName(theses, allowMissingColumns=True)
+    every = tops.unionByName(theses, allowMissingColumns=True)
     thesis_id = theses.select("episode_id", F.col("node_id").alias("thesis_id"))
     placed = every.join(parents, ["episode_id", "node_id"], "left").join(thesis_id, "episode_id", "left")
     placed = placed.withColumn("parent_id", F.coalesce("parent_id", F.when(F.col("node_type") != "episode_thesis", F.col("thesis_id")))).drop("thesis_id")
     placed = placed.join(titles, "episode_id", "left").withColumn("source_type", F.lit("podcast_transcript"))
+    placed = cut(placed)
     batches = positions.position_batches(positions.position_sources(placed), c.position_extraction_batch_char_budget)
     said = batches.select("episode_id", F.col("chunk").cast("long").alias("seq"), model.offline_position(F.element_at("members", 1)).alias("p"))
     asked = said.select("episode_id", "seq", F.concat_ws("-", "episode_id", F.col("seq").cast("string")).alias("position_id"), "p.*")

@@ -37,7 +37,12 @@ def _first(fields: list[str], base: str = "") -> Column:
 def read_files(spark: SparkSession, path: str, glob: str = GLOB) -> DataFrame:
     """(source, size, modified, value): one row a file below path."""
     text = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
-    return text.select(F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified"), "value")
+    return text.select(file_path().alias("source"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified"), "value")
+
+
+def file_path() -> Column:
+    """Path of a row's file, with spaces as spaces."""
+    return F.replace(F.col("_metadata.file_path"), F.lit("%20"), F.lit(" "))
 
 
 def fingerprint() -> Column:

@@ -14,7 +14,7 @@ from ..sources import transcripts
 def new_transcripts(spark: SparkSession, path: str, glob: str = transcripts.GLOB) -> DataFrame:
     """Files of a folder as a stream; a file whose fingerprint was seen doesn't come again."""
     raw = spark.readStream.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).format("text").load(path)
-    files = raw.select(F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified"), "value")
+    files = raw.select(transcripts.file_path().alias("source"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified"), "value")
     return files.withColumn("fingerprint", transcripts.fingerprint()).dropDuplicates(["fingerprint"])
 
 
