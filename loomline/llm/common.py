@@ -60,6 +60,13 @@ def ascii_lower_tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices: what a worker makes of a slice is let go before it takes the next."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def append_columns(
     df: DataFrame, inputs: list[str], outputs: T.StructType, fn: Callable[[Iterator[list[list]]], Iterator[list[list]]]
 ) -> DataFrame:
@@ -78,10 +85,9 @@ def append_columns(
         waiting: list[pa.Array] = []
 
         def feed() -> Iterator[list[list]]:
-            for batch in batches:
-                if batch.num_rows:
-                    waiting.append(batch.column(0))
-                    yield [batch.column(i + 1).to_pylist() for i in range(len(inputs))]
+            for batch in pieces(batches):
+                waiting.append(batch.column(0))
+                yield [batch.column(i + 1).to_pylist() for i in range(len(inputs))]
 
         for columns in fn(feed()):
             row = waiting.pop(0)

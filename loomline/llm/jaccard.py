@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower_tokens
+from .common import Scratch, ascii_lower_tokens, pieces
 
 #: Powers of an odd number: shingles of up to 64 words.
 POWERS = np.multiply.accumulate(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
@@ -96,7 +96,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
             arrays = [*longs, pa.array(lows, pa.binary()), pa.array(part, pa.int64()), pa.array(counts, pa.binary())]
             return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "c1", "c2", "text_id", "signature", "part", "counts"])
 
-        for batch in batches:
+        for batch in pieces(batches):
             n, ones, twos, texts, lows, new = [], [], [], [], [], []
             for text in batch.column(1):
                 text = text.as_py()
@@ -177,7 +177,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, width: int, pe
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, seen = shared.value, set()
-        for batch in batches:
+        for batch in pieces(batches):
             held: list[tuple[np.ndarray, int, int]] = []
             for text in batch.column(1):
                 found = shingles(text.as_py(), width)
@@ -217,7 +217,7 @@ def _sets(docs: DataFrame, pairs: DataFrame, classes: DataFrame, text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, bits = set(), shared.value
-        for batch in batches:
+        for batch in pieces(batches):
             ones, sets = [], []
             for text in batch.column(1):
                 text = text.as_py()
@@ -243,7 +243,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, scratch: Scra
     both = left.join(sets.withColumnsRenamed({"c1": "b", "shingles": "y"}), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 short, long = sorted((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)), key=len)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns
+from .common import append_columns, pieces
 
 #: Dimensions of the hashed feature space: the weights that are broadcast.
 DIMENSIONS = 4096
@@ -219,7 +219,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
     """The label model from the votes of all documents, and the scorer's weights from a sample of at most sample_rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             stats = statistics(_encoded(batch.column(0)))
             keys, n = np.unique(patterns(votes(stats)[stats[:, -1] > 0]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["pattern", "n"])

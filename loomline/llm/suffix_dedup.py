@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, ascii_lower_tokens, rows_to_batches
+from .common import Scratch, ascii_lower_tokens, pieces, rows_to_batches
 
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
@@ -84,7 +84,7 @@ def _suffixes(docs: DataFrame, id_col: str, text_col: str, least: int, gap: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         names = ["doc_id", "uid", "n_words", "at", "key"]
-        for batch in batches:
+        for batch in pieces(batches):
             uids, sizes, ats, keys, owners = [], [], [], [], []
             for text in batch.column(1):
                 text = text.as_py() or ""
