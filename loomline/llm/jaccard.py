@@ -23,6 +23,7 @@ Sets are compared by 64-bit hashes of shingles, classes by two such hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,7 +118,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
         rows = sketch.reshape(-1, SKETCH_ROW)
         used = np.flatnonzero(rows.any(axis=1)).tolist()
         none = [None] * len(used)
-        yield out(none, none, none, none, none, none, used, [rows[i].tobytes() for i in used])
+        yield out(none, none, none, none, none, none, used, [zlib.compress(rows[i].tobytes(), 1) for i in used])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n long, c1 long, c2 long, text_id long, signature binary, part long, counts binary")
 
@@ -129,15 +130,15 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, np.uint32)
+                total[part] = total.get(part, 0) + np.frombuffer(zlib.decompress(counts), np.uint32)
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([c.tobytes() for c in total.values()], pa.binary())], ["part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([zlib.compress(c.tobytes(), 1) for c in total.values()], pa.binary())], ["part", "counts"])
 
     schema = "part long, counts binary"
     rows = scanned.where("part is not null").select("part", "counts").mapInArrow(add, schema).repartition(8, "part").mapInArrow(add, schema)
     sketch = np.zeros(((1 << SKETCH_BITS) // SKETCH_ROW, SKETCH_ROW), np.uint32)
     for r in rows.collect():
-        sketch[r["part"]] = np.frombuffer(r["counts"], np.uint32)
+        sketch[r["part"]] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
     return sketch.ravel()
 
 
