@@ -245,8 +245,8 @@ SQL["perf_rollup"] = """
 SELECT event_type, count(*) AS requests, count(*) FILTER (value < 5) AS failures, round(sum(value), 4) AS total, round(avg(value), 6) AS mean, max(value) AS greatest, arg_max(event_id, (value, -event_id)) AS greatest_at FROM events GROUP BY event_type"""
 SQL["run_stats"] = "SELECT count(*) AS files, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'view') AS view, count(*) FILTER (event_type = 'purchase') AS purchase FROM events"
 SQL["rolling_300s"] = """
-WITH e AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events)
-SELECT event_id, count(*) OVER w AS window_count, round(sum(value) OVER w, 2) AS window_sum, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 4) AS recent_mean
+WITH e AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS t, CAST(round(value * 100) AS BIGINT) AS cents FROM events)
+SELECT event_id, count(*) OVER w AS window_count, CAST(sum(cents) OVER w AS BIGINT) AS window_cents, avg(cents) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS recent_mean_cents
 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 300 PRECEDING AND CURRENT ROW)"""
 SQL["latest_status"] = "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1"
 SQL["pending_files"] = "SELECT event_id AS fingerprint FROM events WHERE event_id % 10 = 0 OR NOT (event_id % 2 = 0 AND event_id % 3 <> 0)"

@@ -561,8 +561,9 @@ def run_stats(spark, sf):
 
 @query
 def rolling_300s(spark, sf):
-    out = telemetry.rolling(table(spark, sf, "events"), "user_id", "ts", "value")
-    return out.select("event_id", "window_count", F.round("window_sum", 2).alias("window_sum"), F.round("recent_mean", 4).alias("recent_mean"))
+    cents = table(spark, sf, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))  # whole numbers add up the same in any order
+    out = telemetry.rolling(cents, "user_id", "ts", "cents")
+    return out.select("event_id", "window_count", F.col("window_sum").alias("window_cents"), F.col("recent_mean").alias("recent_mean_cents"))
 
 
 @query
