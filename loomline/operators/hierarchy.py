@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter, defaultdict
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -156,7 +158,8 @@ def summarise(grouped: DataFrame, level: int) -> DataFrame:
 def near_duplicates(summaries: DataFrame, keys: list[str], seq: str, text: str, threshold: float = NEAR) -> DataFrame:
     """summaries with duplicate: whether an earlier kept text of the key is equal by its text key or has that similarity.
 
-    Greedy and by order, so it runs per key (an episode and level), on at most MAX_CLUSTERS rows.
+    Greedy and by order, so it runs per key (an episode and level, or a source). A text is compared with the kept ones that share
+    one of its rarest words: with fewer in common than that, two sets can't be so similar.
     """
     keyed = summaries.withColumn("_key", text_key(text))
     types = dict(summaries.dtypes)
@@ -164,14 +167,23 @@ def near_duplicates(summaries: DataFrame, keys: list[str], seq: str, text: str,
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(seq)
-        kept: list[tuple[str, set[str]]] = []
+        counts = Counter(w for key in pdf["_key"] for w in set(key.split()))
+        seen: set[str] = set()
+        kept: list[set[str]] = []
+        holders: defaultdict[str, list[int]] = defaultdict(list)
         flags = []
         for key in pdf["_key"]:
             words = set(key.split())
-            again = any(key == k or (words and w and len(words & w) / len(words | w) >= threshold) for k, w in kept)
+            n = len(words)
+            lead = sorted(words, key=lambda w: (counts[w], w))[: n - math.ceil(n * threshold - 1e-9) + 1]
+            near = (kept[i] for i in {i for w in lead for i in holders[w]})
+            again = key in seen or any(len(words & w) / len(words | w) >= threshold for w in near if min(n, len(w)) >= max(n, len(w)) * threshold - 1e-9)
             flags.append(again)
             if not again:
-                kept.append((key, words))
+                seen.add(key)
+                for w in lead:
+                    holders[w].append(len(kept))
+                kept.append(words)
         return pdf[[*keys, seq]].assign(duplicate=flags)
 
     found = keyed.select(*keys, seq, "_key").groupBy(*keys).applyInPandas(run, schema)
@@ -179,16 +191,23 @@ def near_duplicates(summaries: DataFrame, keys: list[str], seq: str, text: str,
 
 
 def near_pairs(texts: DataFrame, block: list[str], key: str, text: str, threshold: float = NEAR) -> DataFrame:
-    """(a, b, similarity) of texts in a block whose token sets are that similar; shared first tokens of the sorted sets make the pairs to look at."""
-    tokens = texts.select(*block, F.col(key).alias("id"), F.array_sort(F.array_distinct(F.filter(F.split(text_key(text), " "), lambda t: t != ""))).alias("t")).where("size(t) > 0")
-    n = F.size("t")
-    lead = F.slice("t", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))
-    lists = tokens.select(*block, "id", "t", F.explode(lead).alias("w"))
-    a, b = lists.select(*block, "w", F.col("id").alias("a"), F.col("t").alias("x")), lists.select(*block, "w", F.col("id").alias("b"), F.col("t").alias("y"))
-    fits = (F.col("a") < F.col("b")) & (F.size("x") >= F.size("y") * threshold - 1e-9) & (F.size("y") >= F.size("x") * threshold - 1e-9)
-    pairs = a.join(b, [*block, "w"]).where(fits).dropDuplicates(["a", "b"])
+    """(a, b, similarity) of texts in a block whose token sets are that similar; shared tokens among the rarest of each set make the pairs to look at.
+
+    Texts of any length: only ids meet, and the sets are looked up for the pairs that met. key is unique in a block.
+    """
+    tokens = texts.select(*block, F.col(key).alias("id"), F.array_distinct(F.filter(F.split(text_key(text), " "), lambda t: t != "")).alias("t")).where("size(t) > 0")
+    words = tokens.select(*block, "id", F.size("t").alias("n"), F.explode(F.transform("t", lambda t: F.xxhash64(t))).alias("w"))
+    counts = words.groupBy("w").agg(F.count("*").alias("c"))
+    # any order of tokens gives all pairs; by rising count the first ones meet least
+    leads = words.join(counts, "w").groupBy(*block, "id", "n").agg(F.array_sort(F.collect_list(F.struct("c", "w"))).alias("t"))
+    lead = F.slice("t", F.lit(1), (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int"))
+    lists = leads.select(*block, "id", "n", F.explode(F.transform(lead, lambda x: x["w"])).alias("w"))
+    a, b = lists.select(*block, "w", F.col("id").alias("a"), F.col("n").alias("x")), lists.select(*block, "w", F.col("id").alias("b"), F.col("n").alias("y"))
+    fits = (F.col("a") < F.col("b")) & (F.col("x") >= F.col("y") * threshold - 1e-9) & (F.col("y") >= F.col("x") * threshold - 1e-9)
+    pairs = a.join(b, [*block, "w"]).where(fits).select(*block, "a", "b").distinct()
+    sets = pairs.join(tokens.withColumnsRenamed({"id": "a", "t": "x"}), [*block, "a"]).join(tokens.withColumnsRenamed({"id": "b", "t": "y"}), [*block, "b"])
     similarity = F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y"))
-    return pairs.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
+    return sets.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 def overview_text(bullets: Column, most: int = OVERVIEW_CHARS) -> Column:

@@ -308,13 +308,13 @@ def podcast_names(spark, sf):
 
 @query
 def near_dup_pairs(spark, sf):
-    d = table(spark, sf, "documents").where("n_chars < 3000")
+    d = table(spark, sf, "documents")
     return hierarchy.near_pairs(d, [], "doc_id", "text").select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
 @query
 def near_dup_greedy(spark, sf):
-    d = table(spark, sf, "documents").where("n_chars < 3000").select("source", "doc_id", "text")
+    d = table(spark, sf, "documents").select("source", "doc_id", "text")
     return hierarchy.near_duplicates(d, ["source"], "doc_id", "text").where("duplicate").select("source", "doc_id")
 
 

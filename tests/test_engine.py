@@ -1,6 +1,7 @@
 """Sources, plans, governance and streaming of the engine on small fixtures."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from loomline import cli, config
 from loomline.functions import arrays, dates, hashing, text
 from loomline.operators import corrections, delta, hierarchy, metrics, model, representations, topics, validation
-from loomline.plans import jobs
+from loomline.plans import jobs, queries
 from loomline.sources import caches, judgments, transcripts
 from loomline.streaming import jobs as streams
 
@@ -161,6 +162,26 @@ def test_near_duplicates_are_greedy(spark):
     assert {r.seq: r.duplicate for r in hierarchy.near_duplicates(df, ["episode_id"], "seq", "text").collect()} == {0: False, 1: True, 2: False}
 
 
+def test_near_duplicates_of_any_length(spark, tmp_path):
+    rng = random.Random(3)
+    rows = []
+    for g in range(12):
+        base = [f"w{rng.randint(0, 4000)}" for _ in range([900, 60, 15, 3][g % 4])]
+        for k in range(4):
+            t = " ".join(w if rng.random() > 0.02 * k else f"x{rng.randint(0, 99)}" for w in base)
+            rows.append((len(rows), t, "ab"[g % 2], None if g < 4 else len(t)))
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    sets = [set(r[1].split()) for r in rows]
+    like = {(i, j): round(len(x & y) / len(x | y), 6) for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j and len(x & y) / len(x | y) >= 0.92}
+    assert any(len(rows[i][1]) >= 3000 for i, _ in like) and any(rows[i][3] is None for i, _ in like)
+    assert {(r.a, r.b): r.similarity for r in queries.near_dup_pairs(spark, str(tmp_path)).collect()} == like
+    kept = []
+    for i, r in enumerate(rows):
+        if not any((j, i) in like and rows[j][2] == r[2] for j in kept):
+            kept.append(i)
+    assert {r.doc_id for r in queries.near_dup_greedy(spark, str(tmp_path)).collect()} == set(range(len(rows))) - set(kept)
+
+
 def test_model_salvage(spark):
     assert model.salvage_json('```json\n{"a": 1}\n```') == {"a": 1} and model.salvage_json("no") is None
     cut = '{"positions": [{"claim": "x", "keywords": ["k"]}, {"claim": "y"}, {"cla'
