@@ -1,6 +1,6 @@
 """Near-duplicate lines by a segment-partition edit join. DataFrame functions only.
 
-Equal lines are folded to one text. A text of at least `least_chars` characters is cut into threshold + 1 segments; if
+Equal lines are folded to one text. A text of more than threshold characters is cut into threshold + 1 segments; if
 another is within `threshold` edits, one segment stands in it unchanged, and near its old place. So each text is
 indexed by (length, segment number, segment), and probes the indexes of its own and of the shorter lengths with the few
 substrings whose places are possible (multi-match-aware: the shift is bounded by the edits left of and right of a
@@ -11,8 +11,8 @@ A line is a repeat when an equal line stands before it (in order of doc_id and p
 with a text whose first place is before that of its own. Neither removal of repeats nor of near lines loses a text without
 a kept neighbour of its own: what is linked is reported, and `drop_lines` keeps first places.
 
-Defined results: null and empty texts have no lines; empty lines are dropped from counts; lines below least_chars are
-compared for equality only; rows that share an id are one document's lines twice, the second ones repeats; a null id
+Defined results: null and empty texts have no lines; empty lines are dropped from counts; lines of at most threshold
+characters are compared for equality only, since the allowed edits can replace all of such a line (`least_chars` can raise that bound); rows that share an id are one document's lines twice, the second ones repeats; a null id
 comes first in order; extra columns are ignored; an empty table gives no rows.
 """
 
@@ -127,7 +127,7 @@ def linked_lines(docs: DataFrame, threshold: int, least_chars: int, scratch: Scr
     return places, links
 
 
-def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, place, n, repeat, near, links, class_doc, class_place) of every line.
 
     class: first place of the least text that is linked with the line's text, or its own first place when that is before.
@@ -147,7 +147,7 @@ def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 20, id_co
     return out.select("doc_id", "place", "n", (here != F.col("first")).alias("repeat"), near.alias("near"), "links", head["doc_id"].alias("class_doc"), head["place"].alias("class_place"))
 
 
-def line_report(docs: DataFrame, threshold: int = 2, least_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document with lines: doc_id, n_lines, n_repeat, n_near, n_links, chars_kept."""
     found = near_lines(docs, threshold, least_chars, id_col, text_col)
     gone = F.col("repeat") | F.col("near")

@@ -199,6 +199,17 @@ def test_line_links_match_brute_force(spark, threshold):
     assert got == {(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines) if i != j and edits(x, y) <= threshold}
 
 
+def test_short_lines_are_linked(spark):
+    rng = random.Random(5)
+    lines = {"Read more >", "Read more >>", "twenty characters on", "twenty characters o", "ab", "a", "b"}
+    lines |= {"".join(rng.choice("abcde é") for _ in range(rng.randint(1, 8))) for _ in range(150)}
+    lines = sorted(lines)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: r.links for r in line_dedup.near_lines(docs).collect()}
+    assert got == {i: sum(x != y and min(len(x), len(y)) > 2 and edits(x, y) <= 2 for y in lines) for i, x in enumerate(lines)}
+    assert got[lines.index("Read more >")] == got[lines.index("twenty characters on")] == 1
+
+
 def test_line_report_counts(spark):
     a, b = "this is a line of some length", "this is a line of sum length"
     docs = spark.createDataFrame([(2, f"{a}\nshort\n{a}"), (1, f"{b}\nshort"), (3, None)], "doc_id long, text string")
