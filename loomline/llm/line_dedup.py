@@ -8,10 +8,11 @@ segment). What meets, and differs by few enough letters in its counts of some, i
 each diagonal of the band, moved by a character of the text at a time.
 
 A line is a repeat when an equal line stands before it (in order of doc_id and place), and near when its text is linked
-with a text whose first place is before that of its own. Neither removal of repeats nor of near lines loses a text without
-a kept neighbour of its own: what is linked is reported, and `drop_lines` keeps first places.
+with a text whose first place is before that of its own. What is linked is reported: each line's class, and each link between
+first places. `drop_lines` drops repeats of a first place, and a text's lines when it is linked with an earlier text that has
+no earlier neighbour; such a text is always kept, so no line is dropped without a kept equal or neighbour of its own.
 
-Defined results: null and empty texts have no lines; empty lines are dropped from counts; lines of at most threshold
+Defined results: null and empty texts have no lines, and a row of the report only if `every` is set; empty lines are dropped from counts; lines of at most threshold
 characters are compared for equality only, since the allowed edits can replace all of such a line (`least_chars` can raise that bound); rows that share an id are one document's lines twice, the second ones repeats; a null id
 comes first in order; extra columns are ignored; an empty table gives no rows.
 """
@@ -128,37 +129,67 @@ def linked_lines(docs: DataFrame, threshold: int, least_chars: int, scratch: Scr
 
 
 def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, place, n, repeat, near, links, class_doc, class_place) of every line.
+    """(doc_id, place, key, n, repeat, near, links, class_doc, class_place, first_doc, first_place, linked, dropped) of every line.
 
     class: first place of the least text that is linked with the line's text, or its own first place when that is before.
+    first: first place of the line's own text. linked: on first places, the first places of all linked texts that are before.
+    dropped: whether `drop_lines` takes it out.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     places, links = linked_lines(docs, threshold, least_chars, scratch, id_col, text_col)
     first = F.min(F.struct("doc_id", "place")).alias("first")
     texts = scratch.table(places.groupBy("key").agg(first, F.count("*").alias("copies")), "firsts")
     other = texts.select(F.col("key").alias("b"), F.col("first").alias("there"))
-    joined = links.join(other, "b").groupBy("a").agg(F.count("*").alias("links"), F.min("there").alias("before"))
+    joined = links.join(other, "b").groupBy("a").agg(F.count("*").alias("links"), F.min("there").alias("before"), F.collect_list("there").alias("linked"))
     known = texts.join(joined.withColumnRenamed("a", "key"), "key", "left")
-    known = scratch.table(known.select("key", "first", F.coalesce("links", F.lit(0)).alias("links"), "before"), "known")
+    earlier = F.array_sort(F.filter(F.coalesce("linked", F.array().cast("array<struct<doc_id:bigint,place:int>>")), lambda x: x < F.col("first")))
+    known = scratch.table(known.select("key", "first", F.coalesce("links", F.lit(0)).alias("links"), "before", earlier.alias("linked")), "known")
+    heads = known.where("links > 0 and size(linked) = 0").select(F.col("key").alias("b"))
+    under = links.join(heads, "b", "left_semi").select(F.col("a").alias("key")).distinct().withColumn("under", F.lit(True))
+    known = scratch.table(known.join(under, "key", "left"), "judged")
     out = places.join(known, "key")
-    here = F.struct("doc_id", "place")
+    repeat = F.struct("doc_id", "place") != F.col("first")
     near = F.coalesce(F.col("before") < F.col("first"), F.lit(False))
     head = F.when(near, F.col("before")).otherwise(F.col("first"))
-    return out.select("doc_id", "place", "n", (here != F.col("first")).alias("repeat"), near.alias("near"), "links", head["doc_id"].alias("class_doc"), head["place"].alias("class_place"))
+    return out.select(
+        "doc_id", "place", "key", "n", repeat.alias("repeat"), near.alias("near"), "links", head["doc_id"].alias("class_doc"), head["place"].alias("class_place"),
+        F.col("first.doc_id").alias("first_doc"), F.col("first.place").alias("first_place"), F.when(repeat, F.slice("linked", 1, 0)).otherwise(F.col("linked")).alias("linked"),
+        (repeat | F.coalesce("under", F.lit(False))).alias("dropped"),
+    )
 
 
-def line_report(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document with lines: doc_id, n_lines, n_repeat, n_near, n_links, chars_kept."""
+def line_report(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
+    """Per document with lines, or per document if `every`: doc_id, n_lines, n_repeat, n_near, n_links, chars_kept, classes, pairs.
+
+    classes: by place, the first place of the text of each repeated or near line, and its class. pairs: all links between
+    first places, each once, at the later one. Both together give every link of every line.
+    """
     found = near_lines(docs, threshold, least_chars, id_col, text_col)
     gone = F.col("repeat") | F.col("near")
 
     def count(c):
         return F.sum(F.when(c, 1).otherwise(0)).cast("long")
 
+    pairs = F.transform("linked", lambda x: F.struct(F.col("place"), x["doc_id"].alias("other_doc"), x["place"].alias("other_place")))
+    if every:
+        found = found.unionByName(docs.select(F.col(id_col).cast("long").alias("doc_id")), allowMissingColumns=True)
     return found.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"),
+        F.count("place").alias("n_lines"),
         count(F.col("repeat")).alias("n_repeat"),
         count(F.col("near")).alias("n_near"),
-        F.sum("links").cast("long").alias("n_links"),
-        F.sum(F.when(gone, 0).otherwise(F.col("n"))).cast("long").alias("chars_kept"),
+        F.coalesce(F.sum("links"), F.lit(0)).cast("long").alias("n_links"),
+        F.sum(F.when(gone, 0).otherwise(F.coalesce("n", F.lit(0)))).cast("long").alias("chars_kept"),
+        F.array_sort(F.collect_list(F.when(gone, F.struct("place", "first_doc", "first_place", "class_doc", "class_place")))).alias("classes"),
+        F.array_sort(F.flatten(F.collect_list(F.when(F.size("linked") > 0, pairs)))).alias("pairs"),
     )
+
+
+def drop_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the lines that near_lines marks as dropped; empty lines, null texts and other columns stay as they are."""
+    found = near_lines(docs, threshold, least_chars, id_col, text_col).where("dropped")
+    gone = found.groupBy(F.col("doc_id").alias("gone_doc")).agg(F.collect_set(F.struct("place", "key")).alias("gone_lines"))
+    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_doc")), "left")
+    lines = F.split(F.col(text_col).cast("string"), "\n")
+    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone_lines"), F.struct(i.alias("place"), F.xxhash64(x).alias("key"))))
+    text = F.when(F.col("gone_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    return joined.withColumn(text_col, text).select(*docs.columns)

@@ -55,7 +55,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"), every=True)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,6 +217,17 @@ def test_line_report_counts(spark):
     assert got == {1: (2, 0, 0, 1), 2: (3, 2, 2, 2)}
 
 
+def test_lines_show_classes_and_drop(spark):
+    a, b, c = "one line of text here", "one line of text her3", "one line of text her345"  # a-b and b-c are within 2 edits, a-c isn't
+    docs = spark.createDataFrame([(1, f"{a}\n\nother words", "x"), (2, f"{b}\n{c}\n{a}", "y"), (3, None, "z"), (4, "", "w")], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in line_dedup.line_report(docs, every=True).collect()}
+    assert set(got) == {1, 2, 3, 4} and got[3].n_lines == got[3].n_links == got[3].chars_kept == 0
+    assert [tuple(x) for x in got[2].classes] == [(0, 2, 0, 1, 0), (1, 2, 1, 2, 0), (2, 1, 0, 1, 0)] and not got[1].classes
+    assert [tuple(x) for x in got[2].pairs] == [(0, 1, 0), (1, 2, 0)] and not got[1].pairs
+    kept = {r.doc_id: (r.text, r.source) for r in line_dedup.drop_lines(docs).collect()}
+    assert kept == {1: (f"{a}\n\nother words", "x"), 2: (c, "y"), 3: (None, "z"), 4: ("", "w")}
+
+
 def test_components_match_brute_force(spark):
     rng = random.Random(11)
     texts = []
