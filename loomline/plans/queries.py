@@ -86,7 +86,7 @@ def keep_first_dedupe(spark, sf):
 
 @query
 def keep_first_claims(spark, sf):
-    c = table(spark, sf, "conversations").withColumn("claim", F.substring("text", 1, 12))
+    c = table(spark, sf, "conversations").withColumn("claim", F.col("text"))
     return positions.keep_first_claims(c, ["role"], "claim", "seq" if "seq" in c.columns else "conv_id").groupBy("role").agg(F.count("*").alias("claims"))
 
 
@@ -124,7 +124,7 @@ def short_texts(spark, sf):
 
 @query
 def title_cases(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.title_case(F.substring(text.text_key("text"), 1, 60)).alias("title"), text.slug(F.substring("text", 1, 40)).alias("slug"))
+    return table(spark, sf, "documents").select("doc_id", text.title_case(text.text_key("text")).alias("title"), text.slug("text").alias("slug"))
 
 
 @query
@@ -359,7 +359,7 @@ def _positions(spark, sf):
     n = nodes(spark, sf).withColumns({"episode_id": F.col("podcast_id"), "start_time": F.col("seq") * 1.0, "end_time": F.col("seq") + 1.0, "source_segment_ids": F.array("node_id"), "source_spans": F.array(F.struct(F.col("seq").cast("double").alias("start_time"), (F.col("seq") + 1.0).alias("end_time"), F.array("node_id").alias("segment_ids")))})
     none = F.array().cast("array<string>")
     p = n.where("node_type = 'position_card'").select(
-        F.col("node_id").alias("position_id"), "episode_id", F.col("seq").cast("long").alias("seq"), F.when(F.col("seq") % 7 == 0, "").otherwise(F.substring("page_content", 1, 20)).alias("claim"),
+        F.col("node_id").alias("position_id"), "episode_id", F.col("seq").cast("long").alias("seq"), F.when(F.col("seq") % 7 == 0, "").otherwise(F.col("page_content")).alias("claim"),
         F.when(F.col("seq") % 5 == 0, "Mixed").otherwise(F.col("speaker")).alias("speaker"), "episode_date", F.lit("test").alias("stance_category"), F.lit("").alias("confidence"), F.lit("").alias("rationale"), F.lit("").alias("counterpoints"),
         F.array(F.col("node_id"), F.lit("unknown-node"), F.when(F.col("seq") % 3 == 0, F.lit("nowhere")).otherwise((F.col("seq") - 20).cast("string"))).alias("evidence_node_ids"), none.alias("evidence_timestamps"), none.alias("keywords"),
     )

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import most_common
+from ..functions.text import tag_words
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,10 +30,10 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as nodes: a source is a podcast, ten ids an episode, a language a node type; labels are the text's first long words."""
+    """documents as nodes: a source is a podcast, ten ids an episode, a language a node type; labels are the most frequent tag words of the whole text."""
     d = table(spark, sf_dir, "documents")
     kind = F.when(F.col("lang") == "en", "position_card").when(F.col("lang") == "fr", "cluster_summary").when(F.col("lang") == "de", "episode_thesis").otherwise("leaf_chunk")
-    words = F.slice(F.regexp_extract_all("text", F.lit(r"[A-Za-z]{4,}"), F.lit(0)), 1, 3)
+    words = most_common(tag_words("text"), 8)
     day = F.concat(F.lit("2026-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"))
     return d.select(
         F.col("source").alias("podcast_id"),

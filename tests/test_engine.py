@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from loomline import cli, config
 from loomline.functions import arrays, dates, hashing, text
 from loomline.operators import corrections, delta, hierarchy, metrics, model, representations, topics, validation
-from loomline.plans import jobs, queries
+from loomline.plans import jobs, queries, tables
 from loomline.sources import caches, judgments, transcripts
 from loomline.streaming import jobs as streams
 
@@ -182,6 +182,20 @@ def test_near_duplicates_of_any_length(spark, tmp_path):
     assert {r.doc_id for r in queries.near_dup_greedy(spark, str(tmp_path)).collect()} == set(range(len(rows))) - set(kept)
 
 
+def test_whole_texts_are_read(spark, tmp_path):
+    start = "Same opening words of both texts, which go on for more than sixty characters, "
+    spark.createDataFrame([(1, 0, "user", start + "one"), (1, 1, "user", start + "two"), (2, 0, "user", start + "one")], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    said = start + "inflation inflation inflation"
+    spark.createDataFrame([(1, said, "en", "a", len(said)), (2, None, "en", "a", None)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [tuple(r) for r in queries.keep_first_claims(spark, str(tmp_path)).collect()] == [("user", 2)]
+    titled = {r.doc_id: (r.title, r.slug) for r in queries.title_cases(spark, str(tmp_path)).collect()}[1]
+    assert titled[0].endswith("Inflation Inflation Inflation") and titled[1].endswith("characters-inflation-inflation-inflation")
+    tags = {r.node_id: (r.topic_tags, r.page_content) for r in tables.nodes(spark, str(tmp_path)).collect()}
+    ranked = queries.topic_tags(spark, str(tmp_path)).where("doc_id = 1").orderBy("rank").collect()
+    assert tags["1"][0] == [r.tag for r in ranked] and tags["1"][0][0] == "inflation" and tags["2"][0] == []
+    assert queries._positions(spark, str(tmp_path))[1].where("position_id = '1'").first().claim == said
+
+
 def test_model_salvage(spark):
     assert model.salvage_json('```json\n{"a": 1}\n```') == {"a": 1} and model.salvage_json("no") is None
     cut = '{"positions": [{"claim": "x", "keywords": ["k"]}, {"claim": "y"}, {"cla'
