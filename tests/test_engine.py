@@ -196,6 +196,20 @@ def test_whole_texts_are_read(spark, tmp_path):
     assert queries._positions(spark, str(tmp_path))[1].where("position_id = '1'").first().claim == said
 
 
+def test_every_hundredth_vector_is_asked(spark, tmp_path):
+    rng = random.Random(1)
+    v = {i: [rng.gauss(0, 1) for _ in range(4)] for i in [*range(60), *range(100, 1000, 50)]}
+    spark.createDataFrame([(i, x, i % 3) for i, x in v.items()], "vec_id long, embedding array<float>, label long").write.parquet(str(tmp_path / "embeddings.parquet"))
+
+    def cosine(x, y):
+        return sum(a * b for a, b in zip(x, y, strict=True)) / (sum(a * a for a in x) * sum(b * b for b in y)) ** 0.5
+
+    want = {(q, r, d) for q in range(0, 1000, 100) for r, d in enumerate(sorted((i for i in v if i != q), key=lambda i: -cosine(v[q], v[i]))[:20], 1)}
+    results, _ = tables.ranked(spark, str(tmp_path), block=3)
+    assert {(r.query_id, r["rank"], r.document_id) for r in results.collect()} == want
+    assert {tuple(r) for r in queries.nearest_results(spark, str(tmp_path)).collect()} == want
+
+
 def test_model_salvage(spark):
     assert model.salvage_json('```json\n{"a": 1}\n```') == {"a": 1} and model.salvage_json("no") is None
     cut = '{"positions": [{"claim": "x", "keywords": ["k"]}, {"claim": "y"}, {"cla'
