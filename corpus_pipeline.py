@@ -5,7 +5,8 @@ Stages, each over all that the one before kept:
 1. quality       rejects what the weak-label quality classifier scores below 0.5
 2. near_copies   keeps the document with the least id of each group linked by 5-word shingles at a similarity of 0.8
 3. benchmark     drops documents that hold a 10-word window of a benchmark item
-4. mixing        draws documents by source weight, 150 % of all words in total; a document that is drawn twice has two rows
+4. mixing        draws documents by source weight, 150 % of all words in total; a document that is drawn twice has two rows;
+                 rows are placed by shard and shuffled within it
 5. packing       tokenises and packs into sequences of 2,048 ids
 
 Null or empty texts don't pass the first stage; columns of documents pass through to the fourth.
@@ -32,7 +33,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).select(*docs.columns)
+    return mixing.shuffled(mixing.mix(docs)).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ own columns (mix_shard, mix_order) replace equally named ones; empty tables give
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -156,17 +156,21 @@ def _decided(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     return joined.withColumn("mix_shards", F.concat("full_shards", F.when(once, F.array("last_shard")).otherwise(F.array().cast("array<int>"))))
 
 
+def _order(seed: int, copy: Column) -> Column:
+    return F.xxhash64(F.lit(seed + 6), F.col("mix_key"), copy)
+
+
 def mixture(
     docs: DataFrame, share: float = 1.5, cap: float = 2.0, slots: int = 4096, block_words: int = 65_536, shards: int = 16, seed: int = 17,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """Per row: doc_id, size, source_size, target, taken (words, repeats counted), shards (one for each copy that is taken)."""
+    """Per row: doc_id, size, source_size, target, taken (words, repeats counted), shards and orders (one for each copy that is taken; its place in the shard)."""
     scratch = Scratch(docs.sparkSession, "mixing")
     narrow = _keyed(docs, slots, seed, id_col, text_col, source_col).select(F.col(id_col).cast("long").alias("doc_id"), "mix_source", "mix_size", "mix_slot", "mix_key")
     narrow = scratch.table(narrow, "rows")
     decided = _decided(narrow, _plan(narrow, scratch, share, cap, slots, block_words, shards, seed))
     taken = F.col("mix_size") * F.size("mix_shards")
-    return decided.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"), F.col("mix_shards").alias("shards"))
+    return decided.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"), F.col("mix_shards").alias("shards"), F.transform("mix_shards", lambda s, i: _order(seed, i)).alias("orders"))
 
 
 def mix(
@@ -180,11 +184,15 @@ def mix(
     narrow = scratch.table(keyed.select("mix_source", "mix_size", "mix_slot", "mix_key"), "rows")
     decided = _decided(keyed, _plan(narrow, scratch, share, cap, slots, block_words, shards, seed))
     copies = decided.select(*[decided[c] for c in docs.columns], F.col("mix_key"), F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
-    return copies.select(*docs.columns, "mix_shard", F.xxhash64(F.lit(seed + 6), "mix_key", "mix_copy").alias("mix_order"))
+    return copies.select(*docs.columns, "mix_shard", _order(seed, F.col("mix_copy")).alias("mix_order"))
 
 
-def write_mix(mixed: DataFrame, path: str, files: int | None = None) -> None:
-    """Write each shard's rows to its own folder, shuffled within each file; a shard is spread over files by its order."""
+def shuffled(mixed: DataFrame, files: int | None = None) -> DataFrame:
+    """Rows of `mix` by shard and, within each partition, by order; a shard is spread over partitions by its order."""
     n = files or int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = mixed.repartition(n, "mix_shard", F.pmod("mix_order", F.lit(8))).sortWithinPartitions("mix_shard", "mix_order")
-    spread.write.mode("overwrite").partitionBy("mix_shard").parquet(path)
+    return mixed.repartition(n, "mix_shard", F.pmod("mix_order", F.lit(8))).sortWithinPartitions("mix_shard", "mix_order")
+
+
+def write_mix(mixed: DataFrame, path: str, files: int | None = None) -> None:
+    """Write each shard's rows to its own folder, shuffled within each file."""
+    shuffled(mixed, files).write.mode("overwrite").partitionBy("mix_shard").parquet(path)

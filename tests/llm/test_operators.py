@@ -128,6 +128,20 @@ def test_mixture_meets_targets(docs):
     assert again == {(r.doc_id, tuple(r.shards)) for r in rows}
 
 
+def test_mix_is_placed_and_shuffled(spark, docs, tmp_path):
+    mixed = mixing.mix(docs, shards=4)
+    want = sorted((r.mix_shard, r.mix_order, r.doc_id) for r in mixed.select("mix_shard", "mix_order", "doc_id").collect())
+    assert want == sorted((s, o, r.doc_id) for r in mixing.mixture(docs, shards=4).collect() for s, o in zip(r.shards, r.orders, strict=True))
+    mixing.write_mix(mixed, str(tmp_path / "mix"), files=3)
+    files = collections.defaultdict(list)
+    for r in spark.read.parquet(str(tmp_path / "mix")).select(F.input_file_name().alias("f"), "mix_shard", "mix_order", "doc_id").collect():
+        files[r.f].append((r.mix_shard, r.mix_order, r.doc_id))
+    assert sorted(x for rows in files.values() for x in rows) == want and all(rows == sorted(rows) for rows in files.values())
+    placed = mixing.shuffled(mixing.mix(docs)).select("doc_id", "mix_shard", "mix_order").rdd.glom().collect()
+    assert all([r[1:] for r in part] == sorted(r[1:] for r in part) for part in placed)
+    assert [[r.doc_id for r in part] for part in corpus_pipeline.mixing_stage(spark, docs, SF).select("doc_id").rdd.glom().collect()] == [[r.doc_id for r in part] for part in placed]
+
+
 def test_splitting_tree_adds_up(spark):
     counts = spark.createDataFrame([([40, 0, 7, 1000],)], "counts array<long>")
     rows = mixing.shard_quotas(counts, 8, 1).collect()
