@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loomline.llm import chat, decontaminate, exact_dedup, jaccard, line_dedup, mixing, packing, quality, secrets, suffix_dedup
+from loomline.llm import chat, decontaminate, exact_dedup, jaccard, line_dedup, mixing, packing, quality, queries, secrets, suffix_dedup
 from loomline.llm.common import Scratch
 
 SF = "/root/testdata/sf0.001"
@@ -78,6 +78,15 @@ def test_query_blocks_merge(spark, docs):
     assert kept == {r.doc_id for r in one if not r.n_hit}
 
 
+def test_near_matches_are_returned(spark, tmp_path):
+    said = [f"w{i}" for i in range(10)]
+    texts = [(1, " ".join(said)), (2, " ".join([*said[:5], "put", "in", *said[5:]])), (3, "none of these")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(7, " ".join(said))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r.doc_id: (r.n_near_items, r.near_items, [tuple(x) for x in r.spans]) for r in queries.QUERIES["op1_near_matches"](spark, str(tmp_path)).collect()}
+    assert got[2] == (1, ["7"], []) and got[3] == (0, [], []) and got[1][2] == [(0, 10)]
+
+
 def test_packing_is_lossless(docs):
     packed = packing.pack(docs, seq_len=256).collect()
     pieces = collections.defaultdict(dict)
