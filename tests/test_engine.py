@@ -210,6 +210,20 @@ def test_every_hundredth_vector_is_asked(spark, tmp_path):
     assert {tuple(r) for r in queries.nearest_results(spark, str(tmp_path)).collect()} == want
 
 
+def test_envelopes_of_all_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(validation, "envelope_violations", lambda c: seen.append(c.count()))
+    queries.envelope_violations(spark, "/root/testdata/sf0.001")
+    assert seen == [200]
+
+
+def test_envelopes_match_sql(spark):
+    from loomline.plans.oracles import SQL
+    from tests.compare import compare
+
+    assert compare(spark, "/root/testdata/sf0.001", queries.envelope_violations, SQL["envelope_violations"]) == ""
+
+
 def test_model_salvage(spark):
     assert model.salvage_json('```json\n{"a": 1}\n```') == {"a": 1} and model.salvage_json("no") is None
     cut = '{"positions": [{"claim": "x", "keywords": ["k"]}, {"claim": "y"}, {"cla'
