@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,20 +20,32 @@ ALNUM_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster, or a local one where none is set."""
+    """The shared folder of the cluster, or a local one where none is set and all runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(LOCAL_CHECKPOINTS)
         root = LOCAL_CHECKPOINTS
     return root
 
 
 class Scratch:
-    """Intermediate tables in the shared folder: they cut lineage and survive the loss of executors."""
+    """Intermediate tables in the shared folder: they cut lineage and survive the loss of executors.
+
+    They are deleted by `drop`, or else when the driver ends.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{checkpoint_root(spark).rstrip('/')}/loomline/{name}-{uuid.uuid4().hex}"
+        path, files = self._hadoop("")
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+
+    def _hadoop(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name).rstrip("/"))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -44,10 +57,14 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         """Delete tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            path, files = self._hadoop(name)
+            files.delete(path, True)
+
+    def free(self) -> None:
+        """Let Spark's cleaner delete shuffle files and broadcasts of plans that nothing refers to; it learns of them when the driver collects garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 def ascii_lower_words(text: str | None) -> list[bytes]:

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, ascii_lower_tokens, pieces
+from .graph import components
 
 #: Powers of an odd number: shingles of up to 64 words.
 POWERS = np.multiply.accumulate(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
@@ -258,6 +259,10 @@ def _linked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, scratch: Scra
     return links
 
 
+def _folded(edges: DataFrame) -> DataFrame:
+    return edges.repartition("b").mapInArrow(_forest, "a long, b long")
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The edges of one partition as stars: each node with the least node of its part."""
     root: dict[int, int] = {}
@@ -280,32 +285,6 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs[at : at + 8192], strict=True)], ["a", "b"])
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(node, component): the least node that is connected with each node of edges (a, b), by alternating large and small stars.
-
-    Before the first round each partition replaces its edges by stars, so that rounds move about one edge a node.
-    """
-    thin = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).repartition("b").mapInArrow(_forest, "a long, b long")
-    edges = scratch.table(thin.distinct(), f"{name}-0")
-    k, before = 0, None
-    while True:
-        # large stars: the larger neighbours of a node go to the least of its neighbours
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).where("m < a")
-        moved = edges.join(least.select(F.col("a").alias("b"), "m"), "b", "left").select("a", F.coalesce("m", "b").alias("b"))
-        large = moved.union(edges.join(least.select(F.col("a").alias("b"), "m"), "b").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
-        # small stars: a node and its smaller neighbours go to the least of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = low.select("a", F.col("m").alias("b")).union(large.join(low.where("n > 1"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        k += 1
-        edges = scratch.table(small.distinct(), f"{name}-{k}")
-        scratch.drop(f"{name}-{k - 1}")
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = state
-
-
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the least id that is reachable by links, itself included)."""
     scratch = Scratch(docs.sparkSession, "jaccard")
@@ -318,7 +297,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
 
     stars = scratch.table(_neighbours(classes, percent), "stars")
     first = _linked(docs, stars, classes, scratch, "star", text_col, width, percent)
-    near = components(first, scratch, "near")
+    near = components(first, scratch, "near", _folded)
 
     # Postings of the short lists whose shingle stands in more than one class.
     postings = scratch.table(_prefixes(docs, sketch, text_col, width, percent), "postings")
@@ -335,7 +314,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
 
     names = classes.select("c1", "node")
     links = first.union(second).join(names.withColumnsRenamed({"c1": "a", "node": "p"}), "a").join(names.withColumnsRenamed({"c1": "b", "node": "q"}), "b").select(F.col("p").alias("a"), F.col("q").alias("b"))
-    final = components(_with_repeats(links, rows, names), scratch, "final")
+    final = components(_with_repeats(links, rows, names), scratch, "final", _folded)
     answer = names.join(final, "node", "left").select("c1", F.coalesce("component", "node").alias("component"))
     answer = scratch.table(answer, "answer")
     out = rows.join(answer, "c1", "left")
@@ -416,10 +395,6 @@ def _with_repeats(links: DataFrame, rows: DataFrame, names: DataFrame) -> DataFr
     return links.union(again)
 
 
-def prefix_sql(n: str, percent: int) -> str:
-    return f"({n} - ({n} * {percent} + 99) div 100 + 1)"
-
-
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is the least of its component; rows with a null id stay."""
     found = jaccard_components(docs, width, percent, id_col, text_col)

@@ -4,17 +4,26 @@ Equal lines are folded to one text. A text of more than threshold characters is
 another is within `threshold` edits, one segment stands in it unchanged, and near its old place. So each text is
 indexed by (length, segment number, segment), and probes the indexes of its own and of the shorter lengths with the few
 substrings whose places are possible (multi-match-aware: the shift is bounded by the edits left of and right of a
-segment). What meets, and differs by few enough letters in its counts of some, is verified by a banded bit-parallel automaton: for each number of edits one word, with a bit for
-each diagonal of the band, moved by a character of the text at a time.
+segment). What meets, and differs by few enough letters in its counts of some, is decided by a banded bit-parallel automaton:
+for each number of edits one word, with a bit for each diagonal of the band, moved by a character of the text at a time.
 
-A line is a repeat when an equal line stands before it (in order of doc_id and place), and near when its text is linked
-with a text whose first place is before that of its own. What is linked is reported: each line's class, and each link between
-first places. `drop_lines` drops repeats of a first place, and a text's lines when it is linked with an earlier text that has
-no earlier neighbour; such a text is always kept, so no line is dropped without a kept equal or neighbour of its own.
+Texts that are linked, directly or by way of others, are one class. Nothing needs all pairs of a class:
+
+* Hashes of segments and substrings are first folded alone; only those that stand in two texts get their texts.
+* Of the texts that share a hash, one of each class is compared with one of the largest class that is known so far. Near copies
+  become one class by that, at one comparison each.
+* Where different classes still share a hash, each text is compared with those of other classes. Comparing counts is all that most of these pairs
+  get: a pair is emitted only if lengths and counts of letters allow it. Groups of more than BLOCK texts are dealt into blocks, so
+  that no task has more than a block of the index against the probes of a hash. The comparisons of unlike texts that share a
+  hash grow with the square of their number, which is the method's own price; no pair is left out.
+
+A line is a repeat when an equal line stands before it (in order of doc_id and place), and near when the first line of its class
+is another text. `drop_lines` drops repeats, and lines within `threshold` edits of the first line of their class, which
+always stays: no line is dropped without an equal or near line that is kept.
 
 Defined results: null and empty texts have no lines, and a row of the report only if `every` is set; empty lines are dropped from counts; lines of at most threshold
 characters are compared for equality only, since the allowed edits can replace all of such a line (`least_chars` can raise that bound); rows that share an id are one document's lines twice, the second ones repeats; a null id
-comes first in order; extra columns are ignored; an empty table gives no rows.
+comes first in order; extra columns are ignored, whatever their names; an empty table gives no rows. Texts are known by two 64-bit hashes, and compared as they are.
 """
 
 from __future__ import annotations
@@ -23,6 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
+from .graph import components
+
+#: 64-bit words of the filters that spare rows a shuffle; a full filter only spares nothing.
+FILTER_WORDS = 1 << 17
+#: Texts of a hash that are looked through at once; the index of larger groups is dealt into blocks of about this size.
+BLOCK = 1024
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -45,38 +60,47 @@ def selected_places(length: int, threshold: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _segments(threshold: int) -> str:
-    """SQL: array of (h) of the indexed segments of `line` with n characters."""
-    return _hashes([("n", i, 0) for i in range(threshold + 1)], threshold)
+def pieces_of(texts: DataFrame, threshold: int) -> DataFrame:
+    """(h, id, held) of texts (id, line): their segments, which the index holds (1), and their other probes (0).
+
+    Segment i of a text of m characters: the first parts have m div parts, the last m mod parts of them one more. A segment is its own
+    probe at its own place. Pieces of plain ASCII are cut from bytes, which needs no walk over characters.
+    """
+    parts = threshold + 1
+    places = [(d, i, shift) for d in range(parts) for i, low, high in selected_places(d, threshold) for shift in range(low, high + 1)]
+    probes = ", ".join(f"named_struct('d', {d}, 'i', {i}, 's', {s}, 'held', {int(d == 0 and s == 0)}L)" for d, i, s in places)
+    wide = texts.selectExpr("id", "line", "length(line) as n").selectExpr("*", "octet_length(line) = n as plain", "cast(line as binary) as bytes", f"explode(array({probes})) as p")
+    placed = wide.selectExpr("id", "line", "n", "plain", "bytes", "p.held", "p.i", "p.s", "n - p.d as m")
+    size, start = f"cast(m div {parts} + if(i >= {parts} - m % {parts}, 1, 0) as int)", f"cast(i * (m div {parts}) + greatest(0, i - ({parts} - m % {parts})) + s as int)"
+    cut = placed.selectExpr("id", "line", "n", "plain", "bytes", "held", "i", "m", f"{size} as size", f"{start} as start").where(f"m >= {parts} and start >= 0 and start + size <= n")
+    piece = "if(plain, substring(bytes, start + 1, size), cast(substring(line, start + 1, size) as binary))"
+    return cut.selectExpr(f"xxhash64(m, i, {piece}) as h", "id", "held")
 
 
-def _probes(threshold: int) -> str:
-    return _hashes([(f"(n - {d})", i, shift) for d in range(threshold + 1) for i, low, high in selected_places(d, threshold) for shift in range(low, high + 1)], threshold)
+def sieve(keys: DataFrame, key: str, scratch: Scratch, name: str) -> DataFrame:
+    """Set bits of hashed keys, of bounded size: (word, bits)."""
+    words = keys.selectExpr(f"shiftright(pmod(xxhash64({key}), {FILTER_WORDS * 64}L), 6) as word", f"shiftleft(1L, cast(pmod(xxhash64({key}), 64L) as int)) as bits")
+    return scratch.table(words.groupBy("word").agg(F.bit_or("bits").alias("bits")), name)
 
 
-def _hashes(places: list[tuple[str, int, int]], threshold: int) -> str:
-    """Segment i of a text of m characters: the first parts have m div parts, the last m mod parts of them one more."""
-    parts, out = threshold + 1, []
-    for m, i, shift in places:
-        size = f"({m} div {parts} + if({i} >= {parts} - {m} % {parts}, 1, 0))"
-        start = f"({i} * ({m} div {parts}) + greatest(0, {i} - ({parts} - {m} % {parts})) + {shift})"
-        inside = f"{start} >= 0 and {start} + {size} <= n"
-        out.append(f"if({inside}, xxhash64(cast({m} as int), {i}, substring(line, cast({start} + 1 as int), cast({size} as int))), null)")
-    return f"array({', '.join(out)})"
+def sifted(df: DataFrame, words: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows of df whose key may be in the sieve; with "left_anti" those whose key isn't. At most FILTER_WORDS rows are broadcast."""
+    hit = F.expr(f"shiftright(pmod(xxhash64({key}), {FILTER_WORDS * 64}L), 6) = word and (shiftleft(1L, cast(pmod(xxhash64({key}), 64L) as int)) & bits) <> 0")
+    return df.join(F.broadcast(words), hit, how)
 
 
-#: Letters whose counts make the signature of a line, a byte each; any letters give right results.
-COUNTED = "etaonrs"
+#: Letters whose counts make the two signatures of a line, a byte each; any letters give right results.
+COUNTED = ("etaonrs", "ihldcum")
 
 
-def letter_counts(line: str) -> str:
-    """SQL: counts of some letters, up to 255, packed into a long."""
-    return " | ".join(f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) as bigint), {8 * i})" for i, c in enumerate(COUNTED))
+def letter_counts(line: str) -> list[str]:
+    """SQL: counts of some letters, up to 255, packed into longs c0 and c1."""
+    return [" | ".join(f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) as bigint), {8 * i})" for i, c in enumerate(letters)) + f" as c{k}" for k, letters in enumerate(COUNTED)]
 
 
 def counts_apart(a: str, b: str) -> str:
-    """SQL: summed differences of two signatures. An edit changes it by 2 at most."""
-    return " + ".join(f"abs((shiftright({a}, {8 * i}) & 255L) - (shiftright({b}, {8 * i}) & 255L))" for i in range(len(COUNTED)))
+    """SQL: summed differences of the signatures of two rows. An edit changes it by 2 at most."""
+    return " + ".join(f"abs((shiftright({a}.c{k}, {8 * i}) & 255L) - (shiftright({b}.c{k}, {8 * i}) & 255L))" for k, letters in enumerate(COUNTED) for i in range(len(letters)))
 
 
 def within_edits(left: str, right: str, threshold: int) -> str:
@@ -100,96 +124,175 @@ def within_edits(left: str, right: str, threshold: int) -> str:
         previous = f"({word})"
         steps.append(f"'r{j}', {previous}")
     final = f"shiftright(s.r{k}, size({right}) - size({left}) + {k}) & 1"
+    # a text that is too far away stays so: no diagonal comes back
     return (
         f"abs(size({left}) - size({right})) <= {k} and aggregate(sequence(0, size({left}) - 1), named_struct({begin}), "
-        f"(s, i) -> aggregate(array({match}), s, (t, m) -> named_struct({', '.join(steps)})), s -> {final}) = 1"
+        f"(s, i) -> if(s.r{k} = 0, s, aggregate(array({match}), s, (t, m) -> named_struct({', '.join(steps)}))), s -> {final}) = 1"
     )
 
 
-def linked_lines(docs: DataFrame, threshold: int, least_chars: int, scratch: Scratch, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(lines, links): doc_id, place, key, n of every line; links (a, b) of the keys of different texts within threshold edits, both ways."""
-    lines = lines_of(docs, id_col, text_col).withColumns({"key": F.xxhash64("line"), "check": F.xxhash64(F.lit(1), "line"), "n": F.length("line")})
-    places = scratch.table(lines.select("doc_id", "place", "key", "n"), "lines")
-    texts = lines.where(F.col("n") >= max(least_chars, threshold + 1)).groupBy("line", "key", "check", "n").agg(F.count("*").alias("c"))
-    texts = scratch.table(texts.select("line", "key", "n", F.expr(letter_counts("line")).alias("counts")), "texts")
-    index = texts.select("key", "counts", F.explode(F.expr(_segments(threshold))).alias("h")).where("h is not null")
-    probes = texts.select("key", "counts", F.explode(F.expr(_probes(threshold))).alias("h")).where("h is not null")
-    met = probes.join(index.withColumnsRenamed({"key": "other", "counts": "others"}), "h").where(f"key <> other and {counts_apart('counts', 'others')} <= {2 * threshold}")
-    pairs = scratch.table(met.select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b")).distinct(), "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    found = scratch.table(texts.join(asked, "key", "left_semi").select("key", "line"), "asked")
-    sides = pairs.join(found.withColumnsRenamed({"key": "a", "line": "x"}), "a").join(found.withColumnsRenamed({"key": "b", "line": "y"}), "b")
-    # the characters are bound to a variable, or the plan would split the lines anew at each step of the automaton
-    close = F.expr(f"transform(array(named_struct('x', split(x, ''), 'y', split(y, ''))), v -> {within_edits('v.x', 'v.y', threshold)})[0]")
-    # the built-in distance, which stops at the threshold, spares the automaton pairs that are far apart
-    links = sides.where(F.when(F.levenshtein("x", "y", threshold) >= 0, close).otherwise(False)).select("a", "b")
-    links = scratch.table(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    scratch.drop("asked", "pairs")
-    return places, links
+def _bound(value: str, name: str, body: str) -> str:
+    """SQL: body with a variable, which is evaluated once; columns would be put into the body by the optimizer, and evaluated at each use."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def texts_within(x: str, y: str, threshold: int) -> str:
+    """SQL: whether two texts are within threshold edits. What they have in common at their ends, found by bisection, changes no distance; the automaton reads the rest."""
+    halves = "array(" + ", ".join(str(1 << i) for i in range(30, -1, -1)) + ")"
+    front = f"aggregate({halves}, 0, (p, w) -> if(p + w <= t.most and substring(t.x, p + 1, w) = substring(t.y, p + 1, w), p + w, p))"
+    back = f"aggregate({halves}, 0, (p, w) -> if(u.front + p + w <= u.t.most and substring(u.t.x, u.t.nx - p - w + 1, w) = substring(u.t.y, u.t.ny - p - w + 1, w), p + w, p))"
+    inner = [f"substring(v.u.t.{c}, v.u.front + 1, v.u.t.n{c} - v.u.front - v.back)" for c in "xy"]
+    split = _bound("named_struct('x', split(r.x, ''), 'y', split(r.y, ''))", "c", within_edits("c.x", "c.y", threshold))
+    decided = f"if(r.x = '' or r.y = '', length(r.x) + length(r.y) <= {threshold}, {split})"
+    decided = _bound(f"named_struct('x', {inner[0]}, 'y', {inner[1]})", "r", decided)
+    decided = _bound(f"named_struct('u', u, 'back', {back})", "v", decided)
+    decided = _bound(f"named_struct('t', t, 'front', {front})", "u", decided)
+    return _bound(f"named_struct('x', {x}, 'y', {y}, 'nx', length({x}), 'ny', length({y}), 'most', least(length({x}), length({y})))", "t", decided)
+
+
+def verified(pairs: DataFrame, asked: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose texts are within threshold edits, decided by the automaton; letter counts spare it texts that are far apart."""
+    narrow = asked.select("id", F.struct("n", "c0", "c1").alias("s"))
+    both = pairs.join(narrow.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(narrow.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
+    likely = both.where(f"abs(x.n - y.n) <= {threshold} and {counts_apart('x', 'y')} <= {2 * threshold}").select("a", "b")
+    texts = asked.select("id", "line")
+    sides = likely.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    return sides.where(texts_within("x", "y", threshold)).select("a", "b")
+
+
+def mixed(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """The rows (h, id, held) whose hash different classes share and an index holds, with part (class), main (largest part of the hash, and a text of it) and k (rows of the hash)."""
+    named = rows.select("h", "id", "held")
+    if classes is None:
+        named = named.withColumn("part", F.col("id"))
+    else:
+        named = named.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+    parts = named.groupBy("h", "part").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.max("held").alias("held"))
+    groups = parts.groupBy("h").agg(F.max(F.struct("n", "part", "id")).alias("main"), F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("held").alias("held"), F.sum("n").alias("k"))
+    return named.join(groups.where("lo < hi and held = 1").select("h", "main", "k"), "h")
+
+
+def across(rows: DataFrame, asked: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of texts of different classes that share a hash which the index holds for one of them, and that lengths and letter counts allow."""
+    signed = rows.join(asked.select("id", F.struct("n", "c0", "c1").alias("s")), "id").withColumn("blocks", F.expr(f"cast(ceil(k / {BLOCK}) as int)"))
+    index = signed.where("held = 1").select("h", F.expr("pmod(xxhash64(id), blocks)").cast("int").alias("block"), F.col("id").alias("a"), F.col("part").alias("here"), F.col("s").alias("x"))
+    probes = signed.select("h", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.col("id").alias("b"), F.col("part").alias("there"), F.col("s").alias("y"))
+    met = index.join(probes, ["h", "block"]).where(f"here <> there and abs(x.n - y.n) <= {threshold} and {counts_apart('x', 'y')} <= {2 * threshold}")
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
+def linked_texts(texts: DataFrame, threshold: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(asked, classes) of texts (id, line): the texts that share a hash, and (node, component) of those with links."""
+    spelled = pieces_of(texts, threshold)
+    folded = spelled.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
+    groups = scratch.table(folded, "groups")
+    scratch.free()
+    rows = sifted(spelled, sieve(groups, "h", scratch, "group-sieve"), "h").join(groups, "h", "left_semi")
+    rows = scratch.table(rows, "rows")
+    ids = scratch.table(rows.select("id").distinct(), "ids")
+    asked = sifted(texts.select("id", "line"), sieve(ids, "id", scratch, "id-sieve"), "id").join(ids, "id", "left_semi")
+    asked = scratch.table(asked.selectExpr("id", "line", "length(line) as n", *letter_counts("line")), "asked")
+    scratch.drop("groups", "group-sieve", "ids", "id-sieve")
+    links, classes = None, None
+    for step in range(3):
+        name = "mixed" if step < 2 else "left"
+        rows = scratch.table(mixed(rows, classes), f"{name}{step}")
+        if step < 2:  # one of each class with one of the largest: near copies become one class
+            pairs = rows.where("part <> main.part").groupBy("h", "part").agg(F.min("id").alias("a"), F.min("main.id").alias("b")).select("a", "b")
+        else:
+            pairs = across(rows, asked, threshold)
+        found = scratch.table(verified(pairs.distinct(), asked, threshold), f"links{step}")
+        if classes is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            classes = scratch.table(components(links, scratch, f"star{step}"), f"classes{step}")
+    return asked, classes
+
+
+#: A first place as one number, so that it can be folded by hash: the id, and 32 bits of the place. A null id is below all others.
+_SPOT = "cast(coalesce(cast(doc_id as decimal(20, 0)), -9223372036854775809BD) * 4294967296BD as decimal(38, 0)) + place"
+
+
+def _place_of(spot: str) -> list:
+    """(doc_id, place) of a spot."""
+    doc = f"floor({spot} / 4294967296BD)"
+    return [F.expr(f"cast(if({doc} < -9223372036854775808BD, null, {doc}) as bigint)"), F.expr(f"cast({spot} - {doc} * 4294967296BD as int)")]
 
 
 def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, place, key, n, repeat, near, links, class_doc, class_place, first_doc, first_place, linked, dropped) of every line.
+    """(doc_id, place, n, key, repeat, near, first_doc, first_place, class_doc, class_place, dropped) of every line.
 
-    class: first place of the least text that is linked with the line's text, or its own first place when that is before.
-    first: first place of the line's own text. linked: on first places, the first places of all linked texts that are before.
+    first: first place of the line's own text. class: first place of all texts of its class. near: the two differ.
     dropped: whether `drop_lines` takes it out.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    places, links = linked_lines(docs, threshold, least_chars, scratch, id_col, text_col)
-    first = F.min(F.struct("doc_id", "place")).alias("first")
-    texts = scratch.table(places.groupBy("key").agg(first, F.count("*").alias("copies")), "firsts")
-    other = texts.select(F.col("key").alias("b"), F.col("first").alias("there"))
-    joined = links.join(other, "b").groupBy("a").agg(F.count("*").alias("links"), F.min("there").alias("before"), F.collect_list("there").alias("linked"))
-    known = texts.join(joined.withColumnRenamed("a", "key"), "key", "left")
-    earlier = F.array_sort(F.filter(F.coalesce("linked", F.array().cast("array<struct<doc_id:bigint,place:int>>")), lambda x: x < F.col("first")))
-    known = scratch.table(known.select("key", "first", F.coalesce("links", F.lit(0)).alias("links"), "before", earlier.alias("linked")), "known")
-    heads = known.where("links > 0 and size(linked) = 0").select(F.col("key").alias("b"))
-    under = links.join(heads, "b", "left_semi").select(F.col("a").alias("key")).distinct().withColumn("under", F.lit(True))
-    known = scratch.table(known.join(under, "key", "left"), "judged")
-    out = places.join(known, "key")
-    repeat = F.struct("doc_id", "place") != F.col("first")
-    near = F.coalesce(F.col("before") < F.col("first"), F.lit(False))
-    head = F.when(near, F.col("before")).otherwise(F.col("first"))
-    return out.select(
-        "doc_id", "place", "key", "n", repeat.alias("repeat"), near.alias("near"), "links", head["doc_id"].alias("class_doc"), head["place"].alias("class_place"),
-        F.col("first.doc_id").alias("first_doc"), F.col("first.place").alias("first_place"), F.when(repeat, F.slice("linked", 1, 0)).otherwise(F.col("linked")).alias("linked"),
-        (repeat | F.coalesce("under", F.lit(False))).alias("dropped"),
+    lines = lines_of(docs, id_col, text_col)
+    spots = lines.withColumn("spot", F.expr(_SPOT).cast("decimal(38,0)"))
+    folded = spots.groupBy("line").agg(F.min("spot").alias("spot"), F.count("*").alias("copies"))
+    hashes = {"key": F.xxhash64("line"), "check": F.xxhash64(F.lit(1), "line")}
+    texts = scratch.table(folded.select(F.monotonically_increasing_id().alias("id"), "line", "spot", "copies", *[h.alias(k) for k, h in hashes.items()]), "texts")
+    scratch.free()
+    asked, classes = linked_texts(texts.where(F.length("line") >= max(least_chars, threshold + 1)), threshold, scratch)
+
+    ids = texts.select("id", "spot", "copies", "key", "check")
+    members = scratch.table(classes.union(classes.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id"), "members")
+    inside = scratch.table(sifted(ids, sieve(members, "id", scratch, "member-sieve"), "id").join(members, "id"), "inside")
+    heads = inside.groupBy("component").agg(F.min(F.struct("spot", "id")).alias("head"))
+    inside = scratch.table(inside.join(heads, "component"), "headed")
+    beside = verified(inside.where("id <> head.id").select(F.col("id").alias("a"), F.col("head.id").alias("b")), asked, threshold)
+    inside = inside.join(beside.select(F.col("a").alias("id"), F.lit(True).alias("beside")), "id", "left").select("id", F.col("head.spot").alias("head"), F.coalesce("beside", F.lit(False)).alias("beside"))
+    inside = scratch.table(inside, "judged")
+    # only lines that stand twice or are linked have to learn anything from others
+    repeated = sifted(ids, scratch.spark.read.parquet(scratch.path("member-sieve")), "id", "left_anti").where("copies > 1").select("key", "check", "spot", F.col("spot").alias("head"), F.lit(False).alias("beside"))
+    maybe = sifted(ids, scratch.spark.read.parquet(scratch.path("member-sieve")), "id").join(inside, "id", "left").where("copies > 1 or head is not null")
+    known = repeated.union(maybe.select("key", "check", "spot", F.coalesce("head", "spot"), F.coalesce("beside", F.lit(False))))
+    known = scratch.table(known, "known")
+    words = sieve(known, "key", scratch, "known-sieve")
+    scratch.drop("headed", "inside", "members")
+
+    places = spots.select("doc_id", "place", "spot", F.length("line").alias("n"), *[h.alias(k) for k, h in hashes.items()])
+    alone = sifted(places, words, "key", "left_anti").withColumns({"first": F.col("spot"), "head": F.col("spot"), "beside": F.lit(False)})
+    others = sifted(places, words, "key").join(known.withColumnRenamed("spot", "first"), ["key", "check"], "left")
+    others = others.withColumns({"first": F.coalesce("first", "spot"), "head": F.coalesce("head", "spot"), "beside": F.coalesce("beside", F.lit(False))})
+    found = alone.unionByName(others)
+    first, head = _place_of("first"), _place_of("head")
+    # of equal places, which rows that share an id have, one is the first
+    repeat = F.expr("spot <> first")
+    return found.select(
+        "doc_id", "place", "n", "key", repeat.alias("repeat"), F.expr("first <> head").alias("near"), first[0].alias("first_doc"), first[1].alias("first_place"),
+        head[0].alias("class_doc"), head[1].alias("class_place"), (repeat | F.col("beside")).alias("dropped"),
     )
 
 
 def line_report(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
-    """Per document with lines, or per document if `every`: doc_id, n_lines, n_repeat, n_near, n_links, chars_kept, classes, pairs.
+    """Per document with lines, or per document if `every`: doc_id, n_lines, n_repeat, n_near, n_dropped, chars_kept, classes.
 
-    classes: by place, the first place of the text of each repeated or near line, and its class. pairs: all links between
-    first places, each once, at the later one. Both together give every link of every line.
+    classes: by place, the first place of the text of each repeated or near line, and the first place of its class. A text that is linked with another
+    has its class; lines without an entry are the first of theirs, which lists of other documents may name.
     """
     found = near_lines(docs, threshold, least_chars, id_col, text_col)
     gone = F.col("repeat") | F.col("near")
 
     def count(c):
-        return F.sum(F.when(c, 1).otherwise(0)).cast("long")
+        return F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long")
 
-    pairs = F.transform("linked", lambda x: F.struct(F.col("place"), x["doc_id"].alias("other_doc"), x["place"].alias("other_place")))
     if every:
         found = found.unionByName(docs.select(F.col(id_col).cast("long").alias("doc_id")), allowMissingColumns=True)
     return found.groupBy("doc_id").agg(
         F.count("place").alias("n_lines"),
         count(F.col("repeat")).alias("n_repeat"),
         count(F.col("near")).alias("n_near"),
-        F.coalesce(F.sum("links"), F.lit(0)).cast("long").alias("n_links"),
-        F.sum(F.when(gone, 0).otherwise(F.coalesce("n", F.lit(0)))).cast("long").alias("chars_kept"),
+        count(F.col("dropped")).alias("n_dropped"),
+        F.coalesce(F.sum(F.when(~F.col("dropped"), F.col("n"))), F.lit(0)).cast("long").alias("chars_kept"),
         F.array_sort(F.collect_list(F.when(gone, F.struct("place", "first_doc", "first_place", "class_doc", "class_place")))).alias("classes"),
-        F.array_sort(F.flatten(F.collect_list(F.when(F.size("linked") > 0, pairs)))).alias("pairs"),
     )
 
 
 def drop_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the lines that near_lines marks as dropped; empty lines, null texts and other columns stay as they are."""
     found = near_lines(docs, threshold, least_chars, id_col, text_col).where("dropped")
-    gone = found.groupBy(F.col("doc_id").alias("gone_doc")).agg(F.collect_set(F.struct("place", "key")).alias("gone_lines"))
-    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_doc")), "left")
-    lines = F.split(F.col(text_col).cast("string"), "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone_lines"), F.struct(i.alias("place"), F.xxhash64(x).alias("key"))))
-    text = F.when(F.col("gone_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    gone = found.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("place", "key")).alias("lines"))
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("row_id"), docs[text_col].cast("string").alias("row_text"))
+    joined = whole.join(gone, F.col("row_id").eqNullSafe(F.col("id")), "left")
+    kept = F.filter(F.split("row_text", "\n"), lambda x, i: ~F.array_contains(F.col("lines"), F.struct(i.alias("place"), F.xxhash64(x).alias("key"))))
+    text = F.when(F.col("lines").isNull(), F.col("row_text")).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -201,52 +201,89 @@ def edits(a, b):
     return row[-1]
 
 
+def line_classes(lines, threshold):
+    """Least line that each line is connected with, by brute force."""
+    root = list(range(len(lines)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(lines):
+        for j in range(i):
+            if min(len(x), len(lines[j])) > threshold >= abs(len(x) - len(lines[j])) and edits(x, lines[j]) <= threshold:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(lines))]
+
+
+def changed(rng, base, most, put):
+    c = list(base)
+    for _ in range(rng.randint(1, most)):
+        i = rng.randrange(len(c))
+        c[i : i + rng.randint(0, 1)] = rng.choice(put)
+    return "".join(c)
+
+
 @pytest.mark.parametrize("threshold", [1, 2])
-def test_line_links_match_brute_force(spark, threshold):
+def test_line_verdicts_match_brute_force(spark, threshold):
     rng = random.Random(threshold)
-    lines = set()
-    for _ in range(25):
-        base = [rng.choice("abc é") for _ in range(rng.randint(20, 28))]
-        lines.add("".join(base))
-        for _ in range(5):
-            c = list(base)
-            for _ in range(rng.randint(1, 3)):
-                i = rng.randrange(len(c))
-                c[i : i + rng.randint(0, 1)] = rng.choice(["", "x", "ab"])
-            lines.add("".join(c))
-    lines = sorted(x for x in lines if len(x) >= 20)
-    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    places, links = line_dedup.linked_lines(docs, threshold, 20, Scratch(spark, "test"), "doc_id", "text")
-    ids = places.select("key", "doc_id")
-    got = {(r.i, r.j) for r in links.join(ids.selectExpr("key as a", "doc_id as i"), "a").join(ids.selectExpr("key as b", "doc_id as j"), "b").collect()}
-    assert got == {(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines) if i != j and edits(x, y) <= threshold}
+    pairs = []
+    for _ in range(400):
+        base = "".join(rng.choice("abc é") for _ in range(rng.randint(4, 40)))
+        pairs.append((base, changed(rng, base, 4, ["", "x", "ab", "é"])))
+    pairs += [("abc", "abcde"), ("aaaa", "aaa"), ("abcabc", "abc"), ("ab", "")]
+    got = spark.createDataFrame(pairs, "x string, y string").selectExpr("x", "y", line_dedup.texts_within("x", "y", threshold) + " as near").collect()
+    assert [r.near for r in got] == [edits(x, y) <= threshold for x, y in pairs] and {r.near for r in got} == {True, False}
 
 
-def test_short_lines_are_linked(spark):
-    rng = random.Random(5)
+@pytest.mark.parametrize("threshold", [1, 2])
+def test_line_classes_match_brute_force(spark, threshold, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    rng = random.Random(threshold)
     lines = {"Read more >", "Read more >>", "twenty characters on", "twenty characters o", "ab", "a", "b"}
-    lines |= {"".join(rng.choice("abcde é") for _ in range(rng.randint(1, 8))) for _ in range(150)}
+    lines |= {"".join(rng.choice("abcdefgh é") for _ in range(rng.randint(1, 9))) for _ in range(80)}
+    for _ in range(20):
+        base = [rng.choice("abc é") for _ in range(rng.randint(20, 28))]
+        lines |= {"".join(base), *(changed(rng, base, 3, ["", "x", "ab"]) for _ in range(5))}
+    common = "a start that many lines share, word for word "  # a hot segment of lines that differ at their ends, and some that don't
+    lines |= {common + "".join(rng.choice("abcdefghij") for _ in range(22)) for _ in range(60)} | {common + "the same end" + c for c in "abcdef"}
     lines = sorted(lines)
+    docs = spark.createDataFrame([(i, x, 0) for i, x in enumerate(lines)], "doc_id long, text string, component int")
+    got = {r.doc_id: r for r in line_dedup.near_lines(docs, threshold).collect()}
+    classes = line_classes(lines, threshold)
+    assert {i: r.class_doc for i, r in got.items()} == dict(enumerate(classes))
+    assert {i: r.dropped for i, r in got.items()} == {i: i != c and edits(lines[i], lines[c]) <= threshold for i, c in enumerate(classes)}
+    assert len(set(classes)) < len(lines)
+
+
+def test_large_groups_of_near_lines(spark):
+    """Hundreds of texts near one: one class, and comparisons in proportion to their number."""
+    base = "a line that stands on very many pages, each time with another number at its end: "
+    lines = [f"{base}{a}{b}" for a in "0123456789abcdef" for b in "0123456789abcdefghijklmnopqrst"]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    got = {r.doc_id: r.links for r in line_dedup.near_lines(docs).collect()}
-    assert got == {i: sum(x != y and min(len(x), len(y)) > 2 and edits(x, y) <= 2 for y in lines) for i, x in enumerate(lines)}
-    assert got[lines.index("Read more >")] == got[lines.index("twenty characters on")] == 1
+    texts = docs.selectExpr("doc_id as id", "text as line")
+    scratch = Scratch(spark, "test")
+    asked, classes = line_dedup.linked_texts(texts, 2, scratch)
+    assert asked.count() == len(lines) and classes.where("component = 0").count() == len(lines) - 1
+    assert spark.read.parquet(scratch.path("links0")).count() <= 12 * len(lines)
+    assert spark.read.parquet(scratch.path("left2")).count() == 0
 
 
 def test_line_report_counts(spark):
     a, b = "this is a line of some length", "this is a line of sum length"
-    docs = spark.createDataFrame([(2, f"{a}\nshort\n{a}"), (1, f"{b}\nshort"), (3, None)], "doc_id long, text string")
-    got = {r.doc_id: (r.n_lines, r.n_repeat, r.n_near, r.n_links) for r in line_dedup.line_report(docs).collect()}
-    assert got == {1: (2, 0, 0, 1), 2: (3, 2, 2, 2)}
+    docs = spark.createDataFrame([(2, f"{a}\nshort\n{a}"), (1, f"{b}\nshort"), (3, None), (-5, f"x\n{a}"), (None, "nowhere else")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_repeat, r.n_near, r.n_dropped, r.chars_kept) for r in line_dedup.line_report(docs).collect()}
+    assert got == {None: (1, 0, 0, 0, 12), -5: (2, 0, 0, 0, 30), 1: (2, 0, 1, 1, 5), 2: (3, 3, 0, 3, 0)}
 
 
 def test_lines_show_classes_and_drop(spark):
     a, b, c = "one line of text here", "one line of text her3", "one line of text her345"  # a-b and b-c are within 2 edits, a-c isn't
     docs = spark.createDataFrame([(1, f"{a}\n\nother words", "x"), (2, f"{b}\n{c}\n{a}", "y"), (3, None, "z"), (4, "", "w")], "doc_id long, text string, source string")
     got = {r.doc_id: r for r in line_dedup.line_report(docs, every=True).collect()}
-    assert set(got) == {1, 2, 3, 4} and got[3].n_lines == got[3].n_links == got[3].chars_kept == 0
-    assert [tuple(x) for x in got[2].classes] == [(0, 2, 0, 1, 0), (1, 2, 1, 2, 0), (2, 1, 0, 1, 0)] and not got[1].classes
-    assert [tuple(x) for x in got[2].pairs] == [(0, 1, 0), (1, 2, 0)] and not got[1].pairs
+    assert set(got) == {1, 2, 3, 4} and got[3].n_lines == got[3].n_near == got[3].chars_kept == 0
+    assert [tuple(x) for x in got[2].classes] == [(0, 2, 0, 1, 0), (1, 2, 1, 1, 0), (2, 1, 0, 1, 0)] and not got[1].classes
     kept = {r.doc_id: (r.text, r.source) for r in line_dedup.drop_lines(docs).collect()}
     assert kept == {1: (f"{a}\n\nother words", "x"), 2: (c, "y"), 3: (None, "z"), 4: ("", "w")}
 
