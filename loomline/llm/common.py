@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,19 +84,21 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def append_columns(
-    df: DataFrame, inputs: list[str], outputs: T.StructType, fn: Callable[[Iterator[list[list]]], Iterator[list[list]]]
-) -> DataFrame:
-    """Add columns made by Python from some input columns, row by row and without a shuffle.
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """(row, columns): the whole row as one struct, so that no name of df can clash with those of a plan; see unpacked."""
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])
 
-    fn maps an iterator of column lists to an iterator of column lists of the same lengths. An input
-    column that has the name of an output is replaced; all others pass through as they are.
-    """
-    names = [f.name for f in outputs.fields]
-    kept = [c for c in df.columns if c.lower() not in {n.lower() for n in names}]
-    packed = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *[df[c].alias(f"in{i}") for i, c in enumerate(inputs)])
-    made = T.StructType([packed.schema["row"], *[T.StructField(f"out{i}", f.dataType, True) for i, f in enumerate(outputs.fields)]])
-    arrow = [to_arrow(f.dataType) for f in outputs.fields]
+
+def unpacked(df: DataFrame, names: list[str], *more: Column) -> DataFrame:
+    """The columns `names` of packed rows, as they were, and more."""
+    return df.select(*[F.col(f"row.`{c}`").alias(c) for c in names], *more)
+
+
+def _mapped(df: DataFrame, inputs: list[str], outputs: list[T.DataType], fn: Callable[[Iterator[list[list]]], Iterator[list[list]]]) -> DataFrame:
+    """(row, out0, out1, ...) made by Python from some columns, row by row and without a shuffle. fn maps an iterator of column lists to an iterator of column lists of the same lengths."""
+    rows = packed(df, **{f"in{i}": df[c] for i, c in enumerate(inputs)})
+    made = T.StructType([rows.schema["row"], *[T.StructField(f"out{i}", kind, True) for i, kind in enumerate(outputs)]])
+    arrow = [to_arrow(kind) for kind in outputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.Array] = []
@@ -111,8 +113,19 @@ def append_columns(
             arrays = [pa.array(c, type=t) for c, t in zip(columns, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([row, *arrays], ["row", *[f"out{i}" for i in range(len(arrays))]])
 
-    out = packed.mapInArrow(run, made)
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *[F.col(f"out{i}").alias(n) for i, n in enumerate(names)])
+    return rows.mapInArrow(run, made)
+
+
+def append_columns(df: DataFrame, inputs: list[str], outputs: T.StructType, fn: Callable[[Iterator[list[list]]], Iterator[list[list]]]) -> DataFrame:
+    """Add columns made by Python from some input columns. A column that has the name of an output is replaced; all others pass through as they are."""
+    names = [f.name for f in outputs.fields]
+    kept = [c for c in df.columns if c.lower() not in {n.lower() for n in names}]
+    return unpacked(_mapped(df, inputs, [f.dataType for f in outputs.fields], fn), kept, *[F.col(f"out{i}").alias(n) for i, n in enumerate(names)])
+
+
+def keep_rows(df: DataFrame, inputs: list[str], fn: Callable[[Iterator[list[list]]], Iterator[list[bool]]]) -> DataFrame:
+    """The rows for which Python says yes, all columns as they are. fn maps an iterator of column lists to one of lists of bool."""
+    return unpacked(_mapped(df, inputs, [T.BooleanType()], lambda columns: ([x] for x in fn(columns))).where("out0"), df.columns)
 
 
 def to_arrow(kind: T.DataType) -> pa.DataType:
