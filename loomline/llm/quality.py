@@ -10,8 +10,8 @@ every whole text.
 A document is kept when its score, the probability of being good, is at least `threshold`.
 
 Defined results: a null, empty or blank text scores 0 and is rejected; rows that share an id are scored each on
-its own; a corpus without any bad vote keeps all that has words; extra columns pass through `keep_good`, whose own
-columns (quality_posterior, quality_score) replace equally named ones; an empty table gives no rows.
+its own; a corpus without any bad vote keeps all that has words; extra columns pass through `keep_good` as they are, and through
+`scored`, whose own columns (quality_posterior, quality_score) replace equally named ones; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, pieces
+from .common import append_columns, keep_rows, pieces
 
 #: Dimensions of the hashed feature space: the weights that are broadcast.
 DIMENSIONS = 4096
@@ -233,20 +233,28 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
     share = min(1.0, 1.2 * sample_rows / max(1, total))
     key = F.xxhash64(F.lit(29), F.col(id_col).cast("long"))
     chosen = docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text")).where(F.pmod("key", F.lit(1_000_000)) < int(np.ceil(share * 1_000_000)))
-    chosen = chosen.orderBy("key", "text").limit(sample_rows)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 256):
+            data = _encoded(batch.column(1))
+            stats = statistics(data)
+            x = features(data, stats).astype(np.float16)
+            found = [r.tobytes() if n else None for r, n in zip(x, stats[:, -1], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), pa.array(model.posterior(votes(stats)))], ["key", "x", "y"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y = np.zeros((sample_rows, DIMENSIONS), np.float32), []
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                data = _encoded(batch.column(1)[at : at + 256])
-                stats = statistics(data)
-                x = features(data, stats).astype(np.float16)
-                found = [r.tobytes() if n else None for r, n in zip(x, stats[:, -1], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(model.posterior(votes(stats)))], ["x", "y"])
+            for value in batch.column(0):
+                x[len(y)] = np.frombuffer(value.as_buffer(), np.float16)
+                y.append(0.0)
+            y[len(y) - batch.num_rows :] = batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([train(x[: len(y)], np.array(y)).tobytes()], pa.binary())], ["weights"])
 
-    sample = [r for r in chosen.mapInArrow(rows, "x binary, y double").collect() if r["x"] is not None]
-    x = np.stack([np.frombuffer(r["x"], np.float16) for r in sample]).astype(np.float32) if sample else np.zeros((0, DIMENSIONS), np.float32)
-    return model, train(x, np.array([r["y"] for r in sample]))
+    # rows of one size, a bounded number of them, meet in one task; the driver gets the weights only
+    sample = chosen.mapInArrow(rows, "key long, x binary, y double").where("x is not null").orderBy("key", "x").limit(sample_rows)
+    learnt = sample.select("x", "y").mapInArrow(learn, "weights binary").collect()
+    return model, np.frombuffer(learnt[0]["weights"]) if learnt else train(np.zeros((0, DIMENSIONS), np.float32), np.zeros(0))
 
 
 COLUMNS = T.StructType([T.StructField("quality_posterior", T.DoubleType()), T.StructField("quality_score", T.DoubleType())])
@@ -276,6 +284,13 @@ def classify(docs: DataFrame, threshold: float = 0.5, sample_rows: int = SAMPLE_
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.5, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that the classifier keeps, with quality_posterior and quality_score."""
+    """The rows of docs that the classifier keeps, all columns as they are."""
     model, weights = fit(docs, sample_rows, id_col, text_col)
-    return scored(docs, model, weights, text_col).where(F.col("quality_score") >= threshold)
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def run(columns):
+        for (texts,) in columns:
+            data = [(t or "").encode() for t in texts]
+            yield (score(data, statistics(data), shared.value) >= threshold).tolist()
+
+    return keep_rows(docs, [text_col], run)
