@@ -18,8 +18,8 @@ Only tables of at most sources x slots rows are windowed by source; documents me
 splits a source of any size.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; rows that share an
-id and a source are taken together; a null id hashes like one id; extra columns pass through `mix`, and its
-own columns (mix_shard, mix_order) replace equally named ones; empty tables give no rows.
+id and a source are taken together, so that the last ones may overshoot a target by what repeats; a null id hashes like one id; extra columns pass through `mix`, and its
+own columns (mix_shard, mix_order) replace equally named ones; all columns pass through `mixed_rows` as they are; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, packed, unpacked
 
 #: Source weights, repeated in source order.
 WEIGHTS = (3, 1, 2)
@@ -87,16 +87,15 @@ def shard_quotas(counts: DataFrame, shards: int, seed: int) -> DataFrame:
     return nodes.select(F.col("lo").alias("shard"), F.posexplode("counts").alias("position", "quota"))
 
 
-def _keyed(docs: DataFrame, slots: int, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """docs with (mix_source, mix_size, mix_slot, mix_key)."""
-    return docs.withColumns(
-        {
-            "mix_source": F.col(source_col).cast("string"),
-            "mix_size": F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long"),
-            "mix_slot": F.pmod(F.xxhash64(F.lit(seed), F.col(id_col).cast("long")), F.lit(slots)).cast("int"),
-            "mix_key": F.xxhash64(F.lit(seed + 1), F.col(id_col).cast("long")),
-        }
-    )
+def _keys(docs: DataFrame, slots: int, seed: int, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """mix_source, mix_size, mix_slot and mix_key of a row."""
+    doc = docs[id_col].cast("long")
+    return {
+        "mix_source": docs[source_col].cast("string"),
+        "mix_size": F.coalesce(F.regexp_count(docs[text_col], F.lit(WORD)), F.lit(0)).cast("long"),
+        "mix_slot": F.pmod(F.xxhash64(F.lit(seed), doc), F.lit(slots)).cast("int"),
+        "mix_key": F.xxhash64(F.lit(seed + 1), doc),
+    }
 
 
 def _plan(keyed: DataFrame, scratch: Scratch, share: float, cap: float, slots: int, block_words: int, shards: int, seed: int) -> DataFrame:
@@ -166,25 +165,39 @@ def mixture(
 ) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken (words, repeats counted), shards and orders (one for each copy that is taken; its place in the shard)."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    narrow = _keyed(docs, slots, seed, id_col, text_col, source_col).select(F.col(id_col).cast("long").alias("doc_id"), "mix_source", "mix_size", "mix_slot", "mix_key")
+    keys = _keys(docs, slots, seed, id_col, text_col, source_col)
+    narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), *[c.alias(k) for k, c in keys.items()])
     narrow = scratch.table(narrow, "rows")
     decided = _decided(narrow, _plan(narrow, scratch, share, cap, slots, block_words, shards, seed))
     taken = F.col("mix_size") * F.size("mix_shards")
     return decided.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", taken.cast("long").alias("taken"), F.col("mix_shards").alias("shards"), F.transform("mix_shards", lambda s, i: _order(seed, i)).alias("orders"))
 
 
+def _copies(docs: DataFrame, share: float, cap: float, slots: int, block_words: int, shards: int, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(row, mix_shard, mix_order): a row for each copy that is taken, its columns packed."""
+    scratch = Scratch(docs.sparkSession, "mixing")
+    keys = _keys(docs, slots, seed, id_col, text_col, source_col)
+    narrow = scratch.table(docs.select(*[c.alias(k) for k, c in keys.items()]), "rows")
+    plan = _plan(narrow, scratch, share, cap, slots, block_words, shards, seed)
+    copies = _decided(packed(docs, **keys), plan).select("row", "mix_key", F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
+    return copies.select("row", "mix_shard", _order(seed, F.col("mix_copy")).alias("mix_order"))
+
+
 def mix(
     docs: DataFrame, share: float = 1.5, cap: float = 2.0, slots: int = 4096, block_words: int = 65_536, shards: int = 16, seed: int = 17,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
     """The rows of the mix, all columns as they are and a row for each copy, with mix_shard and mix_order; see write_mix for the shuffle."""
-    scratch = Scratch(docs.sparkSession, "mixing")
-    docs = docs.drop("mix_shard", "mix_order", "mix_source", "mix_size", "mix_slot", "mix_key")
-    keyed = _keyed(docs, slots, seed, id_col, text_col, source_col)
-    narrow = scratch.table(keyed.select("mix_source", "mix_size", "mix_slot", "mix_key"), "rows")
-    decided = _decided(keyed, _plan(narrow, scratch, share, cap, slots, block_words, shards, seed))
-    copies = decided.select(*[decided[c] for c in docs.columns], F.col("mix_key"), F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
-    return copies.select(*docs.columns, "mix_shard", _order(seed, F.col("mix_copy")).alias("mix_order"))
+    copies = _copies(docs, share, cap, slots, block_words, shards, seed, id_col, text_col, source_col)
+    return unpacked(copies, [c for c in docs.columns if c.lower() not in ("mix_shard", "mix_order")], F.col("mix_shard"), F.col("mix_order"))
+
+
+def mixed_rows(
+    docs: DataFrame, share: float = 1.5, cap: float = 2.0, slots: int = 4096, block_words: int = 65_536, shards: int = 16, seed: int = 17,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+) -> DataFrame:
+    """The rows of the mix with the columns of docs only, placed by shard and shuffled."""
+    return unpacked(shuffled(_copies(docs, share, cap, slots, block_words, shards, seed, id_col, text_col, source_col)), docs.columns)
 
 
 def shuffled(mixed: DataFrame, files: int | None = None) -> DataFrame:
