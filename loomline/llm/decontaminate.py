@@ -1,7 +1,7 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The corpus is cut into blocks of whole documents. Each block stores, for every term of the test items,
-the sorted list of positions at which it stands. A test window (consecutive item words) is found by taking
+The corpus is cut into blocks of whole documents. Each block stores, for every one of its terms,
+the sorted list of positions at which it stands; the index knows nothing of the test items and serves any set of them. A test window (consecutive item words) is found by taking
 the posting list of its rarest term, shifting it by the term's offset in the window, and intersecting it
 with the shifted lists of its other terms, from rare to frequent. An exact phrase needs every term in its
 place; a proximity match lets each term stand up to `slack` places away.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, append_columns, ascii_lower_words, rows_to_batches
+from .common import Scratch, ascii_lower_words, keep_rows, rows_to_batches
 
 #: Positions left free between two documents of a block: no window with its slack reaches the next one.
 GAP = 64
@@ -38,8 +38,8 @@ INDEX = T.StructType(
         T.StructField("doc_ids", T.ArrayType(T.LongType())),
         T.StructField("starts", T.ArrayType(T.IntegerType())),
         T.StructField("sizes", T.ArrayType(T.IntegerType())),
-        T.StructField("terms", T.ArrayType(T.IntegerType())),
-        T.StructField("offsets", T.ArrayType(T.IntegerType())),
+        T.StructField("terms", T.BinaryType()),
+        T.StructField("offsets", T.BinaryType()),
         T.StructField("postings", T.BinaryType()),
     ]
 )
@@ -86,30 +86,29 @@ def query_sets(benchmark: DataFrame, window: int, max_query_words: int, id_col:
 class Block:
     """Posting lists of one block of documents."""
 
-    def __init__(self, starts, sizes, terms, offsets, postings):
+    def __init__(self, starts, sizes, terms: bytes, offsets: bytes, postings: bytes, vocabulary: dict[bytes, int]):
+        """The lists of the terms of a vocabulary, by their numbers in it."""
         self.starts, self.sizes = np.asarray(starts, np.int64), np.asarray(sizes, np.int64)
-        postings = np.asarray(postings, np.int64)  # one width for all comparisons
-        self.lists = {t: postings[a:b] for t, a, b in zip(terms, offsets[:-1], offsets[1:], strict=True)}
+        at, places = np.frombuffer(offsets, np.int32), np.frombuffer(postings, np.int32)
+        # one width for all comparisons; the terms are joined by spaces, which no word holds
+        self.lists = {vocabulary[t]: places[at[i] : at[i + 1]].astype(np.int64) for i, t in enumerate(terms.split(b" ")) if t in vocabulary}
 
     @classmethod
-    def build(cls, documents: list[list[bytes]], vocabulary: dict[bytes, int]) -> tuple:
-        get = vocabulary.get
+    def build(cls, documents: list[list[bytes]]) -> tuple:
+        """starts, sizes, terms, offsets and postings of a block: all words of its documents."""
+        terms: dict[bytes, int] = {}
         starts, sizes, ids, places, at = [], [], [], [], 0
         for words in documents:
-            found = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-            here = np.flatnonzero(found >= 0)
-            ids.append(found[here])
-            places.append((here + at).astype(np.int32))
+            found = np.fromiter((terms.setdefault(w, len(terms)) for w in words), np.int32, len(words))
+            ids.append(found)
+            places.append(np.arange(at, at + len(words), dtype=np.int32))
             starts.append(at)
             sizes.append(len(words))
             at += len(words) + GAP
         term = np.concatenate(ids) if ids else np.empty(0, np.int32)
         place = np.concatenate(places) if places else np.empty(0, np.int32)
-        order = np.argsort(term, kind="stable")
-        term, place = term[order], place[order]
-        cuts = np.flatnonzero(np.diff(term)) + 1
-        first = np.concatenate([[0], cuts]).astype(np.int64) if len(term) else np.empty(0, np.int64)
-        return starts, sizes, term[first].tolist(), [*first.tolist(), len(term)], place
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))]).astype(np.int32)
+        return starts, sizes, b" ".join(terms), offsets.tobytes(), place[np.argsort(term, kind="stable")].tobytes()
 
     def near(self, candidates: np.ndarray, term: int, offset: int, slack: int) -> np.ndarray:
         """Candidate window starts that have the term within slack of its place."""
@@ -167,16 +166,15 @@ class Block:
         return [(int(n), int(h), spans, sorted(e), sorted(p)) for n, h, (spans, e, p) in zip(self.sizes, n_hit, found, strict=True)]
 
 
-def build_index(docs: DataFrame, vocabulary: dict[bytes, int], id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per block of documents: their ids and places, and the posting lists of the vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per block of documents: their ids and places, and the posting lists of all their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, held, n, k = TaskContext.get().partitionId() << 33, [], 0, 0
 
         def close():
-            starts, sizes, terms, offsets, places = Block.build([w for _, w in held], shared.value)
-            return base + k, [i for i, _ in held], starts, sizes, terms, offsets, places.tobytes()
+            starts, sizes, *lists = Block.build([w for _, w in held])
+            return base + k, [i for i, _ in held], starts, sizes, *lists
 
         def blocks():
             nonlocal held, n, k
@@ -205,7 +203,7 @@ def search_index(index: DataFrame, queries: QuerySet, slack: int) -> DataFrame:
         def rows():
             for batch in batches:
                 for b in batch.to_pylist():
-                    block = Block(b["starts"], b["sizes"], b["terms"], b["offsets"], np.frombuffer(b["postings"], np.int32))
+                    block = Block(b["starts"], b["sizes"], b["terms"], b["offsets"], b["postings"], shared.value.vocabulary)
                     for i, (doc, found) in enumerate(zip(b["doc_ids"], block.results(shared.value, slack), strict=True)):
                         yield b["block_id"], i, doc, *found
 
@@ -224,14 +222,9 @@ def contamination(
     """
     if window + 2 * slack > GAP:
         raise ValueError(f"window + 2 * slack must not exceed {GAP}")
-    scratch = Scratch(docs.sparkSession, "decontaminate")
-    parts = []
-    for k, queries in enumerate(query_sets(benchmark, window, max_query_words)):
-        index = scratch.table(build_index(docs, queries.vocabulary, id_col, text_col), f"index{k}")
-        parts.append(search_index(index, queries, slack))
-    if not parts:
-        empty = QuerySet([], window)
-        parts.append(search_index(build_index(docs, empty.vocabulary, id_col, text_col), empty, slack))
+    index = Scratch(docs.sparkSession, "decontaminate").table(build_index(docs, id_col, text_col), "index")
+    parts = [search_index(index, queries, slack) for queries in query_sets(benchmark, window, max_query_words)]
+    parts = parts or [search_index(index, QuerySet([], window), slack)]
     if len(parts) == 1:
         return parts[0].drop("block_id", "ordinal")
     every = parts[0]
@@ -266,8 +259,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, s
                 n = 0
 
                 def close(held):
-                    starts, sizes, terms, offsets, places = Block.build(held, shared.value.vocabulary)
-                    return [r[1] > 0 for r in Block(starts, sizes, terms, offsets, places).results(shared.value, 0)]
+                    return [not r[1] for r in Block(*Block.build(held), shared.value.vocabulary).results(shared.value, 0)]
 
                 for text in texts:
                     words = ascii_lower_words(text)
@@ -276,8 +268,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, s
                         held, n = [], 0
                     held.append(words)
                     n += len(words) + GAP
-                yield [flags + close(held)]
+                yield flags + close(held)
 
-        flagged = append_columns(kept, [text_col], T.StructType([T.StructField("loomline_hit", T.BooleanType())]), run)
-        kept = flagged.where(~F.col("loomline_hit")).select(*docs.columns)
+        kept = keep_rows(kept, [text_col], run)
     return kept
