@@ -5,11 +5,13 @@ Two sets x and y link when 100 * |x and y| >= percent * |x or y|, that is when t
 * Documents with equal sets form one class; only classes are searched.
 * Shingles have one global order, rare before frequent. Frequencies come from a counting sketch of fixed size over the
   whole corpus; any order gives right results, a good one short lists.
-* DivideSkip: of a set of n, the inverted lists of the first p shingles (short lists) are merged, the other n - p (long
-  lists) are skipped, where p is such that a partner must occur on a short list. A pair that occurs c times on
-  merged lists can share at most c + max(n - p) shingles, so pairs with less than T - max(n - p) occurrences go. So do pairs
-  whose places on a list leave less than T to share.
-  The others are decided exactly: the shorter set is probed by binary search in the longer one.
+* Of a set of n, only the first p shingles have inverted lists, where p is such that a partner must occur on one of them. A pair that
+  occurs c times on these can share at most c + max(n - p) shingles, so partners need t = T - max(n - p) occurrences at least.
+  Places on a list that leave less than T to share don't count.
+* DivideSkip: a query's lists are divided into short ones and L long ones. The short ones are merged by a heap, which counts occurrences;
+  a partner with t > L has to occur t - L times there, and only such ones are looked up in the long lists, by binary search. Entries of long
+  lists whose sizes make t <= L are merged with the short ones, so that none is missed.
+  Partners with t occurrences are decided exactly: the shorter set is probed by binary search in the longer one.
 * Lists grow with groups of near copies. So before lists are merged, classes are sorted by their min-hash signatures, in a
   few rotations, and each is compared with its next neighbours; verified links make components. Only pairs of different components are looked for on
   the lists, by the classes of the smaller one, so that m near copies cost some m comparisons, not m squared.
@@ -23,6 +25,7 @@ Sets are compared by 64-bit hashes of shingles, classes by two such hashes.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower_tokens, pieces
+from .common import Scratch, ascii_lower_tokens, packed, pieces, unpacked
 from .graph import components
 
 #: Powers of an odd number: shingles of up to 64 words.
@@ -43,6 +46,8 @@ SKETCH_BITS, SKETCH_ROW = 21, 1 << 15
 SIGNATURE, ROTATIONS, NEIGHBOURS, ALIKE = 32, 4, 5, 20
 #: Entries of a list that a query reads at once.
 LIST_ROWS = 65_536
+#: Entries from which a list is long: it is probed, not merged.
+LONG_LIST = 32
 #: 64-bit words of the filter that spares sets which no pair asks for; a full filter only spares nothing.
 FILTER_WORDS = 1 << 17
 
@@ -322,38 +327,68 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
+def _need(x, y, percent: int):
+    """Shingles that sets of x and of y must share."""
+    return (percent * (x + y) + 99 + percent) // (100 + percent)
+
+
+def least_occurrences(n, m, percent: int):
+    """How often sets of n and m that link must meet on the lists of their first shingles."""
+    return _need(n, m, percent) - np.maximum(n - prefix_length(n, percent), m - prefix_length(m, percent))
+
+
+def divide_skip(lists: list[tuple[np.ndarray, np.ndarray]], least, long_list: int | None = None) -> np.ndarray:
+    """The ids that occur on at least least(size) of the lists (sorted ids, their sizes): short lists are merged by a heap, long ones probed."""
+    long_list = LONG_LIST if long_list is None else long_list
+    merged = [x for x in lists if len(x[0]) <= long_list]
+    probed = [x for x in lists if len(x[0]) > long_list]
+    skipped = len(probed)
+    for i, (ids, sizes) in enumerate(probed):  # those that need not be on a short list
+        few = least(sizes) <= skipped
+        merged.append((ids[few], sizes[few]))
+        probed[i] = ids[~few]
+    found, counts, sizes, last = [], [], [], None
+    for y, m in heapq.merge(*[zip(ids.tolist(), of.tolist(), strict=True) for ids, of in merged if len(ids)]):
+        if y == last:
+            counts[-1] += 1
+        else:
+            last = y
+            found.append(y)
+            counts.append(1)
+            sizes.append(m)
+    ids, times, needed = np.array(found, np.int64), np.array(counts, np.int64), least(np.array(sizes, np.int64))
+    ids, times, needed = (v[times >= needed - np.where(needed > skipped, skipped, 0)] for v in (ids, times, needed))
+    for long in probed:
+        if len(ids) and len(long):
+            times = times + (long[np.minimum(np.searchsorted(long, ids), len(long) - 1)] == ids)
+    return ids[times >= needed]
+
+
 def _merged(lists: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Pairs (a, b) that meet on enough short lists: the T-occurrence search of each class among those of larger components.
 
-    A list is a row of arrays; where a list is longer than LIST_ROWS, all lists are dealt into buckets of partners. A query's
-    lists of one bucket come together sorted, and its partners' occurrences are counted by merging them.
+    A list is a row of arrays, sorted by partner; where a list is longer than LIST_ROWS, all lists are dealt into buckets of partners. A query's
+    lists of one bucket come together.
     """
     longest = lists.groupBy("shingle").agg(F.count("*").alias("k")).agg(F.max("k")).first()[0] or 1
     bucket = F.pmod("c1", F.lit(-(-longest // LIST_ROWS))).alias("bucket")
-    columns = [F.collect_list(c).alias(f"y_{c}") for c in ("c1", "n", "place", "part", "weight")]
-    arrays = lists.groupBy("shingle", bucket).agg(*columns)
+    entries = F.array_sort(F.collect_list(F.struct("c1", "n", "place", "part", "weight"))).alias("y")
+    arrays = lists.groupBy("shingle", bucket).agg(entries).select("shingle", "bucket", *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("c1", "n", "place", "part", "weight")])
     asking = lists.where("part <> main").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("c1", "n", "place", "part", "weight")])
     met = asking.join(scratch.table(arrays, "arrays"), "shingle").drop("shingle")
     dealt = met.repartition("x_c1", "bucket").sortWithinPartitions("x_c1", "bucket")
     names = ["x_c1", "bucket", "x_n", "x_place", "x_part", "x_weight", "y_c1", "y_n", "y_place", "y_part", "y_weight"]
 
-    def need(x, y):
-        return (percent * (x + y) + 99 + percent) // (100 + percent)
-
     def search(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         x, _, n, _, part, weight = rows[0][:6]
-        found, sizes = [], []
+        lists = []
         for row in rows:
-            place = row[3]
             y, m, at, parts, weights = (v.values.to_numpy(zero_copy_only=False) if hasattr(v, "values") else np.asarray(v) for v in row[6:])
             fits = ((weights > weight) | ((weights == weight) & (parts > part))) & (n * percent <= m * 100) & (m * percent <= n * 100)
-            fits &= np.minimum(at, place) + np.minimum(m - at, n - place) >= need(n, m)
-            found.append(y[fits])
-            sizes.append(m[fits])
-        y, first, met = np.unique(np.concatenate(found), return_index=True, return_counts=True)
-        m = np.concatenate(sizes)[first]
-        skipped = np.maximum(n - prefix_length(n, percent), m - prefix_length(m, percent))
-        y = y[met >= need(n, m) - skipped]
+            fits &= np.minimum(at, row[3]) + np.minimum(m - at, n - row[3]) >= _need(n, m, percent)
+            if fits.any():
+                lists.append((y[fits], m[fits]))
+        y = divide_skip(lists, lambda m: least_occurrences(n, m, percent))
         return np.maximum(x, y), np.minimum(x, y)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,5 +433,5 @@ def _with_repeats(links: DataFrame, rows: DataFrame, names: DataFrame) -> DataFr
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is the least of its component; rows with a null id stay."""
     found = jaccard_components(docs, width, percent, id_col, text_col)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("gone_id"), "left_anti")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    return unpacked(packed(docs, id=docs[id_col].cast("long")).join(gone, F.col("id") == F.col("gone"), "left_anti"), docs.columns)
