@@ -1,11 +1,13 @@
 """The Python parts of the operators, without Spark."""
 
+import hashlib
 import random
 import re
 
 import numpy as np
+import pytest
 
-from loomline.llm import chat, decontaminate, jaccard, packing, quality, secrets, suffix_dedup
+from loomline.llm import chat, decontaminate, exact_dedup, jaccard, packing, quality, secrets, suffix_dedup
 
 
 def test_best_fit_is_best_fit_decreasing():
@@ -76,7 +78,7 @@ def test_index_finds_exact_and_near_windows():
         items = [(str(i), [rng.choice(words) for _ in range(rng.randint(0, 5))]) for i in range(3)]
         docs = [[rng.choice(words) for _ in range(rng.randint(0, 30))] for _ in range(4)]
         queries = decontaminate.QuerySet(items, 3)
-        for doc, (n, hit, spans, exact, near) in zip(docs, decontaminate.Block(*decontaminate.Block.build(docs, queries.vocabulary)).results(queries, 1), strict=True):
+        for doc, (n, hit, spans, exact, near) in zip(docs, decontaminate.Block(*decontaminate.Block.build(docs), queries.vocabulary).results(queries, 1), strict=True):
             marks, found = set(), set()
             for item, w in items:
                 k = min(3, len(w))
@@ -89,6 +91,40 @@ def test_index_finds_exact_and_near_windows():
             assert marks == {p for s in spans for p in range(s["start"], s["end"])} and set(exact) <= set(near)
 
 
+def test_divide_skip_matches_counting():
+    rng = random.Random(13)
+    for _ in range(300):
+        size = {y: rng.randint(20, 60) for y in range(40)}
+        lists = []
+        for _ in range(rng.randint(1, 12)):
+            ids = np.array(sorted(rng.sample(range(40), rng.randint(1, 30))), np.int64)
+            lists.append((ids, np.array([size[y] for y in ids.tolist()], np.int64)))
+        n = rng.randint(20, 60)
+        least = lambda m, n=n: np.maximum(1, jaccard.least_occurrences(n, m, 80) - 4)
+        want = [y for y in range(40) if sum(y in ids for ids, _ in lists) >= least(np.int64(size[y]))]
+        for long_list in (0, 8, 100):
+            assert jaccard.divide_skip(lists, least, long_list).tolist() == want
+
+
+def test_digest_runs_merge():
+    rng = random.Random(17)
+    rows = [(rng.choice([None, *range(60)]), bytes([rng.randrange(6)])) for _ in range(500)]
+    for keep in (min, max):
+        runs = []
+        for part in (rows[i::7] for i in range(7)):
+            run = exact_dedup.merged([exact_dedup._records([i for i, _ in part], [hashlib.sha256(t).digest() for _, t in part], [t for _, t in part])], keep.__name__)
+            assert (run["digest"][1:] > run["digest"][:-1]).all()
+            runs.append(run)
+        while len(runs) > 1:
+            runs = [exact_dedup.merged(runs[i : i + 3], keep.__name__) for i in range(0, len(runs), 3)]
+        got = {bytes(r["digest"]).ljust(32, bytes(1)): (int(r["best"]), int(r["n"])) for r in runs[0]}
+        texts = {t for _, t in rows}
+        assert got == {hashlib.sha256(t).digest(): (keep(i for i, x in rows if x == t and i is not None), sum(x == t for _, x in rows)) for t in texts}
+    broken = exact_dedup._records([1, 2], [b"d" * 32] * 2, [b"one", b"other"])
+    with pytest.raises(ValueError):
+        exact_dedup.merged([broken], "min")
+
+
 def test_minimisers_and_shingles():
     words = [str(i % 7).encode() for i in range(200)]
     hashes = suffix_dedup.Hashes(words)
