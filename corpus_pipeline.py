@@ -9,7 +9,8 @@ Stages, each over all that the one before kept:
                  rows are placed by shard and shuffled within it
 5. packing       tokenises and packs into sequences of 2,048 ids
 
-Null or empty texts don't pass the first stage; columns of documents pass through to the fourth.
+Null or empty texts don't pass the first stage; columns of documents, extra ones too and whatever their names, pass through to the fourth.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from loomline.llm.common import Scratch
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs).select(*docs.columns)
+    return quality.keep_good(docs)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one(docs).select(*docs.columns)
+    return jaccard.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.shuffled(mixing.mix(docs)).select(*docs.columns)
+    return mixing.mixed_rows(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
