@@ -14,12 +14,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str, fold: Callable[[Da
     """(node, component): the least node that is connected with each node of edges (a, b); nodes that are least themselves have no row.
 
     fold may replace the edges (a > b) of a partition by fewer that connect the same nodes, so that rounds move about one edge a
-    node. Each round is a table, which cuts the lineage; the loop ends when a round changes nothing.
+    node. Each round is a table, which cuts the lineage; the loop ends when all nodes are leaves of stars, or their centres.
     """
     thin = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = scratch.table((fold(thin) if fold else thin).distinct(), f"{name}-0")
-    k, before = 0, None
-    while True:
+    k = 0
+    while not _stars(edges):
         # large stars: the larger neighbours of a node go to the least of its neighbours
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).where("m < a")
@@ -31,7 +31,10 @@ def components(edges: DataFrame, scratch: Scratch, name: str, fold: Callable[[Da
         k += 1
         edges = scratch.table(small.distinct(), f"{name}-{k}")
         scratch.drop(f"{name}-{k - 1}")
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = state
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge, to a node that has none to a smaller one."""
+    nodes = edges.groupBy("a").agg(F.count("*").alias("n"))
+    return nodes.where("n > 1").isEmpty() and edges.join(nodes.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()

@@ -10,8 +10,7 @@ for each number of edits one word, with a bit for each diagonal of the band, mov
 Texts that are linked, directly or by way of others, are one class. Nothing needs all pairs of a class:
 
 * Hashes of segments and substrings are first folded alone; only those that stand in two texts get their texts.
-* Of the texts that share a hash, one of each class is compared with one of the largest class that is known so far. Near copies
-  become one class by that, at one comparison each.
+* Of the texts that share a hash, each is compared with one of them. Near copies become one class by that, at one comparison each.
 * Where different classes still share a hash, each text is compared with those of other classes. Comparing counts is all that most of these pairs
   get: a pair is emitted only if lengths and counts of letters allow it. Groups of more than BLOCK texts are dealt into blocks, so
   that no task has more than a block of the index against the probes of a hash. The comparisons of unlike texts that share a
@@ -94,8 +93,8 @@ COUNTED = ("etaonrs", "ihldcum")
 
 
 def letter_counts(line: str) -> list[str]:
-    """SQL: counts of some letters, up to 255, packed into longs c0 and c1."""
-    return [" | ".join(f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) as bigint), {8 * i})" for i, c in enumerate(letters)) + f" as c{k}" for k, letters in enumerate(COUNTED)]
+    """SQL: names and values of counts of some letters, up to 255, packed into longs c0 and c1."""
+    return [f"'c{k}', " + " | ".join(f"shiftleft(cast(least(255, length({line}) - length(replace({line}, '{c}', ''))) as bigint), {8 * i})" for i, c in enumerate(letters)) for k, letters in enumerate(COUNTED)]
 
 
 def counts_apart(a: str, b: str) -> str:
@@ -150,62 +149,62 @@ def texts_within(x: str, y: str, threshold: int) -> str:
     return _bound(f"named_struct('x', {x}, 'y', {y}, 'nx', length({x}), 'ny', length({y}), 'most', least(length({x}), length({y})))", "t", decided)
 
 
+def likely(x: str, y: str, threshold: int) -> str:
+    """SQL: whether lengths and letter counts of two signatures (n, c0, c1) allow a link."""
+    return f"abs({x}.n - {y}.n) <= {threshold} and {counts_apart(x, y)} <= {2 * threshold}"
+
+
 def verified(pairs: DataFrame, asked: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose texts are within threshold edits, decided by the automaton; letter counts spare it texts that are far apart."""
-    narrow = asked.select("id", F.struct("n", "c0", "c1").alias("s"))
-    both = pairs.join(narrow.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(narrow.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-    likely = both.where(f"abs(x.n - y.n) <= {threshold} and {counts_apart('x', 'y')} <= {2 * threshold}").select("a", "b")
+    """The pairs (a, b) whose texts are within threshold edits, decided by the automaton."""
     texts = asked.select("id", "line")
-    sides = likely.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    sides = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     return sides.where(texts_within("x", "y", threshold)).select("a", "b")
 
 
 def mixed(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """The rows (h, id, held) whose hash different classes share and an index holds, with part (class), main (largest part of the hash, and a text of it) and k (rows of the hash)."""
-    named = rows.select("h", "id", "held")
+    """The rows (h, id, held, s) whose hash different classes share and an index holds, with part (class), main (largest part of the hash, and a text of it) and k (rows of the hash)."""
+    named = rows.select("h", "id", "held", "s")
     if classes is None:
         named = named.withColumn("part", F.col("id"))
     else:
         named = named.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
-    parts = named.groupBy("h", "part").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.max("held").alias("held"))
-    groups = parts.groupBy("h").agg(F.max(F.struct("n", "part", "id")).alias("main"), F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("held").alias("held"), F.sum("n").alias("k"))
+    parts = named.groupBy("h", "part").agg(F.count("*").alias("n"), F.min(F.struct("id", "s")).alias("first"), F.max("held").alias("held"))
+    groups = parts.groupBy("h").agg(F.max(F.struct("n", "part", "first")).alias("main"), F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("held").alias("held"), F.sum("n").alias("k"))
     return named.join(groups.where("lo < hi and held = 1").select("h", "main", "k"), "h")
 
 
-def across(rows: DataFrame, asked: DataFrame, threshold: int) -> DataFrame:
+def stars(rows: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b): of each class that shares a hash, one text with one of the largest class there."""
+    firsts = rows.where("part <> main.part").groupBy("h", "part").agg(F.min(F.struct("id", "s")).alias("x"), F.min("main.first").alias("y"))
+    return firsts.where(likely("x.s", "y.s", threshold)).selectExpr("x.id as a", "y.id as b")
+
+
+def across(rows: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of texts of different classes that share a hash which the index holds for one of them, and that lengths and letter counts allow."""
-    signed = rows.join(asked.select("id", F.struct("n", "c0", "c1").alias("s")), "id").withColumn("blocks", F.expr(f"cast(ceil(k / {BLOCK}) as int)"))
-    index = signed.where("held = 1").select("h", F.expr("pmod(xxhash64(id), blocks)").cast("int").alias("block"), F.col("id").alias("a"), F.col("part").alias("here"), F.col("s").alias("x"))
-    probes = signed.select("h", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.col("id").alias("b"), F.col("part").alias("there"), F.col("s").alias("y"))
-    met = index.join(probes, ["h", "block"]).where(f"here <> there and abs(x.n - y.n) <= {threshold} and {counts_apart('x', 'y')} <= {2 * threshold}")
+    dealt = rows.withColumn("blocks", F.expr(f"cast(ceil(k / {BLOCK}) as int)"))
+    index = dealt.where("held = 1").select("h", F.expr("pmod(xxhash64(id), blocks)").cast("int").alias("block"), F.col("id").alias("a"), F.col("part").alias("here"), F.col("s").alias("x"))
+    probes = dealt.select("h", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.col("id").alias("b"), F.col("part").alias("there"), F.col("s").alias("y"))
+    met = index.join(probes, ["h", "block"]).where(f"here <> there and {likely('x', 'y', threshold)}")
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def linked_texts(texts: DataFrame, threshold: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(asked, classes) of texts (id, line): the texts that share a hash, and (node, component) of those with links."""
+    """(asked, classes) of texts (id, line, ...): the texts that may share a hash, with signature s, and (node, component) of those with links."""
     spelled = pieces_of(texts, threshold)
     folded = spelled.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
     groups = scratch.table(folded, "groups")
     scratch.free()
     rows = sifted(spelled, sieve(groups, "h", scratch, "group-sieve"), "h").join(groups, "h", "left_semi")
     rows = scratch.table(rows, "rows")
-    ids = scratch.table(rows.select("id").distinct(), "ids")
-    asked = sifted(texts.select("id", "line"), sieve(ids, "id", scratch, "id-sieve"), "id").join(ids, "id", "left_semi")
-    asked = scratch.table(asked.selectExpr("id", "line", "length(line) as n", *letter_counts("line")), "asked")
-    scratch.drop("groups", "group-sieve", "ids", "id-sieve")
-    links, classes = None, None
-    for step in range(3):
-        name = "mixed" if step < 2 else "left"
-        rows = scratch.table(mixed(rows, classes), f"{name}{step}")
-        if step < 2:  # one of each class with one of the largest: near copies become one class
-            pairs = rows.where("part <> main.part").groupBy("h", "part").agg(F.min("id").alias("a"), F.min("main.id").alias("b")).select("a", "b")
-        else:
-            pairs = across(rows, asked, threshold)
-        found = scratch.table(verified(pairs.distinct(), asked, threshold), f"links{step}")
-        if classes is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
-            classes = scratch.table(components(links, scratch, f"star{step}"), f"classes{step}")
-    return asked, classes
+    signed = sifted(texts, sieve(rows, "id", scratch, "id-sieve"), "id")
+    asked = scratch.table(signed.selectExpr("*", f"named_struct('n', length(line), {', '.join(letter_counts('line'))}) as s"), "asked")
+    rows = scratch.table(mixed(rows.join(asked.select("id", "s"), "id"), None), "mixed")
+    links = scratch.table(verified(stars(rows, threshold).distinct(), asked, threshold), "stars")
+    classes = components(links, scratch, "star")
+    rows = scratch.table(mixed(rows, classes), "apart")
+    more = scratch.table(verified(across(rows, threshold).distinct(), asked, threshold), "links")
+    scratch.drop("groups", "group-sieve", "id-sieve", "rows", "mixed")
+    return asked, components(links.union(more), scratch, "linked")
 
 
 #: A first place as one number, so that it can be folded by hash: the id, and 32 bits of the place. A null id is below all others.
@@ -233,21 +232,17 @@ def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col
     scratch.free()
     asked, classes = linked_texts(texts.where(F.length("line") >= max(least_chars, threshold + 1)), threshold, scratch)
 
-    ids = texts.select("id", "spot", "copies", "key", "check")
-    members = scratch.table(classes.union(classes.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id"), "members")
-    inside = scratch.table(sifted(ids, sieve(members, "id", scratch, "member-sieve"), "id").join(members, "id"), "inside")
-    heads = inside.groupBy("component").agg(F.min(F.struct("spot", "id")).alias("head"))
-    inside = scratch.table(inside.join(heads, "component"), "headed")
-    beside = verified(inside.where("id <> head.id").select(F.col("id").alias("a"), F.col("head.id").alias("b")), asked, threshold)
-    inside = inside.join(beside.select(F.col("a").alias("id"), F.lit(True).alias("beside")), "id", "left").select("id", F.col("head.spot").alias("head"), F.coalesce("beside", F.lit(False)).alias("beside"))
-    inside = scratch.table(inside, "judged")
+    members = classes.union(classes.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id")
+    inside = scratch.table(asked.join(members, "id"), "inside")
+    heads = inside.groupBy("component").agg(F.min(F.struct("spot", "id", "line", "s")).alias("head"))
+    near = F.expr(f"id = head.id or ({likely('s', 'head.s', threshold)} and {texts_within('line', 'head.line', threshold)})")
+    judged = inside.join(heads, "component").select("id", "key", "check", "spot", F.col("head.spot").alias("head"), (near & (F.col("id") != F.col("head.id"))).alias("beside"))
+    judged = scratch.table(judged, "judged")
     # only lines that stand twice or are linked have to learn anything from others
-    repeated = sifted(ids, scratch.spark.read.parquet(scratch.path("member-sieve")), "id", "left_anti").where("copies > 1").select("key", "check", "spot", F.col("spot").alias("head"), F.lit(False).alias("beside"))
-    maybe = sifted(ids, scratch.spark.read.parquet(scratch.path("member-sieve")), "id").join(inside, "id", "left").where("copies > 1 or head is not null")
-    known = repeated.union(maybe.select("key", "check", "spot", F.coalesce("head", "spot"), F.coalesce("beside", F.lit(False))))
-    known = scratch.table(known, "known")
+    repeated = texts.where("copies > 1").select("id", "key", "check", "spot", F.col("spot").alias("head"), F.lit(False).alias("beside")).join(judged, "id", "left_anti")
+    known = scratch.table(repeated.union(judged).drop("id"), "known")
     words = sieve(known, "key", scratch, "known-sieve")
-    scratch.drop("headed", "inside", "members")
+    scratch.drop("inside", "asked", "stars", "links")
 
     places = spots.select("doc_id", "place", "spot", F.length("line").alias("n"), *[h.alias(k) for k, h in hashes.items()])
     alone = sifted(places, words, "key", "left_anti").withColumns({"first": F.col("spot"), "head": F.col("spot"), "beside": F.lit(False)})

@@ -267,8 +267,8 @@ def test_large_groups_of_near_lines(spark):
     scratch = Scratch(spark, "test")
     asked, classes = line_dedup.linked_texts(texts, 2, scratch)
     assert asked.count() == len(lines) and classes.where("component = 0").count() == len(lines) - 1
-    assert spark.read.parquet(scratch.path("links0")).count() <= 12 * len(lines)
-    assert spark.read.parquet(scratch.path("left2")).count() == 0
+    assert spark.read.parquet(scratch.path("stars")).count() <= 12 * len(lines)
+    assert spark.read.parquet(scratch.path("apart")).count() == 0
 
 
 def test_line_report_counts(spark):
