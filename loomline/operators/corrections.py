@@ -28,8 +28,21 @@ def guard_check(corrections: DataFrame, spans: DataFrame, fields: list[str]) ->
     return joined.withColumn("ok", F.col("current").isNotNull() & value.eqNullSafe(F.col("guard"))).drop("current")
 
 
-def apply(spans: DataFrame, checked: DataFrame, fields: list[str]) -> DataFrame:
-    """Spans with the values of the corrections that passed the check; the greatest value wins where there are several."""
+class CorrectionError(ValueError):
+    """Corrections that can't be applied as they are."""
+
+
+def misses(checked: DataFrame) -> DataFrame:
+    """(span_id, field, reason): approved corrections whose guard doesn't hold, and fields that several of them would set to different values."""
+    wrong = checked.where("not ok").select("span_id", "field", F.lit("guard").alias("reason"))
+    several = checked.where("ok").groupBy("span_id", "field").agg(F.count_distinct(F.coalesce("after", F.lit(""))).alias("n")).where("n > 1")
+    return wrong.union(several.select("span_id", "field", F.lit("conflict")))
+
+
+def apply(spans: DataFrame, checked: DataFrame, fields: list[str], strict: bool = True) -> DataFrame:
+    """Spans with the values of the corrections that passed the check. A miss is an error, unless not strict: then it is left out, and the greatest value wins where there are several."""
+    if strict and (found := misses(checked).orderBy("span_id", "field").limit(3).collect()):
+        raise CorrectionError("; ".join(f"{r['reason']}: {r['span_id']}.{r['field']}" for r in found))
     new = checked.where("ok").groupBy("span_id").pivot("field", fields).agg(F.max("after"))
     renamed = new.select("span_id", *[F.col(f).alias(f"new_{f}") for f in fields])
     out = spans.join(renamed, "span_id", "left")

@@ -39,8 +39,20 @@ def invalidated(status: DataFrame, old: DataFrame, key: str, groups: dict[str, s
     return hit.select(F.inline(kinds)).where("value is not null and value <> ''").distinct()
 
 
-def apply_delta(status: DataFrame, old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """The old corpus without removed documents, with added and changed ones in their new form."""
+def apply_delta(status: DataFrame, old: DataFrame, new: DataFrame, key: str, record: dict[str, Any] | None = None, approved: str | None = None) -> DataFrame:
+    """The old corpus without removed documents, with added and changed ones in their new form.
+
+    With a record, it is checked first: its identity, its approval, that it names the documents of status, and that each added or changed one is there.
+    """
+    if record is not None:
+        check_record(record, approved)
+        named = {i: s for s in ("added", "changed", "unchanged", "removed") for i in record.get(f"{s}_document_ids", [])}
+        found = {str(r[key]): r["status"] for r in status.select(key, "status").toLocalIterator()}
+        if named != found:
+            raise DeltaError("the record is of other documents")
+        missing = status.where("status in ('added', 'changed')").join(new, key, "left_anti").limit(3).collect()
+        if missing:
+            raise DeltaError(f"no replacement for {[str(r[key]) for r in missing]}")
     stay = old.join(status.where("status = 'unchanged'").select(key), key, "left_semi")
     come = new.join(status.where("status in ('added', 'changed')").select(key), key, "left_semi")
     return stay.unionByName(come)

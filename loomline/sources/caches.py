@@ -56,7 +56,10 @@ def split_valid(node_rows: DataFrame, broken: DataFrame) -> tuple[DataFrame, Dat
 
 
 def backfill(envelopes: DataFrame) -> DataFrame:
-    """Envelopes of schema 2.1: evidence ids from segment indices where they are missing, spans from times, and the manifest."""
+    """Envelopes of schema 2.1: evidence ids from segment indices where they are missing, spans from times, and the manifest.
+
+    A leaf whose evidence can't be found that way is an error of the job.
+    """
     from ..operators.representations import manifest
 
     names = manifest()
@@ -67,6 +70,8 @@ def backfill(envelopes: DataFrame) -> DataFrame:
         ids = F.when(F.size(F.coalesce(m["source_segment_ids"], F.array().cast("array<string>"))) > 0, m["source_segment_ids"]).otherwise(by_index)
         span = F.when(m["start_time"].isNotNull() & m["end_time"].isNotNull(), F.array(F.struct(m["start_time"].alias("start_time"), m["end_time"].alias("end_time"), ids.alias("segment_ids"))))
         spans = F.when(F.size(F.coalesce(m["source_spans"], F.array().cast(T.ArrayType(_SPAN)))) > 0, m["source_spans"]).otherwise(span)
+        bare = (m["node_type"] == "leaf_chunk") & ((F.size(F.coalesce(ids, F.array().cast("array<string>"))) == 0) | spans.isNull())
+        ids = F.when(F.coalesce(bare, F.lit(False)), F.raise_error(F.concat(F.lit("no evidence for leaf "), F.coalesce(m["node_id"], F.lit("")))).cast("array<string>")).otherwise(ids)
         return d.withField("metadata", m.withField("source_segment_ids", ids).withField("source_spans", spans)).withField("embedding_text", F.coalesce(d["embedding_text"], d["page_content"]))
 
     out = envelopes.withColumn("documents", F.transform("documents", documents)).withColumn("schema_version", F.lit("2.1"))

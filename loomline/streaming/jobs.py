@@ -23,20 +23,39 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """Finished versions of a table: folders whose write was committed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(table)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(root):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(root)]
+    there = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
+    return sorted(n for n in there if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v{n}/_SUCCESS")))
+
+
+def current(spark: SparkSession, table: str) -> DataFrame | None:
+    """The last finished version of a table that `upsert` writes."""
+    done = _versions(spark, table)
+    return spark.read.parquet(f"{table}/v{done[-1]}") if done else None
+
+
 def upsert(table: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that replaces the rows of a Parquet table by key; a repeated batch changes nothing."""
+    """A foreachBatch function that replaces the rows of a table by key; a repeated batch changes nothing.
+
+    Each batch writes a new version beside the last one, which counts once its write is committed. A crash at any time leaves a finished
+    version, and the batch is done again on it. The version before the last stays for readers; older ones are deleted.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates(keys)
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(table)
-        fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        fresh = f"{table}-{number}"
-        if fs.exists(hadoop):
-            rows = spark.read.parquet(table).join(rows.select(*keys), keys, "left_anti").unionByName(rows)
-        rows.write.mode("overwrite").parquet(fresh)
-        fs.delete(hadoop, True)
-        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(fresh), hadoop)
+        rows, done = batch.dropDuplicates(keys), _versions(spark, table)
+        if done:
+            rows = current(spark, table).join(rows.select(*keys), keys, "left_anti").unionByName(rows)
+        rows.write.mode("overwrite").parquet(f"{table}/v{done[-1] + 1 if done else 0}")
+        for old in done[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v{old}")
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
     return each
 

@@ -94,6 +94,9 @@ def test_validation_backfill_export(spark, tmp_path):
     assert validation.violations(nodes).count() == 0 and validation.envelope_violations(caches.envelope_rows(filled)).count() == 0
     assert nodes.where("node_id = 'leaf'").first().source_segment_ids == ["e:segment:0"]
     assert representations.dense_export(caches.envelope_rows(envelopes), caches.nodes(envelopes)).count() == 2
+    with pytest.raises(Exception, match="no evidence for leaf"):
+        lost = envelopes.withColumn("documents", F.transform("documents", lambda d: d.withField("metadata.segment_indices", F.array().cast("array<string>"))))
+        caches.nodes(caches.backfill(lost)).collect()
     bad = caches.nodes(caches.read(spark, cache(tmp_path / "bad", "gone")))
     rules = {r.rule for r in validation.violations(bad).collect()}
     assert {"missing_child", "no_leaf_evidence"} <= rules
@@ -117,6 +120,10 @@ def test_delta(spark):
     record = delta.delta_record(status, old, "doc", {"ancestors": "parent"}, corpus="c", corrections="s", processing="p", representation="r")
     assert record["invalidated"]["ancestors"] == ["p1", "p2"]
     delta.check_record(record, "s")
+    assert delta.apply_delta(status, old, new, "doc", record, "s").count() == 3
+    for lacking in ((status, new.where("doc <> 4"), "s"), (status, new, "other"), (status.where("doc <> 2"), new, "s")):
+        with pytest.raises(delta.DeltaError):
+            delta.apply_delta(lacking[0], old, lacking[1], "doc", record, lacking[2])
     for broken, approved in (({**record, "added_document_ids": []}, None), (record, "other"), ({**record, "contract_version": "x"}, None)):
         with pytest.raises(delta.DeltaError):
             delta.check_record(broken, approved)
@@ -127,7 +134,13 @@ def test_corrections(spark):
     rows = [("s1", "text", "a", "A", None, None), ("s2", "text", "zzz", "B", None, "approved"), ("s2", "speaker", "Host", "Ann", "rejected", None), ("s9", "text", None, "x", None, None)]
     checked = corrections.guard_check(spark.createDataFrame(rows, "span_id string, field string, guard string, after string, status string, adjudication_state string"), spans, ["speaker", "text"])
     assert {(r.span_id, r.ok) for r in checked.collect()} == {("s1", True), ("s2", False), ("s9", False)}
-    assert {r.span_id: r.text for r in corrections.apply(spans, checked, ["speaker", "text"]).collect()} == {"s1": "A", "s2": "b"}
+    assert {r.span_id: r.text for r in corrections.apply(spans, checked, ["speaker", "text"], strict=False).collect()} == {"s1": "A", "s2": "b"}
+    with pytest.raises(corrections.CorrectionError, match="guard: s2.text"):
+        corrections.apply(spans, checked, ["speaker", "text"])
+    twice = checked.where("span_id = 's1'").union(checked.where("span_id = 's1'").withColumn("after", F.lit("Z")))
+    with pytest.raises(corrections.CorrectionError, match="conflict: s1.text"):
+        corrections.apply(spans, twice, ["speaker", "text"])
+    assert corrections.apply(spans, checked.where("ok"), ["speaker", "text"]).where("text = 'A'").count() == 1
 
 
 def test_topics_incremental(spark):
@@ -259,13 +272,38 @@ def test_streams(spark, talks):
     assert spark.sql("SELECT max(n) FROM rolled").first()[0] == 5
 
 
+def test_upsert_survives_a_crash(spark, tmp_path):
+    path = str(tmp_path / "table")
+    each = streams.upsert(path, ["k"])
+
+    def rows(*pairs):
+        return spark.createDataFrame(list(pairs), "k int, v string")
+
+    def there():
+        return {(r.k, r.v) for r in streams.current(spark, path).collect()}
+
+    assert streams.current(spark, path) is None
+    each(rows((1, "a"), (2, "b")), 0)
+    rows((3, "half")).write.parquet(f"{path}/v1")
+    (tmp_path / "table/v1/_SUCCESS").unlink()  # a write that was never committed
+    assert there() == {(1, "a"), (2, "b")}
+    for _ in range(2):  # the batch is done again, also after its write
+        each(rows((2, "B"), (3, "c")), 1)
+        assert there() == {(1, "a"), (2, "B"), (3, "c")}
+
+
+def test_topic_orders(spark):
+    c = spark.createDataFrame([("p", "e", 2.0, 1, "b", "b"), ("p", "e", 3.0, 1, "c", "c"), ("p", "e", 2.0, 2, "d", "d"), ("p", "e", 2.0, 1, "A", "a")], "podcast_id string, episode_key string, score double, document_count int, label string, normalized_label string")
+    assert [r.label for r in topics.contributions_in_order(c).collect()] == ["c", "d", "A", "b"]
+
+
 def test_entry_and_oracles():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 70
 
 
-ORACLES = ["leaf_chunks", "topic_tags", "topic_contributions", "topic_depth", "retrieval_metrics", "evidence_closure", "position_quarantine", "rolling_300s", "required_fields", "context_headers"]
+ORACLES = ["leaf_chunks", "topic_tags", "topic_contributions", "topic_depth", "retrieval_metrics", "evidence_closure", "position_quarantine", "rolling_300s", "required_fields", "context_headers", "topic_index", "representation_fingerprints", "summary_bullets"]
 
 
 @pytest.mark.parametrize("name", ORACLES)
