@@ -86,10 +86,13 @@ def topic_hits(nodes: DataFrame) -> DataFrame:
 
 
 def filtered_labels(hits: DataFrame, examples: int = 3) -> DataFrame:
-    """Rejected labels: key, count and the first examples."""
-    bad = hits.where("reason is not null").withColumn("key", topic_key("raw_label"))
-    grouped = bad.groupBy("key").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("podcast_id", "episode_key", "hit_seq", "raw_label", "reason"))).alias("all"))
-    return grouped.select(F.col("key").alias("normalized_label"), "n", F.transform(F.slice("all", 1, examples), lambda x: F.struct(x["raw_label"].alias("raw_label"), x["reason"].alias("reason"))).alias("examples"))
+    """Rejected labels: key, count and the first examples. Hits are ranked before they are collected, so a frequent label keeps a few a task."""
+    bad = hits.where("reason is not null").select(topic_key("raw_label").alias("key"), "podcast_id", "episode_key", "hit_seq", "raw_label", "reason")
+    order = ["podcast_id", "episode_key", "hit_seq", "raw_label", "reason"]
+    first = bad.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(*order))).where(F.col("place") <= examples)
+    shown = first.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "raw_label", "reason"))).alias("all"))
+    counted = bad.groupBy("key").agg(F.count("*").alias("n")).join(shown, "key")
+    return counted.select(F.col("key").alias("normalized_label"), "n", F.transform("all", lambda x: F.struct(x["raw_label"].alias("raw_label"), x["reason"].alias("reason"))).alias("examples"))
 
 
 EPISODE = ["podcast_id", "episode_key", "normalized_label"]
@@ -232,6 +235,16 @@ def topic_index(contribs: DataFrame, blacklist: DataFrame | None = None, whiteli
     return out.drop("depth")
 
 
+def contributions_in_order(contribs: DataFrame) -> DataFrame:
+    """Contributions by episode, best first: score, hits, then label."""
+    return contribs.orderBy("podcast_id", "episode_key", F.col("score").desc(), F.col("document_count").desc(), F.lower("label"), "normalized_label")
+
+
+def index_in_order(index: DataFrame) -> DataFrame:
+    """The index, deepest first: rounded depth, episodes, then label."""
+    return index.orderBy(F.col("depth_score").desc(), F.col("episode_count").desc(), F.lower("label"), "podcast_id", "normalized_label")
+
+
 def podcast_rollup(contribs: DataFrame, index: DataFrame) -> DataFrame:
     """Per podcast: name, episodes with contributions, topics of the index."""
     episodes = contribs.groupBy("podcast_id").agg(F.max("podcast_name").alias("podcast_name"), F.count_distinct("episode_key").alias("episode_count"))

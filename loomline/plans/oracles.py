@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from ..functions.vocabulary import META_VERBS, POLICY_KEYWORDS
+from ..operators import representations
+
 _KEY = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
 _COLLAPSE = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
 
@@ -33,6 +36,20 @@ SQL["leaf_chunk_evidence"] = f"""{_CHUNKS}
 SELECT CAST(m.conv_id AS VARCHAR) AS episode_id, m.chunk, string_agg(m.conv_id || ':segment:' || turn, ',' ORDER BY i) AS segment_ids, max(speakers) AS speakers, CAST(20260101 AS BIGINT) AS episode_sort_key
 FROM members m JOIN spk k ON k.conv_id = m.conv_id AND k.chunk = m.chunk GROUP BY m.conv_id, m.chunk"""
 SQL["chunk_sizes"] = f"{_CHUNKS} SELECT b - a + 1 AS segment_count, count(*) AS chunks FROM cuts GROUP BY 1"
+SQL["rollup_headers"] = f"""{_CHUNKS}
+SELECT 'leaf-' || m.conv_id || '-' || m.chunk AS node_id, '[node_id=leaf-' || m.conv_id || '-' || m.chunk || ' | type=leaf_chunk | level=leaf | episode_date=2026-01-01 | speaker_scope=' || CASE WHEN max(n) = 1 THEN 'single' ELSE 'multi' END ||
+  ' | speakers=' || replace(max(speakers), ',', ', ') || ' | time=' || {_CLOCK.format("min(s)")} || '-' || {_CLOCK.format("max(e)")} || ']' AS header
+FROM members m JOIN spk k ON k.conv_id = m.conv_id AND k.chunk = m.chunk GROUP BY m.conv_id, m.chunk"""
+#: Leaves of ten conversations an episode, in one run of time.
+_LEAVES = _CHUNKS.replace(_SEGMENTS, """seg AS (SELECT 'e' || (conv_id // 10) AS conv_id, turn, text, role, (conv_id * 1000 + turn) * 10.0 AS s, (conv_id * 1000 + turn) * 10.0 + 10.0 AS e, length(text) + 1 AS c,
+    row_number() OVER (PARTITION BY conv_id // 10 ORDER BY conv_id * 1000 + turn) AS i FROM conversations WHERE regexp_matches(text, '\\S'))""")
+_LEAVES += """,
+leaves AS (SELECT m.conv_id AS episode_id, m.chunk, CAST(min(s) AS DOUBLE) AS s, CAST(max(e) AS DOUBLE) AS e, CASE WHEN max(n) = 1 THEN max(speakers) ELSE '' END AS speaker
+  FROM members m JOIN spk k ON k.conv_id = m.conv_id AND k.chunk = m.chunk GROUP BY ALL)"""
+SQL["hierarchy_groups"] = f"""{_LEAVES}
+SELECT episode_id, grp, count(*) AS nodes, min(s) AS start_time, max(e) AS end_time FROM (SELECT *, (row_number() OVER (PARTITION BY episode_id ORDER BY s) - 1) // 6 AS grp FROM leaves) GROUP BY episode_id, grp"""
+SQL["speaker_first_groups"] = f"""{_LEAVES}, parts AS (SELECT *, (row_number() OVER (PARTITION BY episode_id, speaker ORDER BY s) - 1) // 6 AS part FROM leaves)
+SELECT episode_id, grp, count(*) AS nodes, max(speaker) AS speaker FROM (SELECT *, dense_rank() OVER (PARTITION BY episode_id ORDER BY speaker, part) - 1 AS grp FROM parts) GROUP BY episode_id, grp"""
 SQL["speaker_scope"] = """
 WITH f AS (SELECT conv_id, role, min(turn) AS t FROM conversations GROUP BY ALL)
 SELECT conv_id, string_agg(role, ',' ORDER BY t) AS speakers, CASE WHEN count(*) = 1 THEN max(role) ELSE '' END AS speaker, CASE WHEN count(*) = 1 THEN 'single' ELSE 'multi' END AS speaker_scope FROM f GROUP BY conv_id"""
@@ -53,17 +70,24 @@ SQL["overview_prefix"] = """
 SELECT conv_id, turn, upto FROM (SELECT conv_id, turn, CAST(sum(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn) + 32 AS BIGINT) AS upto FROM conversations) WHERE upto <= 3200"""
 SQL["keep_first_dedupe"] = f"""
 SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source, {_KEY.format("text")} ORDER BY doc_id) = 1"""
-SQL["keep_first_claims"] = f"SELECT role, count(DISTINCT lower({_COLLAPSE.format('substr(text, 1, 12)')})) AS claims FROM conversations GROUP BY role"
+SQL["keep_first_claims"] = f"SELECT role, count(DISTINCT lower({_COLLAPSE.format('text')})) AS claims FROM conversations GROUP BY role"
 SQL["duplicate_rate"] = f"""
 SELECT source, count(*) AS rows, count(DISTINCT {_KEY.format("text")}) AS distinct_keys, 1 - count(DISTINCT {_KEY.format("text")}) / count(*) AS duplicate_rate FROM documents GROUP BY source"""
 _TAGSTOP = "'about','after','against','because','before','being','could','every','going','host','maybe','other','really','should','their','there','these','thing','those','under','where','which','would'"
-_TAGS = f"""WITH w AS (SELECT doc_id, unnest(l) AS raw, unnest(generate_series(1, len(l))) AS pos FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_-]{{3,}}') AS l FROM documents)),
-c AS (SELECT doc_id, regexp_replace(lower(raw), '^[_-]+|[_-]+$', '', 'g') AS tag, pos FROM w),
-g AS (SELECT doc_id, tag, count(*) AS n, min(pos) AS f FROM c WHERE tag NOT IN ({_TAGSTOP}) GROUP BY doc_id, tag),
-r AS (SELECT doc_id, tag, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS rank FROM g)"""
-SQL["topic_tags"] = f"{_TAGS} SELECT doc_id, tag, n, rank FROM r WHERE rank <= 8"
-SQL["offline_summary"] = f"""{_TAGS}, s AS (SELECT doc_id, string_agg('- Fake summary ' || rank || ': ' || tag, chr(10) ORDER BY rank) AS summary FROM r WHERE rank <= 5 GROUP BY doc_id)
+_TAGS = f"""WITH tw AS (SELECT doc_id, unnest(l) AS raw, unnest(generate_series(1, len(l))) AS pos FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_-]{{3,}}') AS l FROM documents)),
+tc AS (SELECT doc_id, regexp_replace(lower(raw), '^[_-]+|[_-]+$', '', 'g') AS tag, pos FROM tw),
+tg AS (SELECT doc_id, tag, count(*) AS n, min(pos) AS f FROM tc WHERE tag NOT IN ({_TAGSTOP}) GROUP BY doc_id, tag),
+tr AS (SELECT doc_id, tag, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS rank FROM tg)"""
+SQL["topic_tags"] = f"{_TAGS} SELECT doc_id, tag, n, rank FROM tr WHERE rank <= 8"
+SQL["offline_summary"] = f"""{_TAGS}, s AS (SELECT doc_id, string_agg('- Fake summary ' || rank || ': ' || tag, chr(10) ORDER BY rank) AS summary FROM tr WHERE rank <= 5 GROUP BY doc_id)
 SELECT d.doc_id, coalesce(summary, '- Fake summary 1: transcript') AS summary FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id"""
+SQL["summary_bullets"] = """
+WITH l AS (SELECT doc_id, unnest(list_transform(string_split_regex(regexp_replace(text, '\\n([A-M])', '\n- \\1', 'g'), '\\r?\\n'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g'))) AS line,
+    unnest(generate_series(1, len(string_split_regex(regexp_replace(text, '\\n([A-M])', '\n- \\1', 'g'), '\\r?\\n')))) AS i FROM documents),
+g AS (SELECT *, regexp_matches(line, '^[-*]\\s+') AS starts, count(*) FILTER (regexp_matches(line, '^[-*]\\s+')) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l WHERE line <> ''),
+b AS (SELECT doc_id, min(i) AS i, CASE WHEN k = 0 THEN '- ' || min(line) ELSE string_agg(CASE WHEN starts THEN regexp_replace(line, '^[-*]\\s+', '- ') ELSE line END, ' ' ORDER BY i) END AS bullet FROM g GROUP BY doc_id, k, CASE WHEN k = 0 THEN i END),
+n AS (SELECT doc_id, count(*) AS bullets, string_agg(bullet, chr(10) ORDER BY i) AS joined FROM b GROUP BY doc_id)
+SELECT d.doc_id, coalesce(bullets, 0) AS bullets, md5(coalesce(joined, '')) AS bullets_md5 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id"""
 _MISSING = """(((contains(t, 'please provide') OR contains(t, 'please share') OR contains(t, 'send me')) AND (contains(t, 'transcript') OR contains(t, 'source text') OR contains(t, 'source material') OR contains(t, 'podcast text') OR contains(t, 'material')))
   OR contains(t, 'once shared') OR contains(t, 'once you share') OR contains(t, 'when you provide'))"""
 SQL["text_measures"] = f"""
@@ -76,7 +100,7 @@ h AS (SELECT doc_id, t, CASE WHEN regexp_matches(substr(t, 1, 360), '[.;,] ') TH
 SELECT doc_id, {_SHORT.format(c="t", n=280)} AS short, CASE WHEN length(t) <= 360 THEN t ELSE regexp_replace(substr(t, 1, CASE WHEN b < 198 THEN 360 ELSE b END), '[ .,;:]+$', '') || '...' END AS clipped FROM h"""
 SQL["title_cases"] = f"""
 SELECT doc_id, array_to_string(list_transform(regexp_extract_all(k, '[a-z]+|[^a-z]+'), lambda x: upper(substr(x, 1, 1)) || substr(x, 2)), '') AS title,
-  coalesce(nullif(regexp_replace(regexp_replace(lower(substr(text, 1, 40)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'topic') AS slug FROM (SELECT *, substr({_KEY.format("text")}, 1, 60) AS k FROM documents)"""
+  coalesce(nullif(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'topic') AS slug FROM (SELECT *, {_KEY.format("text")} AS k FROM documents)"""
 SQL["episode_dates"] = """
 WITH r AS (SELECT o_orderkey, o_orderdate AS d, o_totalprice AS p, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y%m%d') WHEN 1 THEN 'show_' || strftime(o_orderdate, '%Y_%m_%d') || '.json' WHEN 2 THEN 'soon' END AS raw FROM orders),
 e AS (SELECT *, CASE WHEN regexp_full_match(raw, '\\d{8}') THEN substr(raw, 1, 4) || '-' || substr(raw, 5, 2) || '-' || substr(raw, 7, 2)
@@ -90,8 +114,10 @@ SQL["text_fingerprints"] = f"SELECT conv_id, sha1(string_agg({_COLLAPSE.format('
 SQL["number_coercion"] = """
 SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN CAST(value AS DECIMAL(12, 2)) END AS DOUBLE) AS parsed,
   CASE event_id % 3 WHEN 0 THEN CAST(CAST(value AS DECIMAL(12, 2)) AS VARCHAR) WHEN 1 THEN 'n/a' ELSE event_type END AS first_present FROM events"""
-_NODES = f"""n AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS node_id, source, upper(source) AS podcast_name, source || '-' || doc_id // 100 AS episode_key, 'Episode ' || doc_id // 100 AS episode_title,
-    '2026-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS day, {_KIND} AS kind, regexp_extract_all(text, '[A-Za-z]{{4,}}')[1:3] AS tags, 'Host ' || doc_id % 3 AS speaker, text FROM documents)"""
+_NODES = f"""{_TAGS.removeprefix("WITH ")},
+tags AS (SELECT doc_id, list(tag ORDER BY rank) AS tags FROM tr WHERE rank <= 8 GROUP BY doc_id),
+n AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS node_id, source, upper(source) AS podcast_name, source || '-' || doc_id // 100 AS episode_key, 'Episode ' || doc_id // 100 AS episode_title,
+    '2026-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS day, {_KIND} AS kind, coalesce(tags, CAST([] AS VARCHAR[])) AS tags, 'Host ' || doc_id % 3 AS speaker, text FROM documents LEFT JOIN tags USING (doc_id))"""
 _HEADER = """'Podcast: ' || podcast_name || chr(10) || 'Episode: ' || episode_title || chr(10) || 'Date: ' || day || chr(10) || 'Speaker: ' || speaker || chr(10) || 'Document type: ' || kind || chr(10) || 'Hierarchy: leaf' ||
     CASE WHEN len(tags) > 0 THEN chr(10) || 'Topic hints: ' || array_to_string(tags, ', ') ELSE '' END"""
 SQL["context_headers"] = f"""
@@ -100,6 +126,12 @@ c AS (SELECT *, CASE WHEN length(h) > 90 THEN regexp_replace(regexp_extract(subs
 SELECT node_id, header, md5(h || chr(10) || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_md5 FROM c"""
 SQL["lexical_texts"] = f"""
 WITH {_NODES} SELECT node_id, {_COLLAPSE.format("concat_ws(' ', text, podcast_name, episode_title, day, '20260101', speaker, speaker, nullif(array_to_string(tags, ' '), ''), nullif(array_to_string(tags[1:2], ' '), ''))")} AS lexical_text FROM n"""
+_FIELDS = "'fp-' || source || chr(31) || node_id || chr(31) || kind || chr(31) || 'doc-' || doc_id"
+_MADE = f"'{representations.BUILDER}' || chr(31) || '{representations.manifest()['config_fingerprint']}' || chr(31)"
+SQL["representation_fingerprints"] = f"""WITH lex AS ({SQL["lexical_texts"]}), n AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS node_id, source, {_KIND} AS kind, text FROM documents)
+SELECT n.node_id, 'doc-' || doc_id AS stable_document_id, sha256({_MADE} || '{representations.manifest()['display_text']}' || chr(31) || {_FIELDS} || chr(31) || text) AS display_fp,
+  sha256({_MADE} || '{representations.manifest()['lexical_text']}' || chr(31) || {_FIELDS.replace("node_id", "n.node_id")} || chr(31) || lexical_text) AS lexical_fp FROM n JOIN lex ON lex.node_id = n.node_id"""
+SQL["representation_fingerprints"] = SQL["representation_fingerprints"].replace("chr(31) || node_id ||", "chr(31) || n.node_id ||")
 SQL["dense_export"] = """
 SELECT source AS cache_id, 'doc-' || doc_id AS stable_document_id, md5(CASE WHEN doc_id % 2 = 0 THEN text ELSE 'dense ' || text END) AS text_md5 FROM documents WHERE source NOT IN ('src1', 'src2')"""
 _ALIASES = "MAP {'artificial intelligence': 'ai', 'federal reserve': 'fed', 'fed reserve': 'fed', 'federal reserve inflation': 'fed', 'russia ukraine': 'ukraine war', 'russia ukraine war': 'ukraine war', 'ukraine': 'ukraine war', 'us': 'u.s.', 'u s': 'u.s.'}"
@@ -156,6 +188,35 @@ _TOTALS = """t AS (SELECT source, key, count(DISTINCT episode_key) AS episode_co
     CAST(sum(cluster_summary_count) AS BIGINT) AS cluster_summary_count, CAST(sum(episode_thesis_count) AS BIGINT) AS episode_thesis_count, min(day) AS first_day, max(day) AS last_day FROM c GROUP BY source, key),
 t2 AS (SELECT *, CAST(date_diff('day', CAST(first_day AS DATE), CAST(last_day AS DATE)) AS BIGINT) AS days FROM t),
 depth AS (SELECT *, 0.35 * (episode_count / max(episode_count) OVER ()) + 0.30 * (document_count / max(document_count) OVER ()) + 0.20 * (days / max(days) OVER ()) + 0.15 * (position_count / max(position_count) OVER ()) AS d FROM t2)"""
+_META = ", ".join(f"'{w}'" for verbs in META_VERBS.values() for w in verbs)
+_POLICY = ", ".join(f"'{w}'" for w in POLICY_KEYWORDS)
+
+
+def _listed(name: str, value: str, source: str, place: str, episode: int, topic: int, joint: str) -> str:
+    """CTEs: the most frequent values of each label in an episode, then of these over all episodes, ties by first place."""
+    return f"""{name}1 AS (SELECT source, episode_key, key, {value} AS x, row_number() OVER (PARTITION BY source, episode_key, key ORDER BY n DESC, p) AS r FROM (SELECT g.source, g.episode_key, g.key, {value}, count(*) AS n, min({place}) AS p FROM {source} GROUP BY ALL)),
+{name}2 AS (SELECT source, key, x, count(*) AS n, min(episode_key || chr(1) || lpad(CAST(r AS VARCHAR), 6, '0')) AS f FROM {name}1 WHERE r <= {episode} GROUP BY ALL),
+{name} AS (SELECT source, key, string_agg(x, '{joint}' ORDER BY n DESC, f) AS {name}, arg_min(x, (-n, f)) AS first_{name}, bool_or(lower(x) IN ({_POLICY})) AS policy_{name}
+  FROM (SELECT * FROM {name}2 QUALIFY row_number() OVER (PARTITION BY source, key ORDER BY n DESC, f) <= {topic}) GROUP BY ALL)"""
+
+
+_INDEX = f"""{_CONTRIB}, {_TOTALS},
+kwv AS (SELECT doc_id, i, max(shown) AS word FROM (SELECT doc_id, pos AS i, shown FROM judged WHERE reason IS NULL AND pos < 2) GROUP BY ALL),
+{_listed("names", "shown", "good g", "doc_id * 10 + pos", 10**9, 10**9, "|")},
+{_listed("hosts", "speaker", "good g", "doc_id * 10 + pos", 4, 5, "|")},
+{_listed("words", "word", "good g JOIN kwv k ON k.doc_id = g.doc_id", "g.doc_id * 100 + g.pos * 10 + k.i", 6, 8, ", ")},
+idx AS (SELECT depth.*, first_names AS label, hosts, words, CASE WHEN regexp_extract(lower(first_names), '[\\p{{L}}\\p{{N}}]+') IN ({_META}) THEN 'meta_pattern' WHEN policy_words THEN 'policy_theme' ELSE 'subject' END AS topic_kind
+  FROM depth JOIN names USING (source, key) JOIN hosts USING (source, key) LEFT JOIN words USING (source, key))"""
+SQL["topic_index"] = f"""{_INDEX}
+SELECT source AS podcast_id, key AS normalized_label, label, topic_kind, round(d, 4) AS depth_score, CASE WHEN d >= 0.66 THEN 'High' WHEN d >= 0.33 THEN 'Medium' ELSE 'Low' END AS depth_label, episode_count, document_count, position_count,
+  cluster_summary_count, episode_thesis_count, first_day AS first_episode_date, last_day AS latest_episode_date, days AS timespan_days, hosts AS top_speakers,
+  'Covered in ' || episode_count || ' episode(s) across ' || document_count || ' supporting document(s) from ' || first_day || ' to ' || last_day || ', with recurring emphasis on ' || coalesce(words, 'mixed cues') || '.' AS summary FROM idx"""
+SQL["topic_order"] = f"""{_INDEX}
+SELECT source AS podcast_id, key AS normalized_label, round(d, 4) AS depth_score FROM idx ORDER BY round(d, 4) DESC, episode_count DESC, lower(label), source, key LIMIT 10"""
+SQL["review_candidates"] = f"""{_CONTRIB}
+SELECT key AS normalized_label, count(DISTINCT source || chr(1) || episode_key) AS episode_count, CAST(sum(document_count) AS BIGINT) AS document_count FROM c JOIN al USING (source, episode_key, key)
+WHERE len(list_filter(string_split(key, ' '), lambda t: t <> '')) = 1 OR (len(list_filter(string_split(key, ' '), lambda t: t <> '')) = 2 AND len(list_filter(string_split(key, ' '), lambda t: length(t) > 5)) = 0)
+  OR regexp_extract(lower(label), '[\\p{{L}}\\p{{N}}]+') IN ({_META}) GROUP BY key"""
 SQL["podcast_rollup"] = f"""{_CONTRIB}, {_TOTALS}
 SELECT e.source AS podcast_id, podcast_name, episode_count, coalesce(topic_count, 0) AS topic_count FROM (SELECT source, max(podcast_name) AS podcast_name, count(DISTINCT episode_key) AS episode_count FROM c GROUP BY source) e
 LEFT JOIN (SELECT source, count(*) AS topic_count FROM t GROUP BY source) q ON q.source = e.source"""
@@ -169,7 +230,7 @@ WITH f AS (SELECT '/data/' || source || ' ep' || doc_id // 40 || (['_speaker_tra
 SELECT episode_key, CAST(priority AS BIGINT) AS priority, mtime, source_path FROM f QUALIFY row_number() OVER (PARTITION BY episode_key ORDER BY priority DESC, mtime DESC, source_path) = 1"""
 SQL["podcast_names"] = "SELECT doc_id, 'Show ' || source AS podcast_name, 'show-' || source AS podcast_id FROM documents"
 SQL["near_dup_pairs"] = f"""
-WITH t AS (SELECT doc_id, list_distinct(list_filter(string_split({_KEY.format("text")}, ' '), lambda x: x <> '')) AS s FROM documents WHERE n_chars < 3000),
+WITH t AS (SELECT doc_id, list_distinct(list_filter(string_split({_KEY.format("text")}, ' '), lambda x: x <> '')) AS s FROM documents),
 p AS (SELECT x.doc_id AS a, y.doc_id AS b, len(list_intersect(x.s, y.s)) AS i, len(x.s) AS n, len(y.s) AS m FROM t x JOIN t y ON x.doc_id < y.doc_id AND len(x.s) > 0 AND len(x.s) >= 0.92 * len(y.s) - 1e-9 AND len(y.s) >= 0.92 * len(x.s) - 1e-9)
 SELECT a, b, round(i / (n + m - i), 6) AS similarity FROM p WHERE i / (n + m - i) >= 0.92"""
 SQL["position_sources"] = """
@@ -178,11 +239,11 @@ o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY multi, s NULLS L
 SELECT source AS episode_id, CAST(doc_id AS VARCHAR) AS node_id, place FROM o WHERE place <= 40
 UNION ALL SELECT source, CAST(doc_id AS VARCHAR), 1 FROM n WHERE lang = 'de' AND source NOT IN (SELECT source FROM o)"""
 SQL["position_quarantine"] = """
-WITH p AS (SELECT doc_id, source, CASE WHEN doc_id % 7 = 0 THEN '' ELSE substr(text, 1, 20) END AS claim FROM documents WHERE lang = 'en'),
+WITH p AS (SELECT doc_id, source, CASE WHEN doc_id % 7 = 0 THEN '' ELSE text END AS claim FROM documents WHERE lang = 'en'),
 e AS (SELECT p.doc_id, string_agg(CAST(d.doc_id AS VARCHAR), ',' ORDER BY d.doc_id <> p.doc_id) AS ids FROM p JOIN documents d ON d.source = p.source AND (d.doc_id = p.doc_id OR (p.doc_id % 3 <> 0 AND d.doc_id = p.doc_id - 20)) GROUP BY p.doc_id)
 SELECT CAST(p.doc_id AS VARCHAR) AS position_id, CASE WHEN p.doc_id % 5 = 0 THEN 'ambiguous_speaker' WHEN trim(claim) = '' THEN 'empty_claim' ELSE 'card' END AS outcome, ids AS evidence_ids FROM p JOIN e ON e.doc_id = p.doc_id"""
 
-_KNN = """WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings WHERE vec_id < 25),
+_KNN = """WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings WHERE vec_id % 100 = 0),
 s AS (SELECT query_id, v.vec_id AS document_id, v.label = q.label AS same, list_dot_product(q.e, CAST(v.embedding AS DOUBLE[])) / sqrt(list_dot_product(q.e, q.e)) / sqrt(list_dot_product(CAST(v.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[]))) AS score FROM q JOIN embeddings v ON v.vec_id <> query_id),
 r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, document_id) AS rank, CASE WHEN same THEN document_id % 3 + 1 ELSE 0 END AS grade FROM s) WHERE rank <= 20),
 j AS (SELECT query_id, document_id, document_id % 3 + 1 AS grade, row_number() OVER (PARTITION BY query_id ORDER BY document_id % 3 DESC, document_id) AS place FROM s WHERE same),
@@ -226,7 +287,7 @@ SELECT source AS cache_id, rule, severity, count(*) AS n FROM (
   UNION ALL SELECT source, 'missing_node_type', 'error' FROM v GROUP BY source HAVING count(*) FILTER (lang <> 'en') = 0) GROUP BY ALL"""
 SQL["cache_inspect_counts"] = f"SELECT source AS podcast_id, {_KIND} AS node_type, count(*) AS nodes FROM documents GROUP BY ALL"
 SQL["envelope_violations"] = """
-WITH c AS (SELECT CAST(doc_id AS VARCHAR) AS cache_id, CASE WHEN doc_id % 30 = 0 THEN '1.0' WHEN doc_id % 20 = 0 THEN '2.1' ELSE '2.0' END AS v, doc_id FROM documents WHERE doc_id % 10 = 0)
+WITH c AS (SELECT CAST(doc_id AS VARCHAR) AS cache_id, CASE WHEN doc_id % 30 = 0 THEN '1.0' WHEN doc_id % 20 = 0 THEN '2.1' ELSE '2.0' END AS v, doc_id FROM documents)
 SELECT cache_id, 'unsupported_schema_version' AS rule, v AS detail FROM c WHERE v = '1.0' UNION ALL SELECT cache_id, 'missing_representation', 'dense_text' FROM c WHERE v = '2.1' AND doc_id % 40 <> 0
 UNION ALL SELECT cache_id, 'missing_representation', 'lexical_text' FROM c WHERE v = '2.1'"""
 _DELTA = """WITH o AS (SELECT o_orderkey AS doc, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(14, 2)) AS p FROM orders),

@@ -297,6 +297,13 @@ def best_cache(spark, sf):
     return topics.best_cache(files).select("episode_key", F.col("priority").cast("long").alias("priority"), "mtime", "source_path")
 
 
+@query
+def topic_order(spark, sf):
+    """The ten deepest topics of the index, in its order."""
+    i = topics.index_in_order(topics.topic_index(_contributions(spark, sf))).limit(10)
+    return i.select("podcast_id", "normalized_label", "depth_score")
+
+
 @query
 def podcast_names(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("/in/Show "), F.col("source"), F.when(F.col("doc_id") % 2 == 0, " 2025-03-04").otherwise(" 20250304"), F.lit("_speaker_transcript.json")).alias("path"))
@@ -461,7 +468,7 @@ def inconsistent_parents(spark, sf):
 @query
 def evidence_closure(spark, sf):
     n = graph(spark, sf)
-    return validation.evidence_closure(validation.edges(n), n, 4).select("node_id", "leaves")
+    return validation.evidence_closure(validation.edges(n), n).select("node_id", "leaves")
 
 
 @query
@@ -529,7 +536,7 @@ def corrections_guard(spark, sf):
 @query
 def corrections_applied(spark, sf):
     spans, checked = _guarded(spark, sf)
-    return corrections.apply(spans, checked, ["speaker", "text"]).select("span_id", "speaker", F.md5("text").alias("text_md5"))
+    return corrections.apply(spans, checked, ["speaker", "text"], strict=False).select("span_id", "speaker", F.md5("text").alias("text_md5"))
 
 
 @query
