@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -50,9 +51,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         """Write df once and read it back with its own schema."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").parquet(self.path(name), compression=compression)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -63,8 +64,10 @@ class Scratch:
 
     def free(self) -> None:
         """Let Spark's cleaner delete shuffle files and broadcasts of plans that nothing refers to; it learns of them when the driver collects garbage."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):  # what the first collection only uncovers goes with the second
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.2)
 
 
 def ascii_lower_words(text: str | None) -> list[bytes]:

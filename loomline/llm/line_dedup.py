@@ -228,7 +228,7 @@ def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col
     spots = lines.withColumn("spot", F.expr(_SPOT).cast("decimal(38,0)"))
     folded = spots.groupBy("line").agg(F.min("spot").alias("spot"), F.count("*").alias("copies"))
     hashes = {"key": F.xxhash64("line"), "check": F.xxhash64(F.lit(1), "line")}
-    texts = scratch.table(folded.select(F.monotonically_increasing_id().alias("id"), "line", "spot", "copies", *[h.alias(k) for k, h in hashes.items()]), "texts")
+    texts = scratch.table(folded.select(F.monotonically_increasing_id().alias("id"), "line", "spot", "copies", *[h.alias(k) for k, h in hashes.items()]), "texts", "zstd")
     scratch.free()
     asked, classes = linked_texts(texts.where(F.length("line") >= max(least_chars, threshold + 1)), threshold, scratch)
 
