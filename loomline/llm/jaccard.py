@@ -347,16 +347,13 @@ def divide_skip(lists: list[tuple[np.ndarray, np.ndarray]], least, long_list: in
         few = least(sizes) <= skipped
         merged.append((ids[few], sizes[few]))
         probed[i] = ids[~few]
-    found, counts, sizes, last = [], [], [], None
-    for y, m in heapq.merge(*[zip(ids.tolist(), of.tolist(), strict=True) for ids, of in merged if len(ids)]):
-        if y == last:
-            counts[-1] += 1
-        else:
-            last = y
-            found.append(y)
-            counts.append(1)
-            sizes.append(m)
-    ids, times, needed = np.array(found, np.int64), np.array(counts, np.int64), least(np.array(sizes, np.int64))
+    size: dict[int, int] = {}
+    for ids, sizes in merged:
+        size.update(zip(ids.tolist(), sizes.tolist(), strict=True))
+    every = np.fromiter(heapq.merge(*[ids.tolist() for ids, _ in merged if len(ids)]), np.int64)
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, np.int64)
+    ids, times = every[first], np.diff(np.append(first, len(every)))
+    needed = least(np.array([size[y] for y in ids.tolist()], np.int64))
     ids, times, needed = (v[times >= needed - np.where(needed > skipped, skipped, 0)] for v in (ids, times, needed))
     for long in probed:
         if len(ids) and len(long):
