@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, jaccard, line_dedup, mixing, packing, quality, secrets, suffix_dedup
+from . import chat, decontaminate, exact_dedup, jaccard, line_dedup, mixing, packing, quality, secrets, spelling, suffix_dedup, suffix_tree, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+def op11_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scored(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op1_near_matches": op1_near_matches,
@@ -93,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
+    "op11_suffix_tree": op11_suffix_tree,
+    "op12_spelling": op12_spelling,
+    "op13_whitening": op13_whitening,
 }
 
 #: A-Z to a-z only.
@@ -172,4 +187,30 @@ SELECT t.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesc
 FROM t LEFT JOIN g ON t.doc_id = g.doc_id"""
 )
 
-SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op5_exact_dedup": _OP5, "op7_chat": _OP7, "op9_jaccard_join": _OP9, "op10_secret_scan": _OP10}
+#: The checksum is made byte by byte from its table; words with one place left out meet as texts.
+_OP12 = r"""
+WITH RECURSIVE slots AS (SELECT CAST(i AS BIGINT) AS i FROM range(256) t(i)),
+crc_table AS (SELECT list(list_reduce([i] || range(8)::BIGINT[], lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY i) AS t FROM slots),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS doc, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL),
+bytes AS (
+  SELECT doc, run, n, flatten(list_transform(string_split(doc || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END)) AS b FROM runs),
+sums AS (
+  SELECT doc, run, n, xor(list_reduce([4294967295::BIGINT] || b, lambda a, x: xor(a // 256, t[(xor(a, x) % 256) + 1])), 4294967295) AS h FROM bytes, crc_table),
+said AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM sums),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM said WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)),
+pairs AS (
+  SELECT x.word, y.word AS other, y.n AS m FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, w.word, w.n FROM cut x JOIN words w ON x.a || x.b = w.word
+  UNION SELECT w.word, x.word, x.n FROM cut x JOIN words w ON x.a || x.b = w.word),
+best AS (SELECT word, count(*) AS n_near, min({'m': -m, 'w': encode(other)}) AS b FROM pairs GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= 5 * w.n THEN decode(b.w) END AS form, CASE WHEN -b.m >= 5 * w.n THEN -b.m END AS form_n
+  FROM words w LEFT JOIN best ON w.word = best.word),
+led AS (SELECT word, form AS at FROM formed WHERE form IS NOT NULL UNION ALL SELECT l.word, f.form FROM led l JOIN formed f ON f.word = l.at WHERE f.form IS NOT NULL),
+ends AS (SELECT l.word, l.at FROM led l JOIN formed f ON f.word = l.at WHERE f.form IS NULL)
+SELECT f.word, f.form, coalesce(e.at, f.word) AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n FROM formed f LEFT JOIN ends e ON e.word = f.word"""
+
+SQL: dict[str, str] = {"op1_decontaminate": _OP1, "op5_exact_dedup": _OP5, "op7_chat": _OP7, "op9_jaccard_join": _OP9, "op10_secret_scan": _OP10, "op12_spelling": _OP12}
