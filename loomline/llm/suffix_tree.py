@@ -14,7 +14,7 @@ hashes of word sequences by range, exchange messages:
 
 1. A block folds its sequences of one order, and sends each keeper the sorted hashes of its range with their counts in training texts.
 2. The keeper adds up the messages and answers each with the counts over the whole corpus, in the order asked.
-3. Longer sequences are asked for only where their context is frequent enough. Then blocks send, for each context, what its
+3. Longer sequences are asked for only where their context is frequent enough, and the longest only where a bound lets it pass the test. Then blocks send, for each context, what its
    occurrences add to the divergence and to T (both are sums over occurrences, kept as whole numbers, so that no order of
    adding changes them), and are told T where the context is a state.
 
@@ -33,7 +33,6 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +51,8 @@ END = b"\n"
 BLOCK_TOKENS = 2_000_000
 #: Bytes of text for which there is a keeper of counts and a bucket of blocks.
 PART_BYTES = 4_000_000
-#: Divergences are added up in steps of 2^-20 nats, parts of T in steps of 2^-32.
-LLR_STEP, TYPE_STEP = float(1 << 20), float(1 << 32)
+#: Divergences are added up in steps of 2^-10 nats, parts of T in steps of 2^-20: T is exact for contexts of up to 2^19 occurrences, and off by 2^-21 of them at most beyond.
+LLR_STEP, TYPE_STEP = float(1 << 10), float(1 << 20)
 
 _BLOCK = "block long, row_ids array<long>, doc_ids array<long>, held array<boolean>, sizes array<int>, skips array<int>, vocabulary binary, codes binary"
 _MESSAGE = "kind int, part int, block long, keys binary, a binary, b binary"
@@ -146,8 +145,8 @@ def blocks_of(docs: DataFrame, depth: int, block_tokens: int, id_col: str, text_
 class Block:
     """The tokens of a block by position, the hashes of the sequences that end there, and what keepers have answered."""
 
-    def __init__(self, row: dict, depth: int, least: int):
-        self.depth, self.least, self.number = depth, least, row["block"]
+    def __init__(self, row: dict, depth: int, least: int, threshold: float):
+        self.depth, self.least, self.threshold, self.number = depth, least, threshold, row["block"]
         self.sizes, self.skips = np.array(row["sizes"], np.int64), np.array(row["skips"], np.int64)
         self.row_ids, self.doc_ids, self.held = row["row_ids"], row["doc_ids"], np.array(row["held"], bool)
         self.vocabulary, self.codes = spread(row["vocabulary"], True), spread(row["codes"]).astype(np.int64)
@@ -171,8 +170,23 @@ class Block:
     def asked(self, order: int) -> np.ndarray:
         """Positions whose sequence of `order` symbols is asked for: the text reaches back so far and, from order 3 on, the context is frequent enough."""
         there = self.place >= order - 1
+        if order == self.depth + 1 and order > 2:  # of use only after contexts that may be states
+            return there & self.before(self.possible(order - 1))
         return there & (self.before(self.counts[order - 2]) >= self.least) if order > 2 else there
 
+    def possible(self, order: int) -> np.ndarray:
+        """Positions where a context of `order` words ends that is frequent enough and may pass the test.
+
+        No next symbol is more likely after the context than after its suffix by a factor above c(suffix) / c(context), as it follows the
+        suffix whenever it follows the context; so its count times the logarithm of that factor bounds the divergence.
+        """
+        count = self.counts[order - 1]
+        frequent = count >= self.least
+        if order > 1:
+            with np.errstate(divide="ignore", invalid="ignore"):
+                frequent &= count * np.log(self.counts[order - 2] / count) > self.threshold
+        return frequent
+
     def question(self, order: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted hashes of the sequences, and their counts in training texts of this block."""
         if order == 1:
@@ -194,7 +208,7 @@ class Block:
 
     def candidates(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(positions, sorted hashes of their contexts of `order` words, index into them)."""
-        mask = self.own & (self.place >= order) & (self.before(self.counts[order - 1]) >= self.least)
+        mask = self.own & (self.place >= order) & self.before(self.possible(order))
         keys, inverse = np.unique(self.before(self.hashed(order))[mask], return_inverse=True)
         return mask, keys, inverse
 
@@ -279,59 +293,75 @@ def scored(
     texts = blocks_of(docs, depth, block_tokens, id_col, text_col)
     size = docs.agg(F.sum(F.octet_length(docs[text_col].cast("string")))).first()[0] or 0
     parts = parts or max(8, -(-size // PART_BYTES))
-    state = f"loomline_blocks_{uuid.uuid4().hex}"
-    texts.write.bucketBy(parts, "block").option("path", scratch.path("blocks")).option("compression", "zstd").saveAsTable(state)
+    tables = Buckets(scratch, parts)
     try:
-        blocks = spark.table(state)
-        final = scratch.table(_rounds(blocks, scratch, depth, least, threshold, parts), "scores")
+        blocks = tables.write(texts, "blocks")
+        final = scratch.table(_rounds(blocks, tables, depth, least, threshold, parts), "scores")
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {state}")
-    scratch.drop("blocks", "states", *[f"counts-{order}" for order in range(1, depth + 2)])
+        tables.drop()
     return final.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-def _rounds(blocks: DataFrame, scratch: Scratch, depth: int, least: int, threshold: float, parts: int) -> DataFrame:
+class Buckets:
+    """Tables bucketed by block number in the shared folder, so that what is of one block meets without another shuffle."""
+
+    def __init__(self, scratch: Scratch, parts: int):
+        self.scratch, self.parts, self.names = scratch, parts, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.names[name] = table = f"loomline_{name}_{uuid.uuid4().hex}"
+        df.write.bucketBy(self.parts, "block").option("path", self.scratch.path(name)).option("compression", "zstd").saveAsTable(table)
+        return self.scratch.spark.table(table)
+
+    def drop(self) -> None:
+        for name, table in self.names.items():
+            self.scratch.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.scratch.drop(name)
+
+
+def _rounds(blocks: DataFrame, tables: Buckets, depth: int, least: int, threshold: float, parts: int) -> DataFrame:
     written: list[DataFrame] = []
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row, depth, least)
+                block = Block(row, depth, least, threshold)
                 for order in range(1, min(2, depth + 1) + 1):
                     yield from _table(list(messages(order, block.number, parts, *block.question(order))), _MESSAGE).to_batches()
 
     def answers(name: str, asked: DataFrame, limit: float | None = None) -> None:
-        written.append(scratch.table(kept(asked, limit), name))
-
-    def told() -> DataFrame:
-        return reduce(DataFrame.unionByName, written)
+        told = kept(asked, limit).repartition(parts, "block")
+        written.append(tables.write(told.groupBy("block").agg(F.collect_list(F.struct("kind", "part", "a", "total", "distinct")).alias(name)), name))
 
     def with_answers(each, schema: str) -> DataFrame:
-        """each(block, answers by kind) for every block; answers come to the blocks, which stay where they are."""
-
-        def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            found: dict[int, list] = {}
-            for kind, part, data in zip(right["kind"].to_pylist(), right["part"].to_pylist(), right["a"].to_pylist(), strict=True):
-                found.setdefault(kind, []).append((part, data))
-            by_kind = {k: np.concatenate([spread(d) for _, d in sorted(v)]).view(np.int64) for k, v in found.items()}
-            rows = []
-            for row in left.to_pylist():
-                block = Block(row, depth, least)
+        """each(block, answers by kind) for every block. Blocks and answers are bucketed alike, so nothing is shuffled again."""
+        joined = blocks
+        for told in written:
+            joined = joined.join(told.hint("merge"), "block", "left")
+        names = [t.columns[1] for t in written]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches, 1):
+                row = batch.to_pylist()[0]
+                found: dict[int, list] = {}
+                for a in [a for name in names for a in row[name] or []]:
+                    found.setdefault(a["kind"], []).append((a["part"], a["a"]))
+                by_kind = {k: np.concatenate([spread(d) for _, d in sorted(v)]).view(np.int64) for k, v in found.items()}
+                block = Block(row, depth, least, threshold)
                 for order in range(1, answered + 1):
                     block.answer(order, by_kind.get(order, np.empty(0, np.int64)))
-                rows += list(each(block, by_kind))
-            return _table(rows, schema)
+                yield from _table(list(each(block, by_kind)), schema).to_batches()
 
         answered = upto
-        return blocks.groupBy("block").cogroup(told().groupBy("block")).applyInArrow(run, schema)
+        return joined.mapInArrow(run, schema)
 
-    answers("counts-1", blocks.mapInArrow(first, _MESSAGE))
-    totals = told().where("kind = 1").agg(F.sum("total"), F.sum("distinct")).first()
+    answers("counts_1", blocks.mapInArrow(first, _MESSAGE))
+    totals = written[0].selectExpr("inline(counts_1)").where("kind = 1").agg(F.sum("total"), F.sum("distinct")).first()
     total, distinct = (int(x or 0) for x in totals)
     upto = min(2, depth + 1)
     for order in range(3, depth + 2):
         asked = with_answers(lambda block, _, order=order: messages(order, block.number, parts, *block.question(order)), _MESSAGE)
-        answers(f"counts-{order}", asked)
+        answers(f"counts_{order}", asked)
         upto = order
 
     def contexts(block: Block, _) -> Iterator[tuple]:
