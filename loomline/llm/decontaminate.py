@@ -4,7 +4,8 @@ The corpus is cut into blocks of whole documents. Each block stores, for every o
 the sorted list of positions at which it stands; the index knows nothing of the test items and serves any set of them. A test window (consecutive item words) is found by taking
 the posting list of its rarest term, shifting it by the term's offset in the window, and intersecting it
 with the shifted lists of its other terms, from rare to frequent. An exact phrase needs every term in its
-place; a proximity match lets each term stand up to `slack` places away.
+place. A proximity match is a start, at any place, from which each term stands within `slack` places of its own; so the
+rarest term's places give 2 * slack + 1 candidate starts each, and which documents share a block changes nothing.
 
 Blocks are independent, so neither building nor searching shuffles; test items are a stated query set
 that goes to all blocks, in query blocks of at most `max_query_words` words.
@@ -130,15 +131,17 @@ class Block:
             counts = lengths[terms]
             for w in np.flatnonzero(counts.all(axis=1)):
                 order = np.argsort(counts[w], kind="stable")
-                starts = self.lists[terms[w][order[0]]].astype(np.int64) - order[0]
+                anchors = self.lists[terms[w][order[0]]] - order[0]
+                starts = np.unique(anchors[:, None] + np.arange(-slack, slack + 1)) if slack else anchors
                 for o in order[1:]:
                     starts = self.near(starts, terms[w][o], o, slack)
                     if not len(starts):
                         break
                 if not len(starts):
                     continue
-                near.append((self.document(starts), items[w]))
-                for o in order[1:] if slack else ():
+                # a start may lie before its document; slack places on it is in it, or in the gap behind it
+                near.append((self.document(starts + slack), items[w]))
+                for o in order if slack else ():
                     starts = self.near(starts, terms[w][o], o, 0)
                 if len(starts):
                     exact.append((self.document(starts), items[w]))
@@ -147,7 +150,7 @@ class Block:
         return np.cumsum(edges) > 0, exact, near
 
     def document(self, positions: np.ndarray) -> np.ndarray:
-        return np.unique(np.searchsorted(self.starts, np.maximum(positions, 0), side="right") - 1)
+        return np.unique(np.searchsorted(self.starts, positions, side="right") - 1)
 
     def results(self, queries: QuerySet, slack: int) -> list[tuple]:
         """Per document: words, hit words, hit ranges, items with exact and with proximity matches."""

@@ -7,6 +7,8 @@ substrings whose places are possible (multi-match-aware: the shift is bounded by
 segment). What meets, and differs by few enough letters in its counts of some, is decided by a banded bit-parallel automaton:
 for each number of edits one word, with a bit for each diagonal of the band, moved by a character of the text at a time.
 
+Shorter lines have no segments: they and the longer lines near them are found by patterns with places left out or blank.
+
 Texts that are linked, directly or by way of others, are one class. Nothing needs all pairs of a class:
 
 * Hashes of segments and substrings are first folded alone; only those that stand in two texts get their texts.
@@ -21,12 +23,14 @@ is another text. `drop_lines` drops repeats, and lines within `threshold` edits
 always stays: no line is dropped without an equal or near line that is kept.
 
 Defined results: null and empty texts have no lines, and a row of the report only if `every` is set; empty lines are dropped from counts; lines of at most threshold
-characters are compared for equality only, since the allowed edits can replace all of such a line (`least_chars` can raise that bound); rows that share an id are one document's lines twice, the second ones repeats; a null id
+characters are all of one class, since the allowed edits can replace all of such a line (`least_chars` sets a length below which lines are compared for equality only); rows that share an id are one document's lines twice, the second ones repeats; a null id
 comes first in order; extra columns are ignored, whatever their names; an empty table gives no rows. Texts are known by two 64-bit hashes, and compared as they are.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,8 +192,52 @@ def across(rows: DataFrame, threshold: int) -> DataFrame:
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
-def linked_texts(texts: DataFrame, threshold: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def short_patterns(threshold: int, short: bool) -> list[tuple[int, tuple[int, ...], str]]:
+    """Patterns of lines of up to 2 * threshold characters.
+
+    A line of n > threshold characters is within threshold edits of one of m <= threshold just if some i of its places are left out, some
+    e of the other's, and r of the rest replaced, with i - e = n - m and i + e + r <= threshold. So both, with these places left out or
+    blank, leave equal patterns. Each entry is (length, places, name of (n, m, e)); a place that is blank is given as -1 - place.
+    """
+    out = []
+    for n in range(threshold + 1, 2 * threshold + 1):
+        for m in range(1, threshold + 1):
+            for e in range(m):
+                r = threshold - (n - m + e) - e
+                if r < 0:
+                    continue
+                length = m if short else n
+                for places in combinations(range(length), m - e):
+                    for blank in combinations(places, min(r, m - e)):
+                        out.append((length, tuple(-1 - p if p in blank else p for p in places), f"{n}.{m}.{e}:"))
+    return out
+
+
+def short_keys(texts: DataFrame, threshold: int, short: bool) -> DataFrame:
+    """(id, key) of the patterns of short lines, or of those that may be linked with short ones. A line break, which no line holds, is a blank."""
+    made = ["cast(null as string)"]
+    for length, places, name in short_patterns(threshold, short):
+        parts = ["char(10)" if p < 0 else f"substring(line, {p + 1}, 1)" for p in places]
+        made.append(f"if(length(line) = {length}, concat('{name}', {', '.join(parts)}), null)")
+    return texts.selectExpr("id", f"explode(array_distinct(filter(array({', '.join(made)}), x -> x is not null))) as key")
+
+
+def short_links(texts: DataFrame, threshold: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) that tie lines of at most threshold characters, and longer ones near any of them, into one class.
+
+    Any two such lines are within threshold edits, as these can replace them whole; so they are one class, and a longer line is of it if it
+    has a pattern of one of them. Each is tied to the first of the short lines only.
+    """
+    short = scratch.table(texts.where(f"length(line) <= {threshold}").select("id", "line"), "short")
+    longer = texts.where(f"length(line) > {threshold} and length(line) <= {2 * threshold}").select("id", "line")
+    near = short_keys(longer, threshold, False).join(short_keys(short, threshold, True).select("key").distinct(), "key", "left_semi").select("id").distinct()
+    first = short.agg(F.min("id").alias("b")).where("b is not null")
+    return scratch.table(short.select("id").union(near).join(F.broadcast(first)).selectExpr("id as a", "b").where("a <> b"), "short-links")
+
+
+def linked_texts(every: DataFrame, threshold: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(asked, classes) of texts (id, line, ...): the texts that may share a hash, with signature s, and (node, component) of those with links."""
+    texts, tied = every.where(f"length(line) > {threshold}"), short_links(every, threshold, scratch)
     spelled = pieces_of(texts, threshold)
     folded = spelled.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h")
     groups = scratch.table(folded, "groups")
@@ -197,6 +245,8 @@ def linked_texts(texts: DataFrame, threshold: int, scratch: Scratch) -> tuple[Da
     rows = sifted(spelled, sieve(groups, "h", scratch, "group-sieve"), "h").join(groups, "h", "left_semi")
     rows = scratch.table(rows, "rows")
     signed = sifted(texts, sieve(rows, "id", scratch, "id-sieve"), "id")
+    ends = tied.select(F.col("a").alias("id")).union(tied.select(F.col("b").alias("id"))).distinct()
+    signed = signed.union(every.join(ends, "id", "left_semi")).dropDuplicates(["id"])
     asked = scratch.table(signed.selectExpr("*", f"named_struct('n', length(line), {', '.join(letter_counts('line'))}) as s"), "asked")
     rows = scratch.table(mixed(rows.join(asked.select("id", "s"), "id"), None), "mixed")
     links = scratch.table(verified(stars(rows, threshold).distinct(), asked, threshold), "stars")
@@ -204,7 +254,7 @@ def linked_texts(texts: DataFrame, threshold: int, scratch: Scratch) -> tuple[Da
     rows = scratch.table(mixed(rows, classes), "apart")
     more = scratch.table(verified(across(rows, threshold).distinct(), asked, threshold), "links")
     scratch.drop("groups", "group-sieve", "id-sieve", "rows", "mixed")
-    return asked, components(links.union(more), scratch, "linked")
+    return asked, components(links.union(more).union(tied), scratch, "linked")
 
 
 #: A first place as one number, so that it can be folded by hash: the id, and 32 bits of the place. A null id is below all others.
@@ -230,7 +280,7 @@ def near_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 1, id_col
     hashes = {"key": F.xxhash64("line"), "check": F.xxhash64(F.lit(1), "line")}
     texts = scratch.table(folded.select(F.monotonically_increasing_id().alias("id"), "line", "spot", "copies", *[h.alias(k) for k, h in hashes.items()]), "texts", "zstd")
     scratch.free()
-    asked, classes = linked_texts(texts.where(F.length("line") >= max(least_chars, threshold + 1)), threshold, scratch)
+    asked, classes = linked_texts(texts.where(F.length("line") >= least_chars), threshold, scratch)
 
     members = classes.union(classes.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "id")
     inside = scratch.table(asked.join(members, "id"), "inside")

@@ -12,18 +12,19 @@ large vocabularies), padded with the end id. `cu_seqlens` are the cumulative seg
 document and the token offset of each segment.
 
 Defined results: a null or empty text is one end id; repeated ids are packed as separate documents; a null
-id stays null; extra columns are ignored; an empty table gives no rows.
+id stays null; a run of white space, letters or signs may be of any length; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,10 @@ from .common import rows_to_batches
 
 #: Fixed value: the published splitting pattern that belongs to the byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed value: the white space of the pattern, by Unicode's property.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Longer runs of white space are kept from the pattern, whose look-ahead steps back through a run.
+LONG_RUN = 4096
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: A vocabulary is broadcast; larger files are refused.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -112,11 +117,36 @@ def load_ranks(path: str) -> bytes:
     return data
 
 
-def encoder(ranks: bytes):
-    import tiktoken
+class Encoder:
+    """Token ids of texts of any kind.
 
-    table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
-    return tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
+    The pattern takes a run of white space in one piece, but for its last character if something follows. So a text can be cut before a
+    run, and before that last character, without a change to any piece: nothing in the pattern looks back, and what ends before the
+    run isn't changed by what comes after its first character. The pieces of long runs are found this way and merged alone.
+    """
+
+    def __init__(self, ranks: bytes, long_run: int = LONG_RUN):
+        import tiktoken
+
+        table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
+        self.split = tiktoken.Encoding("packing", pat_str=SPLIT, mergeable_ranks=table, special_tokens={})
+        self.whole = tiktoken.Encoding("run", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
+        self.decode = self.split.decode
+        self.long = re.compile(f"[{WHITE}]{{{max(2, long_run)},}}")
+
+    def __call__(self, text: str) -> list[int]:
+        out: list[int] = []
+        at = 0
+        for run in self.long.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self.split.encode_ordinary(text[at : run.start()])
+            out += self.whole.encode_ordinary(text[run.start() : end])
+            at = end
+        return out + self.split.encode_ordinary(text[at:] if at else text)
+
+
+def encoder(ranks: bytes) -> Encoder:
+    return Encoder(ranks)
 
 
 def pack(
@@ -129,7 +159,7 @@ def pack(
     shared = docs.sparkSession.sparkContext.broadcast(data)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number = encoder(shared.value).encode_ordinary, TaskContext.get().partitionId() << 33
+        encode, number = encoder(shared.value), TaskContext.get().partitionId() << 33
 
         def row(pieces):
             nonlocal number
@@ -163,15 +193,6 @@ def pack(
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, PACKED)
 
 
-def write_packed(packed: DataFrame, path: str) -> None:
-    """Write the matrix as Parquet in order of seq_id within each file."""
-    packed.write.mode("overwrite").parquet(path)
-
-
-def read_packed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PACKED).parquet(path)
-
-
 def position_ids(cu_seqlens: list[int], seq_len: int) -> np.ndarray:
     """Position of each column in its segment; padding goes on as a segment of its own."""
     starts = np.zeros(seq_len, np.int64)

@@ -106,13 +106,60 @@ def test_query_blocks_merge(spark, docs):
     assert kept == {r.doc_id for r in one if not r.n_hit}
 
 
+def near_by_definition(words, window, slack):
+    """Whether some start has each word of the window within slack of its place."""
+    return any(all(x in words[max(0, s + o - slack) : max(0, s + o + slack + 1)] for o, x in enumerate(window)) for s in range(-slack, len(words) + slack))
+
+
+def test_long_runs_are_encoded_as_one_would(spark):
+    """Cutting before and inside runs of white space changes no token, and no run is too long."""
+    ranks = packing.load_ranks(packing.DEFAULT_VOCABULARY)
+    plain, rng = packing.Encoder(ranks).split.encode_ordinary, random.Random(3)
+    pieces = ["a", "word", "'s", "12", "=", "é", " ", " ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "  ", "\n\n"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(1, 30))) for _ in range(3000)]
+    for longest in (2, 3, 5):
+        encode = packing.Encoder(ranks, longest)
+        assert all(encode(t) == plain(t) for t in texts)
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "\n" * 2_000_000 + "end"), (3, "a" + " \t" * 1_000_000 + "b"), (4, "x" * 1_000_000), (5, "=" * 1_000_000)], "doc_id long, text string")
+    ids = {r.doc_id: r.text for r in docs.collect()}
+    found = collections.defaultdict(list)
+    for r in packing.pack(docs).collect():
+        tokens = [int.from_bytes(r.input_ids[2 * i : 2 * i + 2], "little") for i in range(len(r.input_ids) // 2)]
+        for d, at, a, b in zip(r.doc_ids, r.piece_starts, r.cu_seqlens, r.cu_seqlens[1:]):
+            found[d].append((at, tokens[a:b]))
+    decode = packing.encoder(ranks).decode
+    assert {d: decode([t for _, x in sorted(v) for t in x][:-1]) for d, v in found.items()} == ids
+
+
 def test_near_matches_are_returned(spark, tmp_path):
     said = [f"w{i}" for i in range(10)]
     texts = [(1, " ".join(said)), (2, " ".join([*said[:5], "put", "in", *said[5:]])), (3, "none of these")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(7, " ".join(said))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    got = {r.doc_id: (r.n_near_items, r.near_items, [tuple(x) for x in r.spans]) for r in queries.QUERIES["op1_near_matches"](spark, str(tmp_path)).collect()}
-    assert got[2] == (1, ["7"], []) and got[3] == (0, [], []) and got[1][2] == [(0, 10)]
+    got = {r.doc_id: (r.n_near_items, r.near_items, r.spans) for r in queries.QUERIES["op1_decontaminate"](spark, str(tmp_path)).collect()}
+    assert got == {1: (1, "7", "0:10"), 2: (1, "7", ""), 3: (0, "", "")}
+
+
+@pytest.mark.parametrize("block_words", [10_000_000, 300, 1])
+def test_near_matches_do_not_know_their_block(spark, monkeypatch, block_words):
+    build = decontaminate.build_index
+    monkeypatch.setattr(decontaminate, "build_index", lambda d, i, t: build(d, i, t, block_words))
+    rng = random.Random(9)
+    items = [(k, [f"t{rng.randrange(12)}" for _ in range(rng.choice([3, 6, 12]))]) for k in range(6)]
+    texts = []
+    for i in range(60):
+        w = [f"t{rng.randrange(14)}" for _ in range(rng.randrange(4))] + list(rng.choice(items)[1])
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randrange(2)] = [f"t{rng.randrange(14)}" for _ in range(rng.randrange(2))]
+            w = w or ["t1"]
+        texts.append((i, w))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {r.doc_id: set(r.near_items) for r in decontaminate.contamination(docs, bench, window=6).collect()}
+    windows = {k: [w[j : j + 6] for j in range(max(1, len(w) - 5))] for k, w in items}
+    want = {i: {str(k) for k, ws in windows.items() if any(near_by_definition(w, x, 2) for x in ws)} for i, w in texts}
+    assert got == want and any(want.values())
 
 
 def test_index_serves_any_items(spark, docs):
@@ -259,7 +306,7 @@ def line_classes(lines, threshold):
 
     for i, x in enumerate(lines):
         for j in range(i):
-            if min(len(x), len(lines[j])) > threshold >= abs(len(x) - len(lines[j])) and edits(x, lines[j]) <= threshold:
+            if threshold >= abs(len(x) - len(lines[j])) and edits(x, lines[j]) <= threshold:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return [find(i) for i in range(len(lines))]
@@ -317,6 +364,29 @@ def test_large_groups_of_near_lines(spark):
     assert spark.read.parquet(scratch.path("apart")).count() == 0
 
 
+def test_short_lines_are_linked(spark):
+    """All lines of one or two characters are one class, and longer ones are of it by what is left of them."""
+    rng = random.Random(11)
+    lines = sorted({"".join(rng.choice("abcdé") for _ in range(rng.choice([1, 2, 3, 3, 4, 4, 5, 6]))) for _ in range(60)} | {"xyz", "wxyz", "zzzz", "qaq", "qqab"})
+    for kept in (lines, [x for x in lines if len(x) > 2 or x in ("ab", "d")], [x for x in lines if len(x) != 1], [x for x in lines if len(x) < 3], [x for x in lines if len(x) > 2]):
+        docs = spark.createDataFrame(list(enumerate(kept)), "doc_id long, text string")
+        got = {r.doc_id: r.class_doc for r in line_dedup.near_lines(docs, 2).collect()}
+        assert got == dict(enumerate(line_classes(kept, 2)))
+
+
+def test_patterns_decide_for_short_lines():
+    rng = random.Random(12)
+    for threshold in (1, 2, 3):
+        texts = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 2 * threshold))) for _ in range(150)]
+
+        def keys(x, short):
+            return {name + "".join("\n" if p < 0 else x[p] for p in places) for length, places, name in line_dedup.short_patterns(threshold, short) if length == len(x)}
+
+        for x in {t for t in texts if len(t) <= threshold}:
+            for y in {t for t in texts if len(t) > threshold}:
+                assert (not keys(x, True).isdisjoint(keys(y, False))) == (edits(x, y) <= threshold), (x, y)
+
+
 def test_line_report_counts(spark):
     a, b = "this is a line of some length", "this is a line of sum length"
     docs = spark.createDataFrame([(2, f"{a}\nshort\n{a}"), (1, f"{b}\nshort"), (3, None), (-5, f"x\n{a}"), (None, "nowhere else")], "doc_id long, text string")
