@@ -101,21 +101,3 @@ def abstention_accuracy(outcomes: DataFrame) -> DataFrame:
     """outcomes: answerable, evaluable, abstained. Mean of right abstentions over unanswerable, evaluable queries; null if there are none."""
     asked = outcomes.where("evaluable and not answerable")
     return asked.agg(F.count("*").alias("unanswerable"), F.avg(F.coalesce(F.col("abstained"), F.lit(False)).cast("double")).alias("abstention_accuracy"))
-
-
-def nearest(queries: DataFrame, vectors: DataFrame, k: int = 20) -> DataFrame:
-    """(query_id, rank, document_id, score): the k vectors of highest cosine for each query vector, itself left out.
-
-    queries is a stated, bounded set that goes to all vectors; a top-k per partition keeps what is shuffled at k a query.
-    """
-    def unit(c: str) -> Column:
-        norm = F.sqrt(F.aggregate(F.col(c), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-        return F.transform(F.col(c), lambda x: x.cast("double") / norm)
-
-    q = queries.select("query_id", unit("embedding").alias("q"))
-    v = vectors.select("document_id", unit("embedding").alias("v"))
-    scored = v.join(F.broadcast(q), F.col("query_id") != F.col("document_id")).select(
-        "query_id", "document_id", F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x).alias("score")
-    )
-    w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "document_id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "document_id", "score")

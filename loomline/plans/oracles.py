@@ -316,3 +316,28 @@ SQL["ext_sessions"] = """
 WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM g)
 SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start_s, count(*) AS events, round(sum(value), 4) AS total FROM s GROUP BY user_id, k"""
+
+_WORDS = f"""words AS (SELECT doc_id, unnest(string_split({_KEY.format("coalesce(text, '')")}, ' ')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS n FROM words WHERE term <> '' GROUP BY ALL),
+sizes AS (SELECT d.doc_id, coalesce(sum(n), 0) AS size FROM documents d LEFT JOIN tf USING (doc_id) GROUP BY ALL)"""
+_LEXICAL = f"""{_TAGS}, {_WORDS},
+asked AS (SELECT DISTINCT doc_id AS q, unnest(string_split({_KEY.format("tag")}, ' ')) AS term FROM tr WHERE rank <= 8 AND doc_id % 100 = 0),
+idf AS (SELECT term, ln(1 + ((SELECT count(*) FROM sizes) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf GROUP BY term),
+bm AS (
+  SELECT q, t.doc_id, sum(idf * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * size / (SELECT avg(size) FROM sizes)))) AS score
+  FROM asked a JOIN tf t ON t.term = a.term JOIN idf i ON i.term = a.term JOIN sizes z ON z.doc_id = t.doc_id WHERE a.term <> '' AND q <> t.doc_id GROUP BY ALL),
+lexical AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY round(score, 9) DESC, doc_id) AS rank FROM bm QUALIFY rank <= 50)"""
+_DENSE = """features AS (SELECT doc_id, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 65536 AS f, sum(n) AS n FROM tf GROUP BY ALL),
+rare AS (SELECT f, ln((1 + (SELECT count(*) FROM sizes)) / (1 + count(*))) + 1 AS idf FROM features GROUP BY f),
+dims AS (SELECT doc_id, f % 256 AS d, sum((1 - 2 * ((f // 256) % 2)) * (1 + ln(n)) * idf) AS w FROM features JOIN rare USING (f) GROUP BY ALL),
+norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM dims GROUP BY ALL),
+units AS (SELECT doc_id, d, CASE WHEN norm > 0 THEN w / norm ELSE 0 END AS w FROM dims JOIN norms USING (doc_id)),
+cos AS (SELECT x.doc_id AS q, y.doc_id, sum(x.w * y.w) AS score FROM units x JOIN units y ON x.d = y.d WHERE x.doc_id % 100 = 0 AND x.doc_id <> y.doc_id GROUP BY ALL),
+every AS (SELECT a.doc_id AS q, b.doc_id, coalesce(score, 0.0) AS score FROM sizes a JOIN sizes b ON a.doc_id % 100 = 0 AND a.doc_id <> b.doc_id LEFT JOIN cos c ON c.q = a.doc_id AND c.doc_id = b.doc_id),
+dense AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY round(score, 9) DESC, doc_id) AS rank FROM every QUALIFY rank <= 50)"""
+SQL["lexical_results"] = f"{_LEXICAL} SELECT q AS query_id, rank, doc_id AS document_id, round(score, 5) AS score FROM lexical"
+SQL["dense_results"] = f"WITH {_WORDS}, {_DENSE} SELECT q AS query_id, rank, doc_id AS document_id, round(score, 5) AS score FROM dense"
+SQL["fused_results"] = f"""{_LEXICAL}, {_DENSE},
+merged AS (SELECT coalesce(x.q, y.q) AS q, coalesce(x.doc_id, y.doc_id) AS doc_id, x.rank AS dense_rank, y.rank AS lexical_rank FROM dense x FULL JOIN lexical y ON x.q = y.q AND x.doc_id = y.doc_id),
+summed AS (SELECT *, coalesce(1.0::DOUBLE / (60 + dense_rank), 0) + coalesce(1.0::DOUBLE / (60 + lexical_rank), 0) AS score FROM merged)
+SELECT q AS query_id, row_number() OVER (PARTITION BY q ORDER BY round(score, 12) DESC, doc_id) AS rank, doc_id AS document_id, round(score, 9) AS score, dense_rank, lexical_rank FROM summed QUALIFY rank <= 40"""

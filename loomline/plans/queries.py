@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, hashing, text
-from ..operators import chunking, corrections, delta, hierarchy, metrics, model, packing, positions, representations, telemetry, topics, validation
+from ..operators import chunking, corrections, delta, hierarchy, metrics, model, packing, positions, representations, retrieval, telemetry, topics, validation, vectors
+from ..operators.lineage import cut
 from .tables import graph, nodes, ranked, segments, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -445,6 +446,48 @@ def abstention(spark, sf):
     return metrics.abstention_accuracy(l.select((F.col("quality") == 1).alias("answerable"), (F.col("doc_id") % 3 != 0).alias("evaluable"), (F.col("toxic") == 1).alias("abstained")))
 
 
+def _lexical(spark, sf):
+    d = table(spark, sf, "documents")
+    asked = chunking.topic_tags(d.where("doc_id % 100 = 0"), ["doc_id"]).select(F.col("doc_id").alias("query_id"), F.explode(retrieval.index_terms("tag")).alias("term")).distinct()
+    return retrieval.search(retrieval.lexical_index(d), asked)
+
+
+def _embedded(spark, sf):
+    e = cut(vectors.embed(table(spark, sf, "documents")))
+    return e, e.where("document_id % 100 = 0").select(F.col("document_id").alias("query_id"), "embedding")
+
+
+@query
+def lexical_results(spark, sf):
+    """The 50 best documents by BM25 for the eight topic tags of each document whose id is divisible by 100."""
+    return _lexical(spark, sf).select("query_id", F.col("rank").cast("long").alias("rank"), "document_id", F.round("score", 5).alias("score"))
+
+
+@query
+def dense_results(spark, sf):
+    """The 50 nearest documents by hashed embedding, exactly."""
+    e, asked = _embedded(spark, sf)
+    found = vectors.vector_search(vectors.vector_index(e), asked, 50)
+    return found.select("query_id", F.col("rank").cast("long").alias("rank"), "document_id", F.round("score", 5).alias("score"))
+
+
+@query
+def fused_results(spark, sf):
+    """The 40 best documents of both runs by reciprocal ranks, with their ranks in each."""
+    e, asked = _embedded(spark, sf)
+    dense = vectors.vector_search(vectors.vector_index(e), asked, 50)
+    fused = retrieval.fuse({"dense": dense, "lexical": _lexical(spark, sf)}, k=40)
+    return fused.select("query_id", F.col("rank").cast("long").alias("rank"), "document_id", F.round("score", 9).alias("score"), "dense_rank", "lexical_rank")
+
+
+@query
+def vector_recall(spark, sf):
+    """Recall at 20 of the index, with as many cells probed as its own sample asks for, against all of them."""
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("document_id"), "embedding")
+    index, asked = vectors.vector_index(e), e.where("document_id % 100 = 0").withColumnRenamed("document_id", "query_id")
+    return vectors.recall(vectors.vector_search(index, asked, 20, vectors.tuned_probes(index)), vectors.vector_search(index, asked, 20))
+
+
 # --- governance
 
 

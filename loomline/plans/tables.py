@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,16 +58,14 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ranked(spark: SparkSession, sf_dir: str, every: int = 100, k: int = 20, block: int = 1024) -> tuple[DataFrame, DataFrame]:
-    """embeddings as a ranked run: every id divisible by `every`, searched in blocks, against all vectors; the same label is relevance 1 to 3."""
-    from ..operators.metrics import nearest
+def ranked(spark: SparkSession, sf_dir: str, every: int = 100, k: int = 20) -> tuple[DataFrame, DataFrame]:
+    """embeddings as a ranked run: every id divisible by `every`, exactly, against all vectors; the same label is relevance 1 to 3."""
+    from ..operators.vectors import vector_index, vector_search
 
     e = table(spark, sf_dir, "embeddings")
     asked = e.where(F.col("vec_id") % every == 0)
-    found, vectors = asked.select(F.col("vec_id").alias("query_id"), "embedding"), e.select(F.col("vec_id").alias("document_id"), "embedding")
-    blocks = max(1, -(-asked.count() // block))
-    parts = [nearest(found.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i), vectors, k) for i in range(blocks)]
-    results = reduce(DataFrame.unionByName, parts)
+    index = vector_index(e.select(F.col("vec_id").alias("document_id"), "embedding"))
+    results = vector_search(index, asked.select(F.col("vec_id").alias("query_id"), "embedding"), k)
     pairs = asked.select(F.col("vec_id").alias("query_id"), "label").join(e.select(F.col("vec_id").alias("document_id"), "label"), "label").where("query_id <> document_id")
     return results, pairs.select("query_id", "document_id", (F.col("document_id") % 3 + 1).cast("int").alias("grade"))
 
