@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder that the session names; a local one only where none is set and all runs in one process."""
-    context = df.sparkSession.sparkContext
+def scratch_root(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; a local one only where none is set and all runs in one process."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or "/tmp/checkpoints")
+    return context.getCheckpointDir().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder."""
+    scratch_root(df.sparkSession)
     return df.checkpoint()

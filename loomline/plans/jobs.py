@@ -11,11 +11,12 @@ from ..operators.lineage import cut
 from ..sources import caches, judgments, transcripts
 
 
-def build_nodes(segments: DataFrame, config: Config | None = None) -> DataFrame:
-    """Leaf chunks, summaries, theses and position cards of all episodes, by the offline model."""
-    c = config or Config()
-    titles = segments.groupBy("episode_id").agg(F.first("episode_title").alias("episode_title"))
-    leaves = cut(chunking.leaf_chunks(segments, c.leaf_chunk_size, c.leaf_chunk_overlap_segments))
+def leaf_stage(segments: DataFrame, c: Config) -> DataFrame:
+    return chunking.leaf_chunks(segments, c.leaf_chunk_size, c.leaf_chunk_overlap_segments)
+
+
+def tree_stage(leaves: DataFrame, c: Config) -> DataFrame:
+    """Leaves with their summaries and theses, placed below their parents."""
     summaries = hierarchy.build_hierarchy(leaves, c.grouping_mode if c.grouping_mode in ("semantic", "speaker_first") else "chronological", c.max_levels, c.min_docs_to_cluster)
     tops = leaves.unionByName(summaries, allowMissingColumns=True)
     theses = cut(hierarchy.theses(leaves, tops, c.episode_thesis_max_chars))
@@ -24,14 +25,23 @@ def build_nodes(segments: DataFrame, config: Config | None = None) -> DataFrame:
     thesis_id = theses.select("episode_id", F.col("node_id").alias("thesis_id"))
     placed = every.join(parents, ["episode_id", "node_id"], "left").join(thesis_id, "episode_id", "left")
     placed = placed.withColumn("parent_id", F.coalesce("parent_id", F.when(F.col("node_type") != "episode_thesis", F.col("thesis_id")))).drop("thesis_id")
-    placed = placed.join(titles, "episode_id", "left").withColumn("source_type", F.lit("podcast_transcript"))
-    placed = cut(placed)
+    return placed.withColumns({"episode_title": transcripts.title("source"), "source_type": F.lit("podcast_transcript")})
+
+
+def position_stage(placed: DataFrame, c: Config) -> DataFrame:
+    """Position cards of placed nodes."""
     batches = positions.position_batches(positions.position_sources(placed), c.position_extraction_batch_char_budget)
     said = batches.select("episode_id", F.col("chunk").cast("long").alias("seq"), model.offline_position(F.element_at("members", 1)).alias("p"))
     asked = said.select("episode_id", "seq", F.concat_ws("-", "episode_id", F.col("seq").cast("string")).alias("position_id"), "p.*")
     judged = positions.quarantine(positions.resolve_evidence(asked, placed))
-    cards = positions.position_cards(judged, placed.where("node_type = 'episode_thesis'"))
-    return placed.unionByName(cards, allowMissingColumns=True)
+    return positions.position_cards(judged, placed.where("node_type = 'episode_thesis'"))
+
+
+def build_nodes(segments: DataFrame, config: Config | None = None) -> DataFrame:
+    """Leaf chunks, summaries, theses and position cards of all episodes, by the offline model."""
+    c = config or Config()
+    placed = cut(tree_stage(cut(leaf_stage(segments, c)), c))
+    return placed.unionByName(position_stage(placed, c), allowMissingColumns=True)
 
 
 def process_transcripts(spark: SparkSession, path: str, out: str, config: Config | None = None) -> DataFrame:

@@ -341,3 +341,4 @@ SQL["fused_results"] = f"""{_LEXICAL}, {_DENSE},
 merged AS (SELECT coalesce(x.q, y.q) AS q, coalesce(x.doc_id, y.doc_id) AS doc_id, x.rank AS dense_rank, y.rank AS lexical_rank FROM dense x FULL JOIN lexical y ON x.q = y.q AND x.doc_id = y.doc_id),
 summed AS (SELECT *, coalesce(1.0::DOUBLE / (60 + dense_rank), 0) + coalesce(1.0::DOUBLE / (60 + lexical_rank), 0) AS score FROM merged)
 SELECT q AS query_id, row_number() OVER (PARTITION BY q ORDER BY round(score, 12) DESC, doc_id) AS rank, doc_id AS document_id, round(score, 9) AS score, dense_rank, lexical_rank FROM summed QUALIFY rank <= 40"""
+SQL["topic_refresh"] = f"SELECT podcast_id, normalized_label, depth_score, episode_count, document_count, first_episode_date, latest_episode_date FROM ({SQL['topic_depth']})"

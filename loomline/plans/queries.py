@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, hashing, text
 from ..operators import chunking, corrections, delta, hierarchy, metrics, model, packing, positions, representations, retrieval, telemetry, topics, validation, vectors
-from ..operators.lineage import cut
+from ..operators.lineage import cut, scratch_root
+from . import topic_refresh as refresh
 from .tables import graph, nodes, ranked, segments, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -298,6 +300,23 @@ def best_cache(spark, sf):
     return topics.best_cache(files).select("episode_key", F.col("priority").cast("long").alias("priority"), "mtime", "source_path")
 
 
+@query
+def topic_refresh(spark, sf):
+    """The index after two refreshes: the first knew half of the episodes, some by an older signature, and one that is gone since."""
+    out = f"{scratch_root(spark)}/topics-{uuid.uuid4().hex}"
+    n = nodes(spark, sf)
+    episodes = n.select("podcast_id", "episode_key", F.max("seq").over(Window.partitionBy("podcast_id", "episode_key")).alias("last")).distinct()
+    now = episodes.select("podcast_id", "episode_key", F.lit("now").alias("signature"))
+    before = episodes.where("last % 2 = 0").select("podcast_id", "episode_key", F.when(F.col("last") % 4 == 0, "old").otherwise("now").alias("signature"))
+    gone = now.limit(1).select("podcast_id", F.lit("no such episode").alias("episode_key"), "signature")
+    last = F.max("seq").over(Window.partitionBy("podcast_id", "episode_key"))
+    first = n.withColumn("last", last).withColumn("topic_tags", F.when(F.col("last") % 4 == 0, F.array(F.lit("old words"))).otherwise(F.col("topic_tags"))).drop("last")
+    refresh.refresh(spark, first, before.unionByName(gone), out)
+    refresh.refresh(spark, n, now, out)
+    index = refresh.table(spark, out, "index")
+    return index.select("podcast_id", "normalized_label", "depth_score", "episode_count", "document_count", "first_episode_date", "latest_episode_date")
+
+
 @query
 def topic_order(spark, sf):
     """The ten deepest topics of the index, in its order."""

@@ -45,6 +45,11 @@ def file_path() -> Column:
     return F.replace(F.col("_metadata.file_path"), F.lit("%20"), F.lit(" "))
 
 
+def title(source: Column | str) -> Column:
+    """File name without its ending."""
+    return F.regexp_extract(source, r"([^/\\]+?)(\.[^./\\]*)?$", 1)
+
+
 def fingerprint() -> Column:
     return F.sha1(F.concat_ws("|", "source", F.col("size").cast("string"), F.unix_micros("modified").cast("string")))
 

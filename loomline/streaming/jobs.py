@@ -48,18 +48,21 @@ def upsert(table: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows, done = batch.dropDuplicates(keys), _versions(spark, table)
-        if done:
-            rows = current(spark, table).join(rows.select(*keys), keys, "left_anti").unionByName(rows)
-        rows.write.mode("overwrite").parquet(f"{table}/v{done[-1] + 1 if done else 0}")
-        for old in done[:-1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v{old}")
-            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        rows, held = batch.dropDuplicates(keys), current(batch.sparkSession, table)
+        write_version(held.join(rows.select(*keys), keys, "left_anti").unionByName(rows) if held is not None else rows, table)
 
     return each
 
 
+def write_version(rows: DataFrame, table: str) -> None:
+    """Write rows as the next version of a table. The version before stays for readers; older ones are deleted, so a reader must not be slower than one write."""
+    spark, done = rows.sparkSession, _versions(rows.sparkSession, table)
+    rows.write.mode("overwrite").parquet(f"{table}/v{done[-1] + 1 if done else 0}")
+    for old in done[:-1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/v{old}")
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def sliding_telemetry(events: DataFrame, ts: str = "ts", late: str = "10 minutes", width: str = "5 minutes", step: str = "1 minute") -> DataFrame:
     """Rolling counts and sums of a stream by event type; rows later than `late` are dropped."""
     timed = events.withColumn("t", F.col(ts).cast("timestamp")).withWatermark("t", late)
