@@ -58,14 +58,14 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ranked(spark: SparkSession, sf_dir: str, every: int = 100, k: int = 20) -> tuple[DataFrame, DataFrame]:
-    """embeddings as a ranked run: every id divisible by `every`, exactly, against all vectors; the same label is relevance 1 to 3."""
+def ranked(spark: SparkSession, sf_dir: str, every: int = 100, k: int = 20, block: int = 20_000) -> tuple[DataFrame, DataFrame]:
+    """embeddings as a ranked run: every id divisible by `every`, exactly, against all vectors, in groups of about `block`; the same label is relevance 1 to 3."""
     from ..operators.vectors import vector_index, vector_search
 
     e = table(spark, sf_dir, "embeddings")
     asked = e.where(F.col("vec_id") % every == 0)
     index = vector_index(e.select(F.col("vec_id").alias("document_id"), "embedding"))
-    results = vector_search(index, asked.select(F.col("vec_id").alias("query_id"), "embedding"), k)
+    results = vector_search(index, asked.select(F.col("vec_id").alias("query_id"), "embedding"), k, query_rows=block)
     pairs = asked.select(F.col("vec_id").alias("query_id"), "label").join(e.select(F.col("vec_id").alias("document_id"), "label"), "label").where("query_id <> document_id")
     return results, pairs.select("query_id", "document_id", (F.col("document_id") % 3 + 1).cast("int").alias("grade"))
 
