@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, hashing
 from ..functions.arrays import most_common, ordered_distinct, scope_of
-from ..functions.text import budget_lines, collapse, fallback_summary, summary_bullets, tag_words, text_key
+from ..functions.text import budget_lines, collapse, fallback_summary, is_substantive, summary_bullets, tag_words, text_key
 from .chunking import render_for_rollup
 from .lineage import cut
-from .model import answered, offline_summary
+from .reduction import Answer, offline, reduce_texts
 
 GROUP, LEAST_TO_CLUSTER, MAX_CLUSTERS, MAX_LEVELS = 6, 12, 300, 4
+LEAST_MEMBER = 20
 NEAR = 0.92
 OVERVIEW_CHARS = 3200
 HEADING = "Deterministic episode overview:\n"
@@ -140,11 +141,15 @@ def group_measures(grouped: DataFrame, keys: list[str], order: list[str]) -> Dat
     )
 
 
-def summarise(grouped: DataFrame, level: int) -> DataFrame:
-    """Summaries of the groups of each episode by the offline model."""
+def summarise(grouped: DataFrame, level: int, answer: Answer = offline) -> DataFrame:
+    """Summaries of the groups of each episode: substantive members are reduced to one answer, in prompts within the budget."""
+    keys = ["episode_id", "group"]
     rendered = grouped.withColumn("rendered", render_for_rollup(grouped))
-    measured = group_measures(rendered, ["episode_id", "group"], ["start_time", "node_id"])
-    said = answered(measured, offline_summary(F.col("prompt")), budget=2**31 - 1)
+    measured = cut(group_measures(rendered, keys, ["start_time", "node_id"]))
+    told = F.filter("members", lambda x: is_substantive(x["page_content"], LEAST_MEMBER))
+    blocks = measured.select(*keys, F.posexplode(F.transform(told, lambda x: x["rendered"])).alias("place", "text"))
+    texts = reduce_texts(blocks, keys, answer).select(*keys, F.col("text").alias("answer"))
+    said = measured.join(texts, keys, "left").withColumn("answer", F.coalesce("answer", fallback_summary("prompt")))
     ratio = F.when(F.col("source_chars") > 0, F.round(F.length("answer") / F.col("source_chars"), 4)).otherwise(0.0)
     fallback = F.startswith(F.col("answer"), F.lit("- Fallback summary"))
     return said.select(
@@ -235,7 +240,7 @@ def theses(leaves: DataFrame, tops: DataFrame, most: int = OVERVIEW_CHARS) -> Da
     )
 
 
-def build_hierarchy(leaves: DataFrame, mode: str = "chronological", levels: int = MAX_LEVELS, least: int = LEAST_TO_CLUSTER) -> DataFrame:
+def build_hierarchy(leaves: DataFrame, mode: str = "chronological", levels: int = MAX_LEVELS, least: int = LEAST_TO_CLUSTER, answer: Answer = offline) -> DataFrame:
     """All summaries of all levels (with duplicate and parent_id) and the theses, for all episodes at once.
 
     The driver loops over at most `levels` levels. An episode goes on while it has `least` nodes that aren't duplicates.
@@ -246,7 +251,7 @@ def build_hierarchy(leaves: DataFrame, mode: str = "chronological", levels: int
         enough = current.withColumn("_n", F.count("*").over(w)).where(F.col("_n") >= least).drop("_n")
         if every is not None and enough.isEmpty():
             break
-        summaries = cut(near_duplicates(cut(summarise(assign_groups(enough, mode), level)), ["episode_id"], "seq", "page_content"))
+        summaries = cut(near_duplicates(cut(summarise(assign_groups(enough, mode), level, answer)), ["episode_id"], "seq", "page_content"))
         every = summaries if every is None else every.unionByName(summaries)
         current = summaries.where("not duplicate").drop("duplicate")
     return every

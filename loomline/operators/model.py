@@ -65,6 +65,14 @@ def call_model(requests: DataFrame, invoke: Callable[[str], str], key: str = "re
     return spread.mapInPandas(run, f"{key} string, answer string, failed boolean")
 
 
+def answered_by(requests: DataFrame, invoke: Callable[[str], str], budget: int = PROMPT_BUDGET, fallback_chars: int = 1800, tries: int = 3, tasks: int | None = None) -> DataFrame:
+    """requests: prompt. As `answered`, by a real model. Prompts over the budget aren't sent; equal prompts are sent once; calls that failed become extracts."""
+    sent = requests.where(token_estimate("prompt") <= budget).select("prompt").distinct().withColumn("request_id", F.sha2("prompt", 256))
+    said = call_model(sent, invoke, "request_id", tries, tasks).select("request_id", F.col("answer").alias("_said"))
+    joined = requests.withColumn("request_id", F.sha2("prompt", 256)).join(said, "request_id", "left")
+    return answered(joined, F.coalesce("_said", F.lit("")), budget, fallback_chars).drop("_said", "request_id")
+
+
 def salvage_json(text: str | None):
     """The JSON value in a model's answer: a fenced block, the whole text, the longest start that parses, or a cut array's whole objects."""
     if not text:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, hashing, text
-from ..operators import chunking, corrections, delta, hierarchy, metrics, model, packing, positions, representations, retrieval, telemetry, topics, validation, vectors
+from ..operators import chunking, corrections, delta, hierarchy, metrics, model, packing, positions, reduction, representations, retrieval, telemetry, topics, validation, vectors
 from ..operators.lineage import cut, scratch_root
 from . import topic_refresh as refresh
 from .tables import graph, nodes, ranked, segments, table
@@ -363,9 +363,21 @@ def speaker_first_groups(spark, sf):
     return out.groupBy("episode_id", F.col("group").cast("long").alias("grp")).agg(F.count("*").alias("nodes"), F.max("speaker").alias("speaker"))
 
 
+@query
+def reduced_texts(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.lit(0).alias("place"), "text")
+    return reduction.reduce_texts(d, ["doc_id"]).select("doc_id", "text", "outcome", "rounds", "requests", "largest")
+
+
+@query
+def reduced_sources(spark, sf):
+    d = table(spark, sf, "documents").select("source", F.col("doc_id").alias("place"), "text")
+    return reduction.reduce_texts(d, ["source"]).select("source", "text", "outcome", "rounds", "requests", "largest")
+
+
 @query
 def cluster_summaries(spark, sf):
-    out = hierarchy.build_hierarchy(_leaves(spark, sf), levels=2)
+    out = hierarchy.build_hierarchy(_leaves(spark, sf))
     return out.groupBy("level").agg(F.count("*").alias("summaries"), F.count_if("duplicate").alias("duplicates"), F.sum(F.size("child_ids")).alias("children"))
 
 
