@@ -177,17 +177,20 @@ def depth_label(score: Column | str) -> Column:
 TOPIC = ["podcast_id", "normalized_label"]
 
 
-def topic_index(contribs: DataFrame, blacklist: DataFrame | None = None, whitelist: DataFrame | None = None) -> DataFrame:
-    """The index: a row a podcast and label, with depth scaled by the largest values of all podcasts.
-
-    blacklist, whitelist: tables of normalized_label; a label on the first and not on the second is left out.
-    """
+def curated(contribs: DataFrame, blacklist: DataFrame | None = None, whitelist: DataFrame | None = None) -> DataFrame:
+    """Contributions to the index: labels that pass the verdict, without those on the blacklist and not on the whitelist (tables of normalized_label)."""
     rows = contribs.where(verdict("normalized_label")["reason"].isNull())
-    if blacklist is not None:
-        out_of = blacklist.select("normalized_label").distinct()
-        if whitelist is not None:
-            out_of = out_of.join(whitelist.select("normalized_label"), "normalized_label", "left_anti")
-        rows = rows.join(out_of, "normalized_label", "left_anti")
+    if blacklist is None:
+        return rows
+    out_of = blacklist.select("normalized_label").distinct()
+    if whitelist is not None:
+        out_of = out_of.join(whitelist.select("normalized_label"), "normalized_label", "left_anti")
+    return rows.join(out_of, "normalized_label", "left_anti")
+
+
+def topic_index(contribs: DataFrame, blacklist: DataFrame | None = None, whitelist: DataFrame | None = None) -> DataFrame:
+    """The index of curated contributions: a row a podcast and label, with depth scaled by the largest values of all podcasts."""
+    rows = curated(contribs, blacklist, whitelist)
     dated = F.nullif(F.col("episode_date"), F.lit(""))
     totals = rows.groupBy(*TOPIC).agg(
         F.max("podcast_name").alias("podcast_name"),
@@ -245,10 +248,10 @@ def index_in_order(index: DataFrame) -> DataFrame:
     return index.orderBy(F.col("depth_score").desc(), F.col("episode_count").desc(), F.lower("label"), "podcast_id", "normalized_label")
 
 
-def podcast_rollup(contribs: DataFrame, index: DataFrame) -> DataFrame:
-    """Per podcast: name, episodes with contributions, topics of the index."""
+def podcast_rollup(contribs: DataFrame, topics: DataFrame) -> DataFrame:
+    """Per podcast: name, episodes with contributions, and its different labels in topics (the index, or curated contributions, which need no index)."""
     episodes = contribs.groupBy("podcast_id").agg(F.max("podcast_name").alias("podcast_name"), F.count_distinct("episode_key").alias("episode_count"))
-    counted = index.groupBy("podcast_id").agg(F.count("*").alias("topic_count"))
+    counted = topics.groupBy("podcast_id").agg(F.count_distinct("normalized_label").alias("topic_count"))
     return episodes.join(counted, "podcast_id", "left").withColumn("topic_count", F.coalesce("topic_count", F.lit(0)))
 
 

@@ -1,4 +1,4 @@
-"""Validation of processed documents: violations are rows, found by anti-joins and a bounded evidence closure."""
+"""Validation of processed documents: violations are rows, found by anti-joins and a closure of evidence."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse, is_missing_context
+from .lineage import cut
 
 REQUIRED_FIELDS = ["node_id", "node_type", "level", "source", "episode_id", "episode_title", "source_type", "speaker_scope"]
 REQUIRED_TYPES = ["episode_thesis", "leaf_chunk"]
@@ -38,20 +39,26 @@ def inconsistent_parents(edge: DataFrame, nodes: DataFrame) -> DataFrame:
     return edge.where("node_type <> 'position_card'").join(child, ["cache_id", "child_id"]).where(~F.col("child_parent").eqNullSafe(F.col("node_id")))
 
 
-def evidence_closure(edge: DataFrame, nodes: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(cache_id, node_id, leaves) of non-leaf nodes that reach a leaf, by self-joins unrolled to the hierarchy's depth.
+def evidence_closure(edge: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(cache_id, node_id, leaves) of non-leaf nodes that reach a leaf, however deep they stand.
 
-    Each step keeps distinct (node, reached) pairs, so a node that is reached on several ways moves on once.
+    A frontier of distinct (node, reached) pairs moves on by one edge a round, is checkpointed, and leaves out the pairs of earlier rounds,
+    so that cycles end; the driver loops as often as the longest way has edges.
     """
     kinds = nodes.select("cache_id", F.col("node_id").alias("child_id"), F.col("node_type").alias("child_type"))
-    step = edge.select("cache_id", "node_id", "child_id").join(kinds, ["cache_id", "child_id"])
-    frontier, leaves = step.distinct(), []
+    step = cut(edge.select("cache_id", "node_id", "child_id").join(kinds, ["cache_id", "child_id"]).distinct())
     onward = step.select("cache_id", F.col("node_id").alias("via"), "child_id", "child_type")
-    for _ in range(depth):
-        leaves.append(frontier.where("child_type = 'leaf_chunk'").select("cache_id", "node_id", "child_id"))
-        inner = frontier.where("child_type <> 'leaf_chunk'").select("cache_id", "node_id", F.col("child_id").alias("via"))
-        frontier = inner.join(onward, ["cache_id", "via"]).select("cache_id", "node_id", "child_id", "child_type").distinct()
-    return reduce(DataFrame.unionByName, leaves).groupBy("cache_id", "node_id").agg(F.count_distinct("child_id").alias("leaves"))
+    frontier, rounds, seen = step, [step], None
+    while True:
+        inner = frontier.where("child_type <> 'leaf_chunk'").select("cache_id", "node_id", "child_id")
+        if inner.isEmpty():
+            break
+        seen = inner if seen is None else seen.unionByName(inner)
+        reached = inner.withColumnRenamed("child_id", "via").join(onward, ["cache_id", "via"]).select("cache_id", "node_id", "child_id", "child_type").distinct()
+        frontier = cut(reached.join(seen, ["cache_id", "node_id", "child_id"], "left_anti"))
+        rounds.append(frontier.select(*step.columns))
+    leaves = reduce(DataFrame.unionByName, rounds).where("child_type = 'leaf_chunk'")
+    return leaves.groupBy("cache_id", "node_id").agg(F.count_distinct("child_id").alias("leaves"))
 
 
 def revisits(edge: DataFrame, nodes: DataFrame, depth: int = DEPTH) -> DataFrame:

@@ -70,7 +70,7 @@ def fixed_groups(spark, sf):
 
 @query
 def position_batches(spark, sf):
-    d = nodes(spark, sf).where("node_type = 'cluster_summary'").select("podcast_id", "seq", F.length(text.short_text("page_content", 900)).alias("size"))
+    d = nodes(spark, sf, tagged=False).where("node_type = 'cluster_summary'").select("podcast_id", "seq", F.length(text.short_text("page_content", 900)).alias("size"))
     out = packing.pack(d, ["podcast_id"], [F.col("seq")], F.col("size") + 1, 8000, 0)
     return out.select("podcast_id", F.col("chunk").cast("long").alias("batch"), F.size("members").cast("long").alias("members"), F.aggregate("members", F.lit(0).cast("long"), lambda a, x: a + x["size"] + 1).alias("chars"))
 
@@ -275,8 +275,8 @@ def topic_questions(spark, sf):
 
 @query
 def podcast_rollup(spark, sf):
-    c = _contributions(spark, sf)
-    return topics.podcast_rollup(c, topics.topic_index(c))
+    c = _contributions(spark, sf).select("podcast_id", "podcast_name", "episode_key", "normalized_label")
+    return topics.podcast_rollup(c, topics.curated(c))
 
 
 @query
@@ -390,7 +390,7 @@ def episode_theses(spark, sf):
 
 @query
 def position_sources(spark, sf):
-    n = nodes(spark, sf).withColumns({"episode_id": F.col("podcast_id"), "speaker_scope": F.when(F.col("seq") % 2 == 0, "single").otherwise("multi"), "start_time": F.when(F.col("seq") % 5 != 0, F.col("seq").cast("double"))})
+    n = nodes(spark, sf, tagged=False).withColumns({"episode_id": F.col("podcast_id"), "speaker_scope": F.when(F.col("seq") % 2 == 0, "single").otherwise("multi"), "start_time": F.when(F.col("seq") % 5 != 0, F.col("seq").cast("double"))})
     return positions.position_sources(n).select("episode_id", "node_id", F.col("place").cast("long").alias("place"))
 
 
@@ -559,7 +559,7 @@ def required_fields(spark, sf):
 
 @query
 def cache_inspect_counts(spark, sf):
-    return validation.type_counts(nodes(spark, sf), ["podcast_id"])
+    return validation.type_counts(nodes(spark, sf, tagged=False), ["podcast_id"])
 
 
 @query

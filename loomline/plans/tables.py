@@ -29,11 +29,13 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as nodes: a source is a podcast, ten ids an episode, a language a node type; labels are the most frequent tag words of the whole text."""
-    d = table(spark, sf_dir, "documents")
+def nodes(spark: SparkSession, sf_dir: str, tagged: bool = True) -> DataFrame:
+    """documents as nodes: a source is a podcast, ten ids an episode, a language a node type; labels are the most frequent tag words of the whole text (none unless tagged)."""
+    # a generator, as the optimiser would work out an expression again in each place of use
+    words = F.explode(F.array(most_common(tag_words("text"), 8))) if tagged else F.array().cast("array<string>")
+    d = table(spark, sf_dir, "documents").select("*", words.alias("words"))
     kind = F.when(F.col("lang") == "en", "position_card").when(F.col("lang") == "fr", "cluster_summary").when(F.col("lang") == "de", "episode_thesis").otherwise("leaf_chunk")
-    words = most_common(tag_words("text"), 8)
+    words = F.col("words")
     day = F.concat(F.lit("2026-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"))
     return d.select(
         F.col("source").alias("podcast_id"),
