@@ -1,7 +1,10 @@
-"""Text expressions: Column in, Column out, all inside the JVM."""
+"""Text expressions: Column in, Column out; all but the counting of tag words inside the JVM."""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,6 +90,24 @@ def tag_words(c: Column | str) -> Column:
     return F.filter(clean, lambda w: ~w.isin(TAG_STOPWORDS) & ~F.regexp_like(w, F.lit("^[0-9]+$")))
 
 
+_TAG_WORD = re.compile(rb"[a-z][a-z0-9_-]{3,}")
+_STOP = {w.encode() for w in TAG_STOPWORDS}
+
+
+def counted_tags(text: str, k: int) -> list[tuple[str, int]]:
+    """The k most frequent tag words with their counts, ties by first place. Bytes lower only A-Z, and no other character is in a word."""
+    counts = Counter(w.rstrip(b"_-") for w in _TAG_WORD.findall(text.encode(errors="surrogatepass").lower()))
+    for w in _STOP & counts.keys():
+        del counts[w]
+    return [(w.decode(), n) for w, n in counts.most_common(k)]
+
+
+def top_tags(c: Column | str, k: int) -> Column:
+    """Array of (tag, n): as tag_words, counted, in one pass over each text."""
+    tops = F.udf(lambda t: counted_tags(t, k), "array<struct<tag:string,n:bigint>>", useArrow=True)
+    return tops(or_empty(c))
+
+
 def title_case(c: Column | str) -> Column:
     """Each run of letters starts with a capital."""
     runs = F.regexp_extract_all(F.lower(col(c)), F.lit(r"([\p{L}]+|[^\p{L}]+)"), F.lit(1))

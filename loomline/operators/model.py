@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.arrays import most_common
-from ..functions.text import collapse, fallback_summary, is_missing_context, tag_words, token_estimate
+from ..functions.text import collapse, fallback_summary, is_missing_context, token_estimate, top_tags
 
 PROMPT_BUDGET = 3500
 # What the offline model says.
@@ -27,7 +26,7 @@ POSITION = T.StructType(
 
 def offline_summary(text: Column | str) -> Column:
     """Up to five bullets of the text's most frequent tag words."""
-    tags = most_common(tag_words(text), 5)
+    tags = top_tags(text, 5)["tag"]
     named = F.when(F.size(tags) > 0, tags).otherwise(F.array(F.lit("transcript")))
     return F.array_join(F.transform(named, lambda t, i: F.concat(F.lit("- Fake summary "), (i + 1).cast("string"), F.lit(": "), t)), "\n")
 
