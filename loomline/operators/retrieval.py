@@ -11,8 +11,11 @@ Nothing is approximate: a block that is skipped can't hold a better document.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,16 +29,45 @@ BLOCK_DOCS = 4096
 #: Constant of reciprocal rank fusion.
 FUSION = 60
 
+#: Texts that are counted at once.
+_ROWS = 256
+_COUNTS = "array<struct<term:string,n:bigint>>"
+
 
 def index_terms(c: Column | str) -> Column:
     """Words of the text key, in order, repeats kept."""
     return F.filter(F.split(text_key(c), " "), lambda t: t != "")
 
 
-def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(document_id, term, n)."""
-    words = docs.select(F.col(id_col).alias("document_id"), F.explode(index_terms(text_col)).alias("term"))
-    return words.groupBy("document_id", "term").agg(F.count("*").alias("n"))
+def document_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(document_id, counts): the different words of a document with their numbers, as one row. Rows that share an id are one document; a null id is left out.
+
+    Each text is counted where it is; only where rows share an id, which the ids alone tell, are words shuffled.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                terms: list[str] = []
+                n: list[int] = []
+                ends = [0]
+                for key in batch.column(1):
+                    counts = Counter(key.as_py().split())
+                    terms.extend(counts.keys())
+                    n.extend(counts.values())
+                    ends.append(len(terms))
+                each = pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(n, pa.int64())], ["term", "n"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)], ["document_id", "counts"])
+
+    known = docs.where(F.col(id_col).isNotNull()).withColumnRenamed(id_col, "document_id")
+    kind = dict(known.dtypes)["document_id"]
+    each = known.select("document_id", text_key(text_col).alias("key")).mapInArrow(counted, f"document_id {kind}, counts {_COUNTS}")
+    if known.groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return each
+    summed = each.select("document_id", F.inline("counts")).groupBy("document_id", "term").agg(F.sum("n").alias("n"))
+    lists = summed.groupBy("document_id").agg(F.collect_list(F.struct("term", "n")).alias("counts"))
+    return known.select("document_id").distinct().join(lists, "document_id", "left").withColumn("counts", F.coalesce("counts", F.array().cast(_COUNTS)))
 
 
 @dataclass
@@ -57,19 +89,27 @@ class LexicalIndex:
 
 def lexical_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_docs: int = BLOCK_DOCS) -> LexicalIndex:
     """The index of all words of all documents. Rows that share an id are one document; a null id is left out."""
-    known = docs.where(F.col(id_col).isNotNull())
-    counts = cut(term_counts(known, id_col, text_col))
-    sizes = cut(known.select(F.col(id_col).alias("document_id"), F.size(index_terms(text_col)).alias("size")).groupBy("document_id").agg(F.sum("size").alias("size")))
+    return index_of(cut(document_terms(docs, id_col, text_col)), block_docs=block_docs)
+
+
+def index_of(terms: DataFrame, asked: DataFrame | None = None, block_docs: int = BLOCK_DOCS) -> LexicalIndex:
+    """The index of (document_id, counts). asked (term): postings of these words only, for searches that are known before; weights are the same."""
+    sizes = terms.select("document_id", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("size"), "counts")
     # lengths by powers of two are at most 64 classes
     classed = sizes.withColumn("class", F.floor(F.log2(F.col("size") + 1)).cast("int"))
     wide = classed.groupBy("class").agg(F.ceil(F.count("*") / block_docs).alias("blocks"))
     corpus = sizes.agg(F.count("*").alias("docs"), F.avg("size").alias("mean"))
     placed = classed.join(F.broadcast(wide), "class").join(F.broadcast(corpus))
-    placed = placed.select("document_id", "size", "mean", (F.col("class") * F.lit(1 << 32) + F.pmod(F.xxhash64("document_id"), "blocks")).alias("block"))
-    found = counts.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(corpus.select("docs")))
-    rare = found.select("term", F.log1p((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    placed = placed.select("size", "mean", "docs", (F.col("class") * F.lit(1 << 32) + F.pmod(F.xxhash64("document_id"), "blocks")).alias("block"), "document_id", F.inline("counts"))
+    found = terms.select(F.inline("counts"))
+    if asked is not None:
+        wanted = cut(asked.select("term").distinct())
+        found, placed = found.join(wanted, "term", "left_semi"), placed.join(wanted, "term", "left_semi")
+    found = found.groupBy("term").agg(F.count("*").alias("df"))
+    rare = F.log1p((F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
+    counts = placed.join(found, "term").select("term", "block", "document_id", "n", "size", "mean", rare)
     weight = F.col("idf") * F.col("n") * (K1 + 1) / (F.col("n") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
-    postings = cut(counts.join(placed, "document_id").join(rare, "term").select("term", "block", "document_id", weight.alias("weight")))
+    postings = cut(counts.select("term", "block", "document_id", weight.alias("weight")))
     return LexicalIndex(postings, postings.groupBy("term", "block").agg(F.max("weight").alias("top")))
 
 

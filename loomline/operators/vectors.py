@@ -11,14 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from .lineage import cut
-from .retrieval import term_counts
+from .retrieval import document_terms
 
 #: Hashed features, and dimensions that they are added into.
 FEATURES, DIMENSIONS = 1 << 16, 256
@@ -30,28 +33,58 @@ CELL_ROWS, QUERY_ROWS = 20_000, 20_000
 _FOUND = "query_id long, document_id long, score double"
 
 
-def feature(term: Column | str, features: int = FEATURES) -> Column:
-    return F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % features
+@lru_cache(1 << 17)
+def feature(term: str, features: int = FEATURES) -> int:
+    return int.from_bytes(md5(term.encode()).digest()[:4]) % features
 
 
 def embed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", features: int = FEATURES, dimensions: int = DIMENSIONS) -> DataFrame:
     """(document_id, embedding) of all documents; a text without words has zeros. features tables are bounded, so their counts are broadcast."""
-    ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("document_id")).distinct()
-    counts = term_counts(docs.where(F.col(id_col).isNotNull()), id_col, text_col).groupBy("document_id", feature("term", features).alias("f")).agg(F.sum("n").alias("n"))
-    counts = cut(counts)
-    often = counts.groupBy("f").agg(F.count("*").alias("df")).join(F.broadcast(ids.agg(F.count("*").alias("docs"))))
-    rare = often.select("f", (F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1).alias("idf"))
-    sign = 1 - 2 * (F.floor(F.col("f") / dimensions) % 2)
-    weighed = counts.join(F.broadcast(rare), "f").select("document_id", (F.col("f") % dimensions).alias("d"), (sign * (1 + F.log("n")) * F.col("idf")).alias("w"))
-    summed = weighed.groupBy("document_id", "d").agg(F.sum("w").alias("w")).groupBy("document_id").agg(F.map_from_entries(F.collect_list(F.struct("d", "w"))).alias("m"))
-    vector = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.coalesce(F.try_element_at("m", i.cast("long")), F.lit(0.0)))
-    return ids.join(summed.select("document_id", vector.alias("embedding")), "document_id", "left").withColumn("embedding", F.coalesce("embedding", F.array_repeat(F.lit(0.0), dimensions)))
+    return embed_terms(cut(document_terms(docs, id_col, text_col)), features, dimensions)
+
+
+def embed_terms(terms: DataFrame, features: int = FEATURES, dimensions: int = DIMENSIONS) -> DataFrame:
+    """As embed, of (document_id, counts)."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
+            lists = batch.column(1)
+            each = lists.flatten()
+            f = np.fromiter((feature(t, features) for t in each.field(0).to_pylist()), np.int64, len(each))
+            n = each.field(1).to_numpy()
+            lengths = np.diff(lists.offsets.to_numpy())
+            document = np.repeat(np.arange(len(lists)), lengths)
+            both, at = np.unique(document * features + f, return_inverse=True)
+            summed = np.bincount(at, weights=n, minlength=len(both)).astype(np.int64)
+            ends = np.searchsorted(both // features, np.arange(len(lists) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, both % features), pa.ListArray.from_arrays(ends, summed)], ["document_id", "f", "n"])
+
+    rows = terms.select(F.col("document_id").cast("long").alias("document_id"), "counts")
+    counts = cut(rows.mapInArrow(hashed, "document_id long, f array<long>, n array<long>"))
+    documents = counts.count()
+    often = np.zeros(features)
+    for f, n in counts.select(F.explode("f").alias("f")).groupBy("f").agg(F.count("*").alias("n")).collect():
+        often[f] = n
+    rare = counts.sparkSession.sparkContext.broadcast(np.log((1 + documents) / (1 + often)) + 1)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            f, n = lists.flatten().to_numpy(), batch.column(2).flatten().to_numpy()
+            w = (1 - 2 * (f // dimensions % 2)) * (1 + np.log(n)) * rare.value[f]
+            document = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            v = np.bincount(document * dimensions + f % dimensions, weights=w, minlength=len(lists) * dimensions).astype(np.float64)
+            ends = np.arange(len(lists) + 1, dtype=np.int32) * dimensions
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, v)], ["document_id", "embedding"])
+
+    return counts.mapInArrow(added, "document_id long, embedding array<double>")
 
 
 def unit(c: str) -> Column:
     """The vector by its length; zeros stay zeros."""
     norm = F.sqrt(F.aggregate(F.col(c), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    return F.transform(F.col(c), lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(0.0))
+    # worked out once a vector, not once an entry
+    return let(norm, lambda length: F.transform(F.col(c), lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0)))
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:

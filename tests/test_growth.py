@@ -26,6 +26,39 @@ def test_tag_words_are_counted_in_their_row(spark):
     assert {(r.tag, r.n) for r in chunking.topic_tags(twice, ["doc_id"]).where("doc_id = 0").collect()} >= {("alpha", 4), ("beta", 4)}
 
 
+def test_words_of_a_document_are_one_row(spark):
+    d = spark.createDataFrame([(1, "a b a"), (2, None), (3, "c")], "doc_id long, text string")
+    terms = retrieval.document_terms(d)
+    assert "Exchange" not in plan(terms)
+    assert {r.document_id: {c.term: c.n for c in r.counts} for r in terms.collect()} == {1: {"a": 2, "b": 1}, 2: {}, 3: {"c": 1}}
+    twice = retrieval.document_terms(d.union(spark.createDataFrame([(1, "b"), (None, "a")], d.schema)))
+    assert {r.document_id: {c.term: c.n for c in r.counts} for r in twice.collect()} == {1: {"a": 2, "b": 2}, 2: {}, 3: {"c": 1}}
+
+
+def test_an_index_of_the_asked_words_finds_the_same(spark):
+    rng = random.Random(3)
+    d = spark.createDataFrame([(i, " ".join(rng.choices("abcdefgh", k=rng.randint(1, 9)))) for i in range(60)], "doc_id long, text string")
+    asked = spark.createDataFrame([(1, "a"), (1, "c"), (2, "h"), (2, "none")], "query_id long, term string")
+    terms = cut(retrieval.document_terms(d))
+    part, whole = (retrieval.index_of(terms, a, 16) for a in (asked, None))
+    assert part.postings.count() < whole.postings.count()
+    found = [sorted(map(tuple, retrieval.search(i, asked, 5).collect())) for i in (part, whole)]
+    assert found[0] == found[1] and len(found[0]) == 10
+
+
+def test_a_cut_is_columns(spark):
+    df = cut(spark.range(5).withColumn("x", F.array(F.col("id"))))
+    assert "parquet" in plan(df).lower() and sorted(r.id for r in df.collect()) == list(range(5))
+    assert cut(df.where("id < 0")).collect() == []
+
+
+def test_the_length_of_a_vector_is_worked_out_once(spark):
+    d = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "e array<double>")
+    assert [r.v for r in d.select(vectors.unit("e").alias("v")).collect()] == [[0.6, 0.8], [0.0, 0.0]]
+    text = d.select(vectors.unit("e").alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert text.count("aggregate(") == 1
+
+
 def test_excerpts_are_cut_once_a_node(spark):
     n = spark.createDataFrame([("p", "P", "e", "E", "2026-01-01", 1, "1", "position_card", ["alpha", "beta"], ["alpha"], "", "S", "some  text", "d")], "podcast_id string, podcast_name string, episode_key string, episode_title string, episode_date string, seq long, node_id string, node_type string, topic_tags array<string>, keywords array<string>, claim string, speaker string, page_content string, stable_document_id string")
     hits = topics.topic_hits(n)
