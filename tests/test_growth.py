@@ -59,6 +59,14 @@ def test_the_length_of_a_vector_is_worked_out_once(spark):
     assert text.count("aggregate(") == 1
 
 
+def test_clusters_hold_no_square_of_distances():
+    x = np.random.default_rng(1).normal(size=(3000, 5))
+    tracemalloc.start()
+    hierarchy.density_clusters(x, 8)
+    assert tracemalloc.get_traced_memory()[1] < 250e6
+    tracemalloc.stop()
+
+
 def test_excerpts_are_cut_once_a_node(spark):
     n = spark.createDataFrame([("p", "P", "e", "E", "2026-01-01", 1, "1", "position_card", ["alpha", "beta"], ["alpha"], "", "S", "some  text", "d")], "podcast_id string, podcast_name string, episode_key string, episode_title string, episode_date string, seq long, node_id string, node_type string, topic_tags array<string>, keywords array<string>, claim string, speaker string, page_content string, stable_document_id string")
     hits = topics.topic_hits(n)
