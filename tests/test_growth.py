@@ -59,6 +59,33 @@ def test_the_length_of_a_vector_is_worked_out_once(spark):
     assert text.count("aggregate(") == 1
 
 
+def test_copies_are_one_while_pairs_are_sought(spark):
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(base)) for i in range(6)] + [(6, " ".join(reversed(base))), (7, " ".join([*base, "extra"])), (8, "other words"), (9, ""), (10, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert hierarchy.like_pairs(hierarchy.token_sets(d, [], "doc_id", "text"), 0.92).count() == 1
+    found = {(r.a, r.b): round(r.similarity, 6) for r in hierarchy.near_pairs(d, [], "doc_id", "text").collect()}
+    assert found == {(i, j): 1.0 if j < 7 else round(40 / 41, 6) for i in range(8) for j in range(i + 1, 8)}
+
+
+def test_greedy_duplicates_hold_no_source_whole(spark):
+    words = [f"w{i}" for i in range(100)]
+    # each text is like the next two of its chain, so that the third is kept again
+    rows = [("s", i, " ".join(words[i * 3 : i * 3 + 70])) for i in range(6)] + [("s", 6, ""), ("s", 7, ""), (None, 8, "one two"), (None, 9, "two one")]
+    d = spark.createDataFrame(rows, "source string, doc_id long, text string")
+    kept: list[set[str]] = []
+    want = set()
+    for _, i, t in rows[:6]:
+        s = set(t.split())
+        if any(len(s & k) / len(s | k) >= 0.9 for k in kept):
+            want.add(i)
+        else:
+            kept.append(s)
+    out = hierarchy.near_duplicates(d.where("source is not null"), ["source"], "doc_id", "text", 0.9)
+    assert "InPandas" not in plan(out)
+    assert {r.doc_id for r in out.where("duplicate").collect()} == want | {7} and want and len(want) < 5
+
+
 def test_clusters_hold_no_square_of_distances():
     x = np.random.default_rng(1).normal(size=(3000, 5))
     tracemalloc.start()
