@@ -29,15 +29,21 @@ def first_present(*columns: Column | str) -> Column:
     return F.coalesce(*[F.nullif(col(c), F.lit("")) for c in columns])
 
 
+def collapsed_start(c: Column | str, most: int) -> Column:
+    """What collapse gives, whole or cut somewhere after most characters: a long text is read to its end only if its start is nearly all white space."""
+    start = collapse(F.substring(col(c), 1, 2 * most + 64))
+    return F.when(F.length(start) > most, start).otherwise(collapse(c))
+
+
 def short_text(c: Column | str, most: int = 280) -> Column:
     """Collapsed; a text longer than most ends in three dots and has most characters."""
-    t = collapse(c)
+    t = collapsed_start(c, most)
     return F.when(F.length(t) <= most, t).otherwise(F.concat(F.substring(t, 1, most - 3), F.lit("...")))
 
 
 def clip_text(c: Column | str, most: int) -> Column:
     """Collapsed; a longer text is cut at the last clause end before most, unless that lies before 55 % of it."""
-    t = collapse(c)
+    t = collapsed_start(c, most)
     head = F.substring(t, 1, most)
     # length up to the last ". ", "; " or ", " that ends inside the head
     before = F.length(F.regexp_extract(head, r"^(.*)[.;,] ", 1))
@@ -67,7 +73,7 @@ def token_estimate(c: Column | str, chars: float = 4.0) -> Column:
 
 
 def is_substantive(c: Column | str, least: int = 40) -> Column:
-    return F.length(collapse(c)) >= least
+    return F.length(collapsed_start(c, least)) >= least
 
 
 def is_missing_context(c: Column | str) -> Column:

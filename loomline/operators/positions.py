@@ -46,9 +46,10 @@ def position_batches(sources: DataFrame, budget: int = BATCH_CHARS) -> DataFrame
 def resolve_evidence(positions: DataFrame, nodes: DataFrame) -> DataFrame:
     """positions: position_id, episode_id, evidence_node_ids. Adds evidence: its known nodes in order."""
     asked = positions.select("position_id", "episode_id", F.posexplode("evidence_node_ids").alias("pos", "node_id"))
-    known = nodes.select("episode_id", "node_id", "start_time", "end_time", "page_content", "source_segment_ids", "source_spans")
+    # excerpts are cut where the texts are: no text is shuffled
+    known = nodes.select("episode_id", "node_id", "start_time", "end_time", clip_text("page_content", EXCERPT_CHARS).alias("excerpt"), "source_segment_ids", "source_spans")
     found = asked.join(known, ["episode_id", "node_id"]).groupBy("position_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "node_id", "start_time", "end_time", clip_text("page_content", EXCERPT_CHARS).alias("excerpt"), "source_segment_ids", "source_spans"))).alias("evidence")
+        F.array_sort(F.collect_list(F.struct("pos", "node_id", "start_time", "end_time", "excerpt", "source_segment_ids", "source_spans"))).alias("evidence")
     )
     return positions.join(found, "position_id", "left")
 
@@ -68,7 +69,7 @@ def position_cards(judged: DataFrame, theses: DataFrame) -> DataFrame:
     thesis = theses.select("episode_id", F.col("node_id").alias("parent_id"), "source", "episode_title", "source_type", F.col("episode_date").alias("t_date"), F.col("start_time").alias("t_start"), F.col("end_time").alias("t_end"))
     rows = judged.where("reason is null").join(thesis, "episode_id")
     date = F.coalesce(dates.episode_date("episode_date"), F.col("t_date"))
-    rows = rows.withColumns({"date": date, "key": F.lower(F.regexp_replace("claim", r"\s+", " "))})
+    rows = rows.withColumns({"date": date, "key": F.sha2(F.lower(F.regexp_replace("claim", r"\s+", " ")), 256)})
     w = Window.partitionBy("episode_id", F.lower("speaker"), F.lower(F.coalesce("date", F.lit(""))), "key").orderBy("seq")
     rows = rows.withColumn("n", F.row_number().over(w)).where("n = 1")
     e = F.col("evidence")

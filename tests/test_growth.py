@@ -7,8 +7,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loomline.functions.arrays import most_common
-from loomline.functions.text import tag_words, top_tags
-from loomline.operators import chunking, hierarchy, retrieval, topics, vectors
+from loomline.functions.text import clip_text, collapse, collapsed_start, is_substantive, short_text, tag_words, top_tags
+from loomline.operators import chunking, hierarchy, positions, reduction, retrieval, topics, vectors
 from loomline.operators.lineage import cut
 
 
@@ -98,3 +98,38 @@ def test_excerpts_are_cut_once_a_node(spark):
     n = spark.createDataFrame([("p", "P", "e", "E", "2026-01-01", 1, "1", "position_card", ["alpha", "beta"], ["alpha"], "", "S", "some  text", "d")], "podcast_id string, podcast_name string, episode_key string, episode_title string, episode_date string, seq long, node_id string, node_type string, topic_tags array<string>, keywords array<string>, claim string, speaker string, page_content string, stable_document_id string")
     hits = topics.topic_hits(n)
     assert "shown" in hits.columns and {(r.raw_label, r.excerpt) for r in hits.collect()} == {("alpha", "some text"), ("beta", "some text")}
+
+
+def test_the_start_of_a_text_is_collapsed_alone(spark):
+    odd = ["", None, " ", "a b", " \t\n" * 90 + "word, and. more; " * 9, "x" * 300, "one. " * 80 + " " * 500, " lead" + " " * 200 + "tail. " * 9, "a" * 20 + " " * 5, "a" * 21 + "\u00a0é \U0001f600" * 30]
+    d = spark.createDataFrame([(t,) for t in odd], "text string")
+    whole = collapse("text")
+    for most in (1, 20, 21, 100):
+        start = collapsed_start("text", most)
+        r = d.select(whole.alias("w"), start.alias("s"), is_substantive("text", most).alias("i"), short_text("text", most + 3).alias("t"), clip_text("text", most).alias("c"), clip_text(collapse("text"), most).alias("d")).collect()
+        for x in r:
+            assert x.w.startswith(x.s) and (x.s == x.w or len(x.s) > most) and x.i == (len(x.w) >= most) and x.c == x.d
+            assert x.t == (x.w if len(x.w) <= most + 3 else x.w[:most] + "...")
+
+
+def test_long_texts_are_split_in_the_pass_that_reads_them(spark):
+    d = spark.createDataFrame([(1, 0, "short"), (2, 0, None), (3, 0, "some words, and more of them. " * 12), (4, 0, "x" * 130 + " " * 90)], "k long, place long, text string")
+    out = reduction.split_blocks(d, 100, 20)
+    assert "Union" not in plan(out)
+    found = {k: [r.text for r in out.where(F.col("k") == k).orderBy("part").collect()] for k in (1, 2, 3, 4)}
+    assert found == {1: ["short"], 2: [], 3: [p for p in reduction.parts_of("some words, and more of them. " * 12, 100, 20) if len(p) >= 40], 4: ["x" * 100]}
+
+
+def test_evidence_is_joined_as_excerpts(spark):
+    n = spark.createDataFrame([("e", "1", 0.0, 1.0, "some  text " * 90, ["1"], [0.5])], "episode_id string, node_id string, start_time double, end_time double, page_content string, source_segment_ids array<string>, source_spans array<double>")
+    p = spark.createDataFrame([("p", "e", ["none", "1"]), ("q", "e", ["none"])], "position_id string, episode_id string, evidence_node_ids array<string>")
+    out = positions.resolve_evidence(p, n)
+    said = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("page_content" in x for x in said.split("\n") if "Aggregate" in x)
+    assert {r.position_id: r.evidence and [(e.node_id, len(e.excerpt)) for e in r.evidence] for r in out.collect()} == {"p": [("1", 362)], "q": None}
+
+
+def test_positions_count_no_tags(spark):
+    from loomline.plans import queries
+
+    assert "Python" not in plan(queries.position_cards(spark, "/root/testdata/sf0.001"))
