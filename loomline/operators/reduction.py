@@ -54,12 +54,13 @@ def parts_of(text: str, budget: int, overlap: int) -> list[str]:
 
 def split_blocks(blocks: DataFrame, budget: int, overlap: int = OVERLAP) -> DataFrame:
     """blocks: text. Adds part (from 0): a text over the budget becomes a row for each of its substantive parts, others stay as they are."""
-    parts = F.udf(lambda t: parts_of(t, budget, overlap), "array<string>", useArrow=True)
+    parts = F.udf(lambda t: None if t is None else parts_of(t, budget, overlap), "array<string>", useArrow=True)
     fits = F.length("text") <= budget
-    short = blocks.where(fits).withColumn("part", F.lit(0))
+    # one pass over the blocks: Python is told the long texts only
     others = [F.col(c) for c in blocks.columns if c != "text"]
-    long = blocks.where(~fits).select(*others, F.posexplode(parts(F.col("text"))).alias("part", "text")).where(is_substantive("text"))
-    return short.unionByName(long)
+    cut_up = blocks.withColumn("_parts", parts(F.when(~fits, F.col("text"))))
+    whole = F.when(F.coalesce(fits, F.lit(False)), F.array("text")).otherwise(F.filter("_parts", lambda t: is_substantive(t)))
+    return cut_up.select(*others, F.posexplode(whole).alias("part", "text"))
 
 
 def batches(blocks: DataFrame, keys: list[str], budget: int, span: int = SPAN) -> DataFrame:
