@@ -133,3 +133,19 @@ def test_positions_count_no_tags(spark):
     from loomline.plans import queries
 
     assert "Python" not in plan(queries.position_cards(spark, "/root/testdata/sf0.001"))
+
+
+def test_texts_are_tagged_once_however_often_hits_are_read(spark):
+    from loomline.plans import queries, tables
+
+    sf = "/root/testdata/sf0.001"
+    hits = topics.topic_hits(tables.nodes(spark, sf))
+    assert "Python" not in plan(hits)
+    contribs = topics.contributions(hits)
+    depths, index = topics.topic_depths(contribs), topics.topic_index(contribs)
+    assert "Exchange hash" not in plan(depths) and "m_evidence" not in depths.columns
+    same = ["podcast_id", "normalized_label", "depth_score", "episode_count", "document_count"]
+    assert sorted(map(tuple, depths.select(*same).collect())) == sorted(map(tuple, index.select(*same).collect())) != []
+    assert {"evidence", "related_doc_ids", "representative_episode_title", "representative_excerpt", "latest_evidence"} <= set(index.columns)
+    short = topics.topic_index(contribs, proof=False)
+    assert sorted(map(tuple, short.select("normalized_label", "label", "summary").collect())) == sorted(map(tuple, index.select("normalized_label", "label", "summary").collect()))
