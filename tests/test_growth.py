@@ -149,3 +149,15 @@ def test_texts_are_tagged_once_however_often_hits_are_read(spark):
     assert {"evidence", "related_doc_ids", "representative_episode_title", "representative_excerpt", "latest_evidence"} <= set(index.columns)
     short = topics.topic_index(contribs, proof=False)
     assert sorted(map(tuple, short.select("normalized_label", "label", "summary").collect())) == sorted(map(tuple, index.select("normalized_label", "label", "summary").collect()))
+
+
+def test_a_node_of_one_tag_counts_it_as_its_sql_does(spark, tmp_path):
+    from loomline.plans import oracles, queries
+    from tests.compare import compare
+
+    texts = ["heit lich", "lich", "heit sich lich", "heit sich lich"]
+    d = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    assert compare(spark, str(tmp_path), queries.topic_contributions, oracles.SQL["topic_contributions"]) == ""
+    top = {r.normalized_label: r.top_keywords for r in queries.topic_contributions(spark, str(tmp_path)).collect()}
+    assert top["lich"].startswith("Lich|Heit")
