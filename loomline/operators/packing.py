@@ -6,6 +6,8 @@ bounded by one episode, a unit that a model reads; unlike a key of a join, it do
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +49,19 @@ def _ranges(costs: Column, budget: int, overlap: int) -> Column:
     )
 
 
+def of_range(rows: Column | str, cut: Column, use: Callable[[Column], Column]) -> Column:
+    """use of each row of a range. Rows are taken one by one: a slice would list all rows of the group for each range, and its rows exploded beside its ranges are copied as often."""
+    return F.transform(F.sequence(cut["first"] - 1, cut["last"] - 1), lambda i: use(F.get(rows, i)))
+
+
 def pack(df: DataFrame, keys: list[str], order: list[Column], cost: Column, budget: int, overlap: int = 0) -> DataFrame:
     """Per group: keys, chunk (from 0), members (array of the packed rows in order)."""
     value = F.struct(*[df[c] for c in df.columns])
     sort = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(sort.alias("o"), cost.alias("c"), value.alias("v")))).alias("rows"))
     cut = rows.withColumn("cuts", ranges(F.transform("rows", lambda r: r["c"]), budget, overlap))
-    out = cut.select(*keys, F.posexplode("cuts").alias("chunk", "cut"), "rows")
-    return out.select(*keys, "chunk", F.col("cut.first").alias("first"), F.col("cut.last").alias("last"), F.transform(F.expr("slice(rows, cut.first, cut.last - cut.first + 1)"), lambda r: r["v"]).alias("members"))
+    filled = F.transform("cuts", lambda c: F.struct(c["first"].alias("first"), c["last"].alias("last"), of_range("rows", c, lambda r: r["v"]).alias("members")))
+    return cut.select(*keys, F.posexplode(filled).alias("chunk", "cut")).select(*keys, "chunk", "cut.first", "cut.last", "cut.members")
 
 
 def fixed_groups(df: DataFrame, keys: list[str], order: list[Column], size: int = 6) -> DataFrame:

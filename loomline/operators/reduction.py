@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import collapse, fallback_summary, is_substantive, or_empty, short_text, text_key
 from .lineage import cut
 from .model import answered, offline_summary
-from .packing import ranges
+from .packing import of_range, ranges
 
 #: Characters of a prompt, rounds, characters of a summary, characters that two parts of a long text share.
 BUDGET, ROUNDS, TARGET, OVERLAP = 6000, 8, 1600, 400
@@ -67,9 +67,8 @@ def batches(blocks: DataFrame, keys: list[str], budget: int, span: int = SPAN) -
     """blocks: keys, place, part, text. (keys, span, batch, prompt): texts in order, as many as fit; none over the budget."""
     rows = blocks.groupBy(*keys, F.floor(F.col("place") / span).alias("span")).agg(F.array_sort(F.collect_list(F.struct("place", "part", "text"))).alias("rows"))
     cuts = ranges(F.transform("rows", lambda r: F.length(r["text"]) + len(JOIN)), budget)
-    each = rows.select(*keys, "span", "rows", F.posexplode(cuts).alias("batch", "cut"))
-    texts = F.transform(F.expr("slice(rows, cut.first, cut.last - cut.first + 1)"), lambda r: r["text"])
-    return each.select(*keys, "span", "batch", F.array_join(texts, JOIN).alias("prompt"))
+    prompts = F.transform(cuts, lambda c: F.array_join(of_range("rows", c, lambda r: r["text"]), JOIN))
+    return rows.select(*keys, "span", F.posexplode(prompts).alias("batch", "prompt"))
 
 
 def renumbered(said: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.arrays import most_common
 from loomline.functions.text import clip_text, collapse, collapsed_start, is_substantive, short_text, tag_words, top_tags
-from loomline.operators import chunking, hierarchy, positions, reduction, retrieval, topics, vectors
+from loomline.operators import chunking, hierarchy, packing, positions, reduction, retrieval, topics, vectors
 from loomline.operators.lineage import cut
 
 
@@ -161,3 +161,32 @@ def test_a_node_of_one_tag_counts_it_as_its_sql_does(spark, tmp_path):
     assert compare(spark, str(tmp_path), queries.topic_contributions, oracles.SQL["topic_contributions"]) == ""
     top = {r.normalized_label: r.top_keywords for r in queries.topic_contributions(spark, str(tmp_path)).collect()}
     assert top["lich"].startswith("Lich|Heit")
+
+
+def leaves_of(spark, n, episodes):
+    return spark.range(n).select(
+        F.element_at(F.array(*[F.lit(e) for e in episodes]), (F.col("id") % len(episodes) + 1).cast("int")).alias("episode_id"), F.format_string("n%03d", "id").alias("node_id"), F.lit("leaf_chunk").alias("node_type"), F.lit("leaf").alias("level"),
+        F.concat(F.lit("harbour market talk of the town, number "), F.col("id").cast("string"), F.lit(".")).alias("page_content"), F.col("id").cast("double").alias("start_time"), (F.col("id") + 1.0).alias("end_time"),
+        F.lit("Ann").alias("speaker"), F.array(F.lit("Ann")).alias("speakers"), F.lit("single").alias("speaker_scope"), F.array(F.col("id").cast("string")).alias("source_segment_ids"),
+        F.array(F.struct(F.col("id").alias("a"))).alias("source_spans"), F.lit("s").alias("source"), F.lit("2026-01-02").alias("episode_date"),
+    )
+
+
+def test_the_rows_of_a_group_are_not_copied_for_each_range(spark):
+    d = spark.range(30).select(F.lit("e").alias("k"), F.col("id").alias("place"), F.lit(0).alias("part"), F.repeat(F.lit("x"), 7).alias("text"))
+    packed = packing.pack(d, ["k"], [F.col("place")], F.length("text"), 28, 2)
+    batches = reduction.batches(d, ["k"], 30)
+    for out in (packed, batches):
+        assert "slice(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = packed.orderBy("chunk").collect()
+    assert [m.place for m in rows[0].members] == [0, 1, 2, 3] and [m.place for m in rows[1].members] == [2, 3, 4, 5]
+    assert all([m.place for m in r.members] == list(range(r["first"] - 1, r["last"])) for r in rows) and rows[-1]["last"] == 30
+    assert [r.prompt for r in batches.orderBy("batch").collect()] == ["\n\n".join(["x" * 7] * 3)] * 10
+
+
+def test_a_group_keeps_the_text_of_its_members_once(spark):
+    leaves = hierarchy.assign_groups(leaves_of(spark, 12, ["e"]))
+    measured = hierarchy.group_measures(leaves, ["episode_id", "group"], ["start_time", "node_id"])
+    assert "page_content" not in measured.schema["members"].simpleString() and "prompt" not in measured.columns
+    out = {r.seq: r for r in hierarchy.summarise(leaves.withColumn("page_content", F.when(F.col("group") == 1, "x").otherwise(F.col("page_content"))), 1).collect()}
+    assert out[0].page_content.startswith("- Fake summary 1: ") and out[1].page_content.startswith("- Fallback summary") and len(out[1].child_ids) == 6
