@@ -190,3 +190,14 @@ def test_a_group_keeps_the_text_of_its_members_once(spark):
     assert "page_content" not in measured.schema["members"].simpleString() and "prompt" not in measured.columns
     out = {r.seq: r for r in hierarchy.summarise(leaves.withColumn("page_content", F.when(F.col("group") == 1, "x").otherwise(F.col("page_content"))), 1).collect()}
     assert out[0].page_content.startswith("- Fake summary 1: ") and out[1].page_content.startswith("- Fallback summary") and len(out[1].child_ids) == 6
+
+
+def test_a_thesis_reads_the_texts_of_leaves_only_where_no_summary_has_a_line(spark):
+    leaves = leaves_of(spark, 12, ["a", "b"])
+    tops = leaves.where("episode_id = 'a'").withColumn("page_content", F.lit("- one line"))
+    out = hierarchy.theses(leaves, tops)
+    said = {r.episode_id: r.page_content for r in out.collect()}
+    assert said["a"] == hierarchy.HEADING + "- [20260102; Ann] one line"
+    assert said["b"].split("\n")[0] == "- Fallback summary: harbour market talk of the town, number 1." and said["b"].count("\n") == 5
+    kept = hierarchy.group_measures(leaves, ["episode_id"], ["start_time", "node_id"]).schema["members"].simpleString()
+    assert "page_content" not in kept and "rendered" not in kept
