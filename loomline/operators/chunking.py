@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from ..functions.text import collapse
 from .packing import pack
 
 CHUNK_CHARS, OVERLAP = 1800, 2
+#: Rows that share their keys, up to which these keys are broadcast.
+FEW = 1 << 16
 
 
 def nulls_last(c: str) -> list[Column]:
@@ -112,15 +116,33 @@ def speaker_scopes(df: DataFrame, keys: list[str], speaker: str = "speaker", seq
 def topic_tags(df: DataFrame, keys: list[str], text: str = "text", k: int = 8) -> DataFrame:
     """Per row of keys: its k most frequent tag words with their counts, ties by first place, from 1.
 
-    Where no two rows share their keys, which the keys alone tell, each row is ranked where it is and no word is shuffled.
+    A row that shares its keys with no other, which the keys alone tell, is ranked where it is, and its words aren't shuffled. The others are
+    found by a join, unless they are half of all rows: then the words of all are shuffled, which is less than twice what must be.
     """
+    from ..functions.text import top_tags
+
+    def alone(rows: DataFrame) -> DataFrame:
+        tops = rows.select(*keys, F.posexplode(top_tags(text, k)).alias("place", "top"))
+        return tops.select(*keys, "top.tag", "top.n", (F.col("place") + 1).alias("rank"))
+
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    every, shared = counts.agg(F.sum("n"), F.sum(F.when(F.col("n") > 1, F.col("n")))).first()
+    if not shared:
+        return alone(df)
+    if 2 * shared < every:
+        told = counts.where("n > 1").select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keys)])
+        told = F.broadcast(told) if shared <= FEW else told  # else the texts are shuffled once for each side of the join
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(keys)])
+        return alone(df.join(told, same, "left_anti")).unionByName(_tags_of_shared(df.join(told, same, "left_semi"), keys, text, k))
+    return _tags_of_shared(df, keys, text, k)
+
+
+def _tags_of_shared(df: DataFrame, keys: list[str], text: str, k: int) -> DataFrame:
+    """topic_tags of rows that may share their keys: words are counted over all rows of a key."""
     from pyspark.sql import Window
 
-    from ..functions.text import tag_words, top_tags
+    from ..functions.text import tag_words
 
-    if df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        tops = df.select(*keys, F.posexplode(top_tags(text, k)).alias("place", "top"))
-        return tops.select(*keys, "top.tag", "top.n", (F.col("place") + 1).alias("rank"))
     words = df.select(*keys, F.posexplode(tag_words(text)).alias("pos", "tag"))
     counted = words.groupBy(*keys, "tag").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
     w = Window.partitionBy(*keys).orderBy(F.col("n").desc(), F.col("first"))

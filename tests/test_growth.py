@@ -201,3 +201,16 @@ def test_a_thesis_reads_the_texts_of_leaves_only_where_no_summary_has_a_line(spa
     assert said["b"].split("\n")[0] == "- Fallback summary: harbour market talk of the town, number 1." and said["b"].count("\n") == 5
     kept = hierarchy.group_measures(leaves, ["episode_id"], ["start_time", "node_id"]).schema["members"].simpleString()
     assert "page_content" not in kept and "rendered" not in kept
+
+
+def test_one_repeated_key_shuffles_the_words_of_its_rows_only(spark):
+    rows = [(i, f"common common word{i:03d}x") for i in range(60)] + [(7, "word007x word007x"), (None, "null row"), (None, "null null")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    out = chunking.topic_tags(d, ["doc_id"])
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString() and "Python" in plan(out) and "BroadcastHashJoin" in plan(out) and "SortMergeJoin" not in plan(out)
+    found = {}
+    for r in out.orderBy("doc_id", "rank").collect():
+        found.setdefault(r.doc_id, []).append((r.tag, r.n))
+    assert found == {i: [("common", 2), (f"word{i:03d}x", 1)] for i in range(60)} | {7: [("word007x", 3), ("common", 2)], None: [("null", 3)]}
+    half = chunking.topic_tags(d.where("doc_id is null or doc_id = 7"), ["doc_id"])
+    assert {(r.doc_id, r.tag, r.n, r.rank) for r in half.collect()} == {(7, "word007x", 3, 1), (7, "common", 2, 2), (None, "null", 3, 1)}
