@@ -214,3 +214,10 @@ def test_one_repeated_key_shuffles_the_words_of_its_rows_only(spark):
     assert found == {i: [("common", 2), (f"word{i:03d}x", 1)] for i in range(60)} | {7: [("word007x", 3), ("common", 2)], None: [("null", 3)]}
     half = chunking.topic_tags(d.where("doc_id is null or doc_id = 7"), ["doc_id"])
     assert {(r.doc_id, r.tag, r.n, r.rank) for r in half.collect()} == {(7, "word007x", 3, 1), (7, "common", 2, 2), (None, "null", 3, 1)}
+
+
+def test_fingerprints_are_made_in_one_pass_of_each_row(spark):
+    from loomline.plans import queries
+
+    text = plan(queries.representation_fingerprints(spark, "/root/testdata/sf0.001"))
+    assert "Exchange" not in text and text.count("ArrowEvalPython") == 1
