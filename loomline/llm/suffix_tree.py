@@ -10,18 +10,21 @@ with T(s) the number of different symbols seen after s, and the parent its longe
 is scored by the longest suffix of what stands before it that is a state.
 
 All counts are of whole texts. Texts are cut into blocks of tokens; blocks and the keepers of counts, which share out the
-hashes of word sequences by range, exchange messages:
+word sequences, exchange messages, one order after the other:
 
-1. A block folds its sequences of one order, and sends each keeper the sorted hashes of its range with their counts in training texts.
-2. The keeper adds up the messages and answers each with the counts over the whole corpus, in the order asked.
+1. A block folds its sequences of the order, and sends each keeper the sorted keys of its share with their counts in training texts.
+2. The keeper adds up the messages and answers each with the counts over the whole corpus, in the order asked, and numbers the sequences that may be contexts.
 3. Longer sequences are asked for only where their context is frequent enough, and the longest only where a bound lets it pass the test. Then blocks send, for each context, what its
    occurrences add to the divergence and to T (both are sums over occurrences, kept as whole numbers, so that no order of
    adding changes them), and are told T where the context is a state.
 
+The key of a word is its hash; that of a longer sequence is made of the numbers of its context and its last word, which lie so much
+closer than hashes that a sorted list of them takes less than half the room.
+
 So a frequent word or word pair is one number a block in each message, and neither the tree nor the vocabulary ever
 is in one place. Blocks are written once, bucketed by number, so that answers travel to them and not they to the answers.
 
-Sequences are known by 64-bit hashes: with 10^9 different words the odds of any two sharing one are about 1 in 40.
+Words are known by 64-bit hashes: with 10^9 different words the odds of any two sharing one are about 1 in 40. Longer sequences are known exactly.
 
 Defined results: a null or empty text is the end symbol alone; a null id reads "null" in the checksum that holds texts out; rows
 that share an id return a row each; a text longer than a block is cut into pieces that begin with the words before them,
@@ -30,9 +33,11 @@ and its scores are added up; extra columns are ignored; without training texts a
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +61,7 @@ LLR_STEP, TYPE_STEP = float(1 << 10), float(1 << 20)
 
 _BLOCK = "block long, row_ids array<long>, doc_ids array<long>, held array<boolean>, sizes array<int>, skips array<int>, vocabulary binary, codes binary"
 _MESSAGE = "kind int, part int, block long, keys binary, a binary, b binary"
-_ANSWER = "kind int, part int, block long, a binary, total long, distinct long"
+_ANSWER = "kind int, part int, block long, a binary, b binary, total long, distinct long, given long"
 _SCORES = "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -78,13 +83,49 @@ def spread(data: bytes, ascending: bool = False) -> np.ndarray:
     return np.cumsum(v, dtype=np.uint64) if ascending else v
 
 
-def sequence_hash(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """Hash of a sequence from that of all but its last symbol, and the symbol's."""
-    with np.errstate(over="ignore"):
-        h = (context * np.uint64(0x9E3779B97F4A7C15)) ^ (symbol + np.uint64(0x7F4A7C159E3779B9))
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return h ^ (h >> np.uint64(31))
+@dataclass(frozen=True)
+class Shares:
+    """How sequences are shared out among keepers: words by the range of their hash, longer ones over a grid, by the numbers of their context and of their last word.
+
+    A keeper numbers what it keeps in the order of the keys; `given` is, by order, the most numbers that any keeper gave, so keeper and place make one number.
+    """
+
+    parts: int
+    given: tuple[int, ...] = ()
+
+    @property
+    def rows(self) -> int:
+        return math.isqrt(self.parts)
+
+    @property
+    def columns(self) -> int:
+        return self.parts // self.rows
+
+    def numbers(self, order: int) -> int:
+        """All numbers of sequences of `order` symbols are below this."""
+        return (self.parts if order == 1 else self.rows * self.columns) * self.given[order - 1]
+
+    def wide(self) -> int:
+        return self.numbers(1) // self.columns + 1
+
+    def span(self, order: int) -> int:
+        """Keys that a keeper of sequences of `order` symbols may have."""
+        span = (self.numbers(order - 1) // self.rows + 1) * self.wide()
+        if self.rows * self.columns * span >= 1 << 63:
+            raise ValueError(f"keys of {order} symbols don't fit 63 bits")
+        return span
+
+    def keys(self, order: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Keys of sequences of `order` symbols from the numbers of their contexts and last words; each keeper's are in a range of its own."""
+        r, c = self.rows, self.columns
+        return (context % r * c + word % c) * self.span(order) + context // r * self.wide() + word // c
+
+    def limits(self, kind: int) -> np.ndarray:
+        """Where the range of each keeper begins: of keys (kind is the order), or of numbers (minus the order)."""
+        if kind == 1:
+            return np.array([(i << 64) // self.parts for i in range(self.parts)], np.uint64)
+        step, parts = (self.span(kind), self.rows * self.columns) if kind > 0 else (self.given[-kind - 1], self.parts if kind == -1 else self.rows * self.columns)
+        return np.arange(parts, dtype=np.uint64) * np.uint64(step)
 
 
 class _Codes(dict):
@@ -143,9 +184,10 @@ def blocks_of(docs: DataFrame, depth: int, block_tokens: int, id_col: str, text_
 
 
 class Block:
-    """The tokens of a block by position, the hashes of the sequences that end there, and what keepers have answered."""
+    """The tokens of a block by position, and what keepers have answered: counts and numbers of the sequences that end there."""
 
-    def __init__(self, row: dict, depth: int, least: int, threshold: float):
+    def __init__(self, row: dict, depth: int, least: int, threshold: float, shares: Shares):
+        self.shares = shares
         self.depth, self.least, self.threshold, self.number = depth, least, threshold, row["block"]
         self.sizes, self.skips = np.array(row["sizes"], np.int64), np.array(row["skips"], np.int64)
         self.row_ids, self.doc_ids, self.held = row["row_ids"], row["doc_ids"], np.array(row["held"], bool)
@@ -154,25 +196,23 @@ class Block:
         self.place = np.arange(len(self.codes)) - np.repeat(self.starts, self.sizes)
         self.own = self.place >= np.repeat(self.skips, self.sizes)
         self.train = self.own & ~np.repeat(self.held, self.sizes)
-        self.hashes: list[np.ndarray] = [self.vocabulary[self.codes]]
         self.counts: list[np.ndarray] = []
+        self.numbers: list[np.ndarray] = []
 
     def before(self, values: np.ndarray) -> np.ndarray:
         """What stands one position to the left."""
         return np.concatenate([values[:1], values[:-1]])
 
-    def hashed(self, order: int) -> np.ndarray:
-        """Hashes of the sequences of `order` symbols that end at each position."""
-        while len(self.hashes) < order:
-            self.hashes.append(sequence_hash(self.before(self.hashes[-1]), self.hashes[0]))
-        return self.hashes[order - 1]
-
     def asked(self, order: int) -> np.ndarray:
-        """Positions whose sequence of `order` symbols is asked for: the text reaches back so far and, from order 3 on, the context is frequent enough."""
-        there = self.place >= order - 1
-        if order == self.depth + 1 and order > 2:  # of use only after contexts that may be states
-            return there & self.before(self.possible(order - 1))
-        return there & (self.before(self.counts[order - 2]) >= self.least) if order > 2 else there
+        """Positions whose sequence of `order` symbols, 2 or more, is asked for: the text reaches back so far, and the context is frequent enough."""
+        context = self.possible(order - 1) if order == self.depth + 1 else self.counts[order - 2] >= self.least  # the longest are of use only after contexts that may be states
+        return (self.place >= order - 1) & self.before(context)
+
+    def folded(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(positions, sorted keys of the sequences that are asked for, index into them)."""
+        mask = self.asked(order)
+        keys, inverse = np.unique(self.shares.keys(order, self.before(self.numbers[order - 2])[mask], self.numbers[0][mask]), return_inverse=True)
+        return mask, keys.astype(np.uint64), inverse
 
     def possible(self, order: int) -> np.ndarray:
         """Positions where a context of `order` words ends that is frequent enough and may pass the test.
@@ -188,32 +228,33 @@ class Block:
         return frequent
 
     def question(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted hashes of the sequences, and their counts in training texts of this block."""
+        """Sorted keys of the sequences, and their counts in training texts of this block."""
         if order == 1:
             return self.vocabulary, np.bincount(self.codes[self.train], minlength=len(self.vocabulary))
-        mask = self.asked(order)
-        keys, inverse = np.unique(self.hashed(order)[mask], return_inverse=True)
+        mask, keys, inverse = self.folded(order)
         return keys, np.bincount(inverse[self.train[mask]], minlength=len(keys))
 
-    def answer(self, order: int, values: np.ndarray) -> None:
-        """Counts over all training texts by position, from the answers to `question`; 0 where it wasn't asked."""
-        if order == 1:
-            self.counts.append(values[self.codes])
-            return
-        mask = self.asked(order)
-        _, inverse = np.unique(self.hashed(order)[mask], return_inverse=True)
-        found = np.zeros(len(self.codes), np.int64)
-        found[mask] = values[inverse]
-        self.counts.append(found)
+    def answer(self, order: int, told: list[tuple[int, bytes, bytes]]) -> None:
+        """Counts over all training texts and numbers by position, from the answers to `question` by keeper; 0 where it wasn't asked or has no number."""
+        values, numbers = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for part, a, b in told:
+            values.append(spread(a).view(np.int64))
+            if order <= self.depth:
+                numbers.append(np.zeros(len(values[-1]), np.int64))
+                numbers[-1][values[-1] >= numbered(order, self.least)] = part * self.shares.given[order - 1] + spread(b, True).view(np.int64)
+        mask, _, index = (slice(None), None, self.codes) if order == 1 else self.folded(order)
+        for told_, by_place in ((values, self.counts), (numbers, self.numbers))[: 2 if order <= self.depth else 1]:
+            by_place.append(np.zeros(len(self.codes), np.int64))
+            by_place[-1][mask] = np.concatenate(told_)[index]
 
     def candidates(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(positions, sorted hashes of their contexts of `order` words, index into them)."""
+        """(positions, sorted numbers of their contexts of `order` words, index into them)."""
         mask = self.own & (self.place >= order) & self.before(self.possible(order))
-        keys, inverse = np.unique(self.before(self.hashed(order))[mask], return_inverse=True)
-        return mask, keys, inverse
+        keys, inverse = np.unique(self.before(self.numbers[order - 1])[mask], return_inverse=True)
+        return mask, keys.astype(np.uint64), inverse
 
     def evidence(self, order: int, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted hashes of contexts, and what their occurrences here add to the divergence and to the number of different next symbols."""
+        """Sorted numbers of contexts, and what their occurrences here add to the divergence and to the number of different next symbols."""
         mask, keys, inverse = self.candidates(order)
         learns = self.train[mask]
         count, context = self.counts[order][mask][learns], self.before(self.counts[order - 1])[mask][learns]
@@ -241,13 +282,17 @@ class Block:
             yield row, self.doc_ids[i], bool(self.held[i]), int(own[i]), int(known[i]), float(base[i]), float(score[i])
 
 
-def messages(kind: int, block: int, parts: int, keys: np.ndarray, a: np.ndarray, b: np.ndarray | None = None) -> Iterator[tuple]:
+def numbered(order: int, least: int) -> int:
+    """Sequences of `order` symbols that are as frequent as this have numbers: all words, and what may be a context."""
+    return least if order > 1 else 0
+
+
+def messages(kind: int, block: int, limits: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray | None = None) -> Iterator[tuple]:
     """A row for each keeper that has keys in its range."""
-    edges = np.searchsorted(keys, np.array([(i << 64) // parts for i in range(1, parts)], np.uint64))
-    edges = np.concatenate([[0], edges, [len(keys)]])
+    edges = np.append(np.searchsorted(keys, limits), len(keys))
     for part in np.flatnonzero(np.diff(edges)):
         of = slice(edges[part], edges[part + 1])
-        yield kind, int(part), block, squeeze(keys[of], True), squeeze(a[of]), squeeze(b[of]) if b is not None else b""
+        yield kind, int(part), block, squeeze(keys[of] - limits[part], True), squeeze(a[of]), squeeze(b[of]) if b is not None else b""
 
 
 def _table(rows: list[tuple], schema: str) -> pa.Table:
@@ -257,12 +302,13 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, names, strict=True)], [n for n, _ in names])
 
 
-def kept(asked: DataFrame, threshold: float | None = None) -> DataFrame:
-    """Answers to messages: sums of counts or, with a threshold, T of the contexts whose divergence exceeds it. total, distinct: of a keeper, in its first row."""
+def kept(asked: DataFrame, least: int | None = None, threshold: float | None = None) -> DataFrame:
+    """Answers to messages: sums of counts or, with a threshold, T of the contexts whose divergence exceeds it. With `least`, keys of so high a sum are
+    numbered in ascending order, and b has the numbers of those of a message. total, distinct, given (numbers): of a keeper, in its first row."""
 
     def run(group: pa.Table) -> pa.Table:
         keys = [spread(k, True) for k in group["keys"].to_pylist()]
-        sizes = [len(k) for k in keys]
+        ends = np.cumsum([len(k) for k in keys])[:-1]
         every = np.concatenate(keys)
         order = np.argsort(every, kind="stable")
         cuts = np.flatnonzero(np.concatenate([[True], np.diff(every[order]) > 0]))
@@ -271,14 +317,24 @@ def kept(asked: DataFrame, threshold: float | None = None) -> DataFrame:
         def added(column: str) -> np.ndarray:
             return np.add.reduceat(np.concatenate([spread(x) for x in group[column].to_pylist()]).view(np.int64)[order], cuts)
 
+        def told(values: np.ndarray) -> list[np.ndarray]:
+            out = np.empty(len(every), np.int64)
+            out[order] = np.repeat(values, runs)
+            return np.split(out, ends)
+
         sums = added("a")
         if threshold is not None:
             sums = np.where(sums > threshold * LLR_STEP, np.maximum(1, np.rint(added("b") / TYPE_STEP)).astype(np.int64), 0)
-        out = np.empty(len(every), np.int64)
-        out[order] = np.repeat(sums, runs)
-        told = np.split(out, np.cumsum(sizes)[:-1])
-        first = [(int(sums.sum()), int((sums > 0).sum()))] + [(0, 0)] * (len(told) - 1)
-        rows = [(k, p, b, squeeze(x), *f) for k, p, b, x, f in zip(group["kind"].to_pylist(), group["part"].to_pylist(), group["block"].to_pylist(), told, first, strict=True)]
+        given, numbers = 0, [b""] * len(keys)
+        if least is not None:
+            has = sums >= least
+            given = int(has.sum())
+            numbers = [squeeze(x[x >= 0], True) for x in told(np.where(has, np.cumsum(has) - 1, -1))]
+        first = [(int(sums.sum()), int((sums > 0).sum()), given)] + [(0, 0, 0)] * (len(keys) - 1)
+        rows = [
+            (k, p, b, squeeze(x), n, *f)
+            for k, p, b, x, n, f in zip(group["kind"].to_pylist(), group["part"].to_pylist(), group["block"].to_pylist(), told(sums), numbers, first, strict=True)
+        ]
         return _table(rows, _ANSWER)
 
     return asked.groupBy("kind", "part").applyInArrow(run, _ANSWER)
@@ -321,57 +377,55 @@ class Buckets:
 
 def _rounds(blocks: DataFrame, tables: Buckets, depth: int, least: int, threshold: float, parts: int) -> DataFrame:
     written: list[DataFrame] = []
+    given: list[int] = []
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, depth, least, threshold)
-                for order in range(1, min(2, depth + 1) + 1):
-                    yield from _table(list(messages(order, block.number, parts, *block.question(order))), _MESSAGE).to_batches()
-
-    def answers(name: str, asked: DataFrame, limit: float | None = None) -> None:
-        told = kept(asked, limit).repartition(parts, "block")
-        written.append(tables.write(told.groupBy("block").agg(F.collect_list(F.struct("kind", "part", "a", "total", "distinct")).alias(name)), name))
+    def answers(name: str, asked: DataFrame, numbers: int | None = None, limit: float | None = None) -> list[int]:
+        """Sums of total and distinct, and the most numbers of a keeper."""
+        told = kept(asked, numbers, limit).repartition(parts, "block")
+        written.append(tables.write(told.groupBy("block").agg(F.collect_list(F.struct("kind", "part", "a", "b", "total", "distinct", "given")).alias(name)), name))
+        return [int(x or 0) for x in written[-1].selectExpr(f"inline({name})").agg(F.sum("total"), F.sum("distinct"), F.max("given")).first()]
 
     def with_answers(each, schema: str) -> DataFrame:
         """each(block, answers by kind) for every block. Blocks and answers are bucketed alike, so nothing is shuffled again."""
         joined = blocks
         for told in written:
             joined = joined.join(told.hint("merge"), "block", "left")
-        names = [t.columns[1] for t in written]
+        names, shares = [t.columns[1] for t in written], Shares(parts, tuple(given))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches, 1):
                 row = batch.to_pylist()[0]
                 found: dict[int, list] = {}
                 for a in [a for name in names for a in row[name] or []]:
-                    found.setdefault(a["kind"], []).append((a["part"], a["a"]))
-                by_kind = {k: np.concatenate([spread(d) for _, d in sorted(v)]).view(np.int64) for k, v in found.items()}
-                block = Block(row, depth, least, threshold)
-                for order in range(1, answered + 1):
-                    block.answer(order, by_kind.get(order, np.empty(0, np.int64)))
+                    found.setdefault(a["kind"], []).append((a["part"], a["a"], a["b"]))
+                by_kind = {k: sorted(v) for k, v in found.items()}
+                block = Block(row, depth, least, threshold, shares)
+                for order in range(1, min(len(names), depth + 1) + 1):
+                    block.answer(order, by_kind.get(order, []))
                 yield from _table(list(each(block, by_kind)), schema).to_batches()
 
-        answered = upto
         return joined.mapInArrow(run, schema)
 
-    answers("counts_1", blocks.mapInArrow(first, _MESSAGE))
-    totals = written[0].selectExpr("inline(counts_1)").where("kind = 1").agg(F.sum("total"), F.sum("distinct")).first()
-    total, distinct = (int(x or 0) for x in totals)
-    upto = min(2, depth + 1)
-    for order in range(3, depth + 2):
-        asked = with_answers(lambda block, _, order=order: messages(order, block.number, parts, *block.question(order)), _MESSAGE)
-        answers(f"counts_{order}", asked)
-        upto = order
+    total = distinct = 0
+    for order in range(1, depth + 2):
+        asked = with_answers(lambda block, _, order=order: messages(order, block.number, block.shares.limits(order), *block.question(order)), _MESSAGE)
+        sums = answers(f"counts_{order}", asked, numbered(order, least) if order <= depth else None)
+        given.append(sums[2])
+        if order == 1:
+            total, distinct = sums[:2]
+        del asked
+        tables.scratch.free()  # the shuffles of this round, before those of the next
 
     def contexts(block: Block, _) -> Iterator[tuple]:
         for order in range(1, depth + 1):
-            yield from messages(-order, block.number, parts, *block.evidence(order, total))
+            yield from messages(-order, block.number, block.shares.limits(-order), *block.evidence(order, total))
 
-    answers("states", with_answers(contexts, _MESSAGE), threshold)
+    answers("states", with_answers(contexts, _MESSAGE), limit=threshold)
+    tables.scratch.free()
 
-    def scores(block: Block, by_kind: dict[int, np.ndarray]) -> Iterator[tuple]:
-        return block.scores(total, distinct, [by_kind.get(-order, np.empty(0, np.int64)) for order in range(1, depth + 1)])
+    def scores(block: Block, by_kind: dict[int, list]) -> Iterator[tuple]:
+        types = [np.concatenate([np.empty(0, np.int64)] + [spread(a).view(np.int64) for _, a, _ in by_kind.get(-order, [])]) for order in range(1, depth + 1)]
+        return block.scores(total, distinct, types)
 
     pieces_ = with_answers(scores, _SCORES)
     summed = pieces_.groupBy("row_id").agg(
