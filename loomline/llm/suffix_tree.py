@@ -22,7 +22,8 @@ The key of a word is its hash; that of a longer sequence is made of the numbers
 closer than hashes that a sorted list of them takes less than half the room.
 
 So a frequent word or word pair is one number a block in each message, and neither the tree nor the vocabulary ever
-is in one place. Blocks are written once, bucketed by number, so that answers travel to them and not they to the answers.
+is in one place. Blocks are written once, bucketed by number, so that answers travel to them and not they to the answers;
+their hashes of words are let go when these are numbered.
 
 Words are known by 64-bit hashes: with 10^9 different words the odds of any two sharing one are about 1 in 40. Longer sequences are known exactly.
 
@@ -59,7 +60,7 @@ PART_BYTES = 4_000_000
 #: Divergences are added up in steps of 2^-10 nats, parts of T in steps of 2^-20: T is exact for contexts of up to 2^19 occurrences, and off by 2^-21 of them at most beyond.
 LLR_STEP, TYPE_STEP = float(1 << 10), float(1 << 20)
 
-_BLOCK = "block long, row_ids array<long>, doc_ids array<long>, held array<boolean>, sizes array<int>, skips array<int>, vocabulary binary, codes binary"
+_BLOCK = "words int, block long, row_ids array<long>, doc_ids array<long>, held array<boolean>, sizes array<int>, skips array<int>, classes binary, codes binary, keys binary, a binary"
 _MESSAGE = "kind int, part int, block long, keys binary, a binary, b binary"
 _ANSWER = "kind int, part int, block long, a binary, b binary, total long, distinct long, given long"
 _SCORES = "row_id long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -87,7 +88,8 @@ def spread(data: bytes, ascending: bool = False) -> np.ndarray:
 class Shares:
     """How sequences are shared out among keepers: words by the range of their hash, longer ones over a grid, by the numbers of their context and of their last word.
 
-    A keeper numbers what it keeps in the order of the keys; `given` is, by order, the most numbers that any keeper gave, so keeper and place make one number.
+    A keeper numbers what it keeps, words by class of count, then in the order of the keys, longer ones in that order; `given` is, by order, the most numbers
+    that any keeper gave, so keeper and place make one number. Words of one place are neighbours, so that frequent ones have low numbers.
     """
 
     parts: int
@@ -105,6 +107,13 @@ class Shares:
         """All numbers of sequences of `order` symbols are below this."""
         return (self.parts if order == 1 else self.rows * self.columns) * self.given[order - 1]
 
+    def number(self, order: int, part: int, places: np.ndarray) -> np.ndarray:
+        return places * self.parts + part if order == 1 else part * self.given[order - 1] + places
+
+    def by_keeper(self, order: int, numbers: np.ndarray) -> np.ndarray:
+        """Numbers as keys of the keepers' ranges."""
+        return numbers % self.parts * self.given[0] + numbers // self.parts if order == 1 else numbers
+
     def wide(self) -> int:
         return self.numbers(1) // self.columns + 1
 
@@ -128,6 +137,11 @@ class Shares:
         return np.arange(parts, dtype=np.uint64) * np.uint64(step)
 
 
+def classes(counts: np.ndarray) -> np.ndarray:
+    """Classes of counts by powers of two, the greatest first."""
+    return 64 - np.frexp(counts.astype(np.float64))[1].astype(np.int64)
+
+
 class _Codes(dict):
     """Numbers of words, in order of first use."""
 
@@ -137,7 +151,10 @@ class _Codes(dict):
 
 
 def blocks_of(docs: DataFrame, depth: int, block_tokens: int, id_col: str, text_col: str) -> DataFrame:
-    """Blocks of whole texts, or of pieces of long ones: token codes, and the sorted hashes they stand for."""
+    """Blocks of whole texts, or of pieces of long ones, two rows each: token codes (words 0), and the sorted hashes of the words with their counts in training texts (words 1).
+
+    Codes are numbers by class of count in the block, then by hash, so that those of frequent words are low; classes are told in the order of the hashes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 40
@@ -149,16 +166,20 @@ def blocks_of(docs: DataFrame, depth: int, block_tokens: int, id_col: str, text_
         def close() -> pa.RecordBatch:
             nonlocal held, codes, n, number
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, codes), np.uint64, len(codes))
-            order = np.argsort(hashes)
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            ids = rank[np.concatenate([h[-1] for h in held])]
+            tokens = np.concatenate([h[-1] for h in held])
+            trains = np.concatenate([np.arange(h[3]) >= h[4] if not h[2] else np.zeros(h[3], bool) for h in held])
+            of_word = classes(np.bincount(tokens, minlength=len(codes)))
+            by_hash = np.argsort(hashes)
+            code = np.empty(len(codes), np.int64)
+            code[np.lexsort((hashes, of_word))] = np.arange(len(codes))
+            counts = np.bincount(tokens[trains], minlength=len(codes))[by_hash]
             columns = [[h[i] for h in held] for i in range(5)]
-            out = [[number], *[[c] for c in columns], [squeeze(hashes[order], True)], [squeeze(ids)]]
+            coded = [0, number, *columns, squeeze(of_word[by_hash]), squeeze(code[tokens]), None, None]
+            counted = [1, number, *[None] * 7, squeeze(hashes[by_hash], True), squeeze(counts)]
             number += 1
             held, codes, n = [], _Codes(), 0
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], [f.split()[0] for f in _BLOCK.split(", ")])
+            kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32()), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(coded, counted, strict=True), kinds, strict=True)], [f.split()[0] for f in _BLOCK.split(", ")])
 
         for batch in pieces(batches, 256):
             for doc, name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -191,7 +212,8 @@ class Block:
         self.depth, self.least, self.threshold, self.number = depth, least, threshold, row["block"]
         self.sizes, self.skips = np.array(row["sizes"], np.int64), np.array(row["skips"], np.int64)
         self.row_ids, self.doc_ids, self.held = row["row_ids"], row["doc_ids"], np.array(row["held"], bool)
-        self.vocabulary, self.codes = spread(row["vocabulary"], True), spread(row["codes"]).astype(np.int64)
+        self.codes = spread(row["codes"]).view(np.int64)
+        self.by_code = np.argsort(spread(row["classes"]), kind="stable")  # places in the order of the hashes
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])[:-1]
         self.place = np.arange(len(self.codes)) - np.repeat(self.starts, self.sizes)
         self.own = self.place >= np.repeat(self.skips, self.sizes)
@@ -228,29 +250,27 @@ class Block:
         return frequent
 
     def question(self, order: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted keys of the sequences, and their counts in training texts of this block."""
-        if order == 1:
-            return self.vocabulary, np.bincount(self.codes[self.train], minlength=len(self.vocabulary))
+        """Sorted keys of the sequences of `order` symbols, 2 or more, and their counts in training texts of this block."""
         mask, keys, inverse = self.folded(order)
         return keys, np.bincount(inverse[self.train[mask]], minlength=len(keys))
 
     def answer(self, order: int, told: list[tuple[int, bytes, bytes]]) -> None:
-        """Counts over all training texts and numbers by position, from the answers to `question` by keeper; 0 where it wasn't asked or has no number."""
+        """Counts over all training texts and numbers by position, from the answers by keeper; 0 where it wasn't asked or has no number."""
         values, numbers = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for part, a, b in told:
             values.append(spread(a).view(np.int64))
             if order <= self.depth:
                 numbers.append(np.zeros(len(values[-1]), np.int64))
-                numbers[-1][values[-1] >= numbered(order, self.least)] = part * self.shares.given[order - 1] + spread(b, True).view(np.int64)
-        mask, _, index = (slice(None), None, self.codes) if order == 1 else self.folded(order)
+                numbers[-1][numbered(order, values[-1], self.least)] = self.shares.number(order, part, spread(b, True).view(np.int64))
+        mask, _, index = (slice(None), None, self.by_code[self.codes]) if order == 1 else self.folded(order)
         for told_, by_place in ((values, self.counts), (numbers, self.numbers))[: 2 if order <= self.depth else 1]:
             by_place.append(np.zeros(len(self.codes), np.int64))
             by_place[-1][mask] = np.concatenate(told_)[index]
 
     def candidates(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(positions, sorted numbers of their contexts of `order` words, index into them)."""
+        """(positions, sorted numbers (by keeper) of their contexts of `order` words, index into them)."""
         mask = self.own & (self.place >= order) & self.before(self.possible(order))
-        keys, inverse = np.unique(self.before(self.numbers[order - 1])[mask], return_inverse=True)
+        keys, inverse = np.unique(self.shares.by_keeper(order, self.before(self.numbers[order - 1])[mask]), return_inverse=True)
         return mask, keys.astype(np.uint64), inverse
 
     def evidence(self, order: int, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,9 +302,9 @@ class Block:
             yield row, self.doc_ids[i], bool(self.held[i]), int(own[i]), int(known[i]), float(base[i]), float(score[i])
 
 
-def numbered(order: int, least: int) -> int:
-    """Sequences of `order` symbols that are as frequent as this have numbers: all words, and what may be a context."""
-    return least if order > 1 else 0
+def numbered(order: int, counts: np.ndarray, least: int) -> np.ndarray:
+    """Indexes of the sequences of `order` symbols that have numbers, in the order of these: all words, and of longer ones those that may be contexts."""
+    return np.argsort(classes(counts), kind="stable") if order == 1 else np.flatnonzero(counts >= least)
 
 
 def messages(kind: int, block: int, limits: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray | None = None) -> Iterator[tuple]:
@@ -303,8 +323,8 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
 
 
 def kept(asked: DataFrame, least: int | None = None, threshold: float | None = None) -> DataFrame:
-    """Answers to messages: sums of counts or, with a threshold, T of the contexts whose divergence exceeds it. With `least`, keys of so high a sum are
-    numbered in ascending order, and b has the numbers of those of a message. total, distinct, given (numbers): of a keeper, in its first row."""
+    """Answers to messages: sums of counts or, with a threshold, T of the contexts whose divergence exceeds it. With `least`, keys are
+    numbered as `numbered` says, and b has the numbers of those of a message. total, distinct, given (numbers): of a keeper, in its first row."""
 
     def run(group: pa.Table) -> pa.Table:
         keys = [spread(k, True) for k in group["keys"].to_pylist()]
@@ -327,9 +347,11 @@ def kept(asked: DataFrame, least: int | None = None, threshold: float | None = N
             sums = np.where(sums > threshold * LLR_STEP, np.maximum(1, np.rint(added("b") / TYPE_STEP)).astype(np.int64), 0)
         given, numbers = 0, [b""] * len(keys)
         if least is not None:
-            has = sums >= least
-            given = int(has.sum())
-            numbers = [squeeze(x[x >= 0], True) for x in told(np.where(has, np.cumsum(has) - 1, -1))]
+            kind = int(group["kind"][0].as_py())
+            has = numbered(kind, sums, least)
+            given, places = len(has), np.full(len(sums), -1)
+            places[has] = np.arange(given)
+            numbers = [squeeze(x[numbered(kind, n, least)], True) for x, n in zip(told(places), told(sums), strict=True)]
         first = [(int(sums.sum()), int((sums > 0).sum()), given)] + [(0, 0, 0)] * (len(keys) - 1)
         rows = [
             (k, p, b, squeeze(x), n, *f)
@@ -351,7 +373,7 @@ def scored(
     parts = parts or max(8, -(-size // PART_BYTES))
     tables = Buckets(scratch, parts)
     try:
-        blocks = tables.write(texts, "blocks")
+        blocks = tables.write(texts, "blocks", "words")
         final = scratch.table(_rounds(blocks, tables, depth, least, threshold, parts), "scores")
     finally:
         tables.drop()
@@ -364,9 +386,10 @@ class Buckets:
     def __init__(self, scratch: Scratch, parts: int):
         self.scratch, self.parts, self.names = scratch, parts, {}
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """by: columns whose values have folders of their own."""
         self.names[name] = table = f"loomline_{name}_{uuid.uuid4().hex}"
-        df.write.bucketBy(self.parts, "block").option("path", self.scratch.path(name)).option("compression", "zstd").saveAsTable(table)
+        df.write.partitionBy(*by).bucketBy(self.parts, "block").option("path", self.scratch.path(name)).option("compression", "zstd").saveAsTable(table)
         return self.scratch.spark.table(table)
 
     def drop(self) -> None:
@@ -379,15 +402,15 @@ def _rounds(blocks: DataFrame, tables: Buckets, depth: int, least: int, threshol
     written: list[DataFrame] = []
     given: list[int] = []
 
-    def answers(name: str, asked: DataFrame, numbers: int | None = None, limit: float | None = None) -> list[int]:
+    def answers(name: str, asked: DataFrame, least: int | None = None, limit: float | None = None) -> list[int]:
         """Sums of total and distinct, and the most numbers of a keeper."""
-        told = kept(asked, numbers, limit).repartition(parts, "block")
+        told = kept(asked, least, limit).repartition(parts, "block")
         written.append(tables.write(told.groupBy("block").agg(F.collect_list(F.struct("kind", "part", "a", "b", "total", "distinct", "given")).alias(name)), name))
         return [int(x or 0) for x in written[-1].selectExpr(f"inline({name})").agg(F.sum("total"), F.sum("distinct"), F.max("given")).first()]
 
     def with_answers(each, schema: str) -> DataFrame:
         """each(block, answers by kind) for every block. Blocks and answers are bucketed alike, so nothing is shuffled again."""
-        joined = blocks
+        joined = blocks.where("words = 0")
         for told in written:
             joined = joined.join(told.hint("merge"), "block", "left")
         names, shares = [t.columns[1] for t in written], Shares(parts, tuple(given))
@@ -406,14 +429,24 @@ def _rounds(blocks: DataFrame, tables: Buckets, depth: int, least: int, threshol
 
         return joined.mapInArrow(run, schema)
 
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limits = Shares(parts).limits(1)
+        for batch in pieces(batches, 1):
+            row = batch.to_pylist()[0]
+            yield from _table(list(messages(1, row["block"], limits, spread(row["keys"], True), spread(row["a"]))), _MESSAGE).to_batches()
+
     total = distinct = 0
     for order in range(1, depth + 2):
-        asked = with_answers(lambda block, _, order=order: messages(order, block.number, block.shares.limits(order), *block.question(order)), _MESSAGE)
-        sums = answers(f"counts_{order}", asked, numbered(order, least) if order <= depth else None)
+        if order == 1:
+            asked = blocks.where("words = 1").select("block", "keys", "a").mapInArrow(words, _MESSAGE)
+        else:
+            asked = with_answers(lambda block, _, order=order: messages(order, block.number, block.shares.limits(order), *block.question(order)), _MESSAGE)
+        sums = answers(f"counts_{order}", asked, least if order <= depth else None)
         given.append(sums[2])
+        del asked
         if order == 1:
             total, distinct = sums[:2]
-        del asked
+            tables.scratch.drop("blocks/words=1")
         tables.scratch.free()  # the shuffles of this round, before those of the next
 
     def contexts(block: Block, _) -> Iterator[tuple]:
