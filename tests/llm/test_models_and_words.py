@@ -85,6 +85,28 @@ def test_tree_on_odd_tables(spark):
     assert scores(spark.createDataFrame([(held, "all held out")], "doc_id long, text string")) == [(held, True, 4, 0, 0, 0.0, 0.0)]
 
 
+def test_tree_sends_numbers_of_sequences_not_their_hashes(spark):
+    def shuffled():
+        found = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before = shuffled()
+    suffix_tree.scored(docs)
+    assert 0 < shuffled() - before < 2_000_000  # 64-bit hashes of word pairs and triples took 2.8 MB
+
+
+def test_keys_of_sequences_are_exact_and_each_has_one_keeper():
+    shares = suffix_tree.Shares(7, (5, 3))
+    for order in (2, 3):
+        context, word = (x.ravel() for x in np.meshgrid(np.arange(shares.numbers(order - 1)), np.arange(shares.numbers(1))))
+        keys, limits = shares.keys(order, context, word), shares.limits(order)
+        assert len(np.unique(keys)) == len(keys) and keys.max() < limits[-1] + shares.span(order)
+        assert len(np.unique(np.searchsorted(limits, keys.astype(np.uint64), "right"))) == len(limits)
+    words = np.concatenate([shares.number(1, part, np.arange(5)) for part in range(7)])
+    assert sorted(words) == list(range(35)) and (np.diff(shares.by_keeper(1, words)) > 0).all()
+
+
 def test_squeezed_values_come_back():
     v = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2))
     for x in (v, v[:1], v[:0]):
