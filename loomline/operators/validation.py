@@ -75,30 +75,41 @@ def revisits(edge: DataFrame, nodes: DataFrame, depth: int = DEPTH) -> DataFrame
     return every.groupBy("cache_id", "node_id", "child_id").agg(F.sum("c").alias("c")).where("c > 1").select("cache_id", "node_id").distinct()
 
 
-def violations(nodes: DataFrame, provenance: bool = True) -> DataFrame:
-    """(cache_id, node_id, rule, severity, detail) of all broken rules."""
-    n = nodes
-    edge = edges(n)
-    card, leaf = F.col("node_type") == "position_card", F.col("node_type") == "leaf_chunk"
-    no_children = F.size(F.coalesce("child_ids", F.array().cast("array<string>"))) == 0
+def _no_children() -> Column:
+    return F.size(F.coalesce("child_ids", F.array().cast("array<string>"))) == 0
+
+
+def field_violations(nodes: DataFrame) -> DataFrame:
+    """As violations, of the rules on a node's own fields and on the types that a cache must have; texts, ids and links aren't judged."""
+    n, card = nodes, F.col("node_type") == "position_card"
 
     def blank(c: str) -> Column:
         return F.col(c).isNull() | (F.col(c).cast("string") == "")
 
-    repeated = n.withColumn("c", F.count("*").over(Window.partitionBy("cache_id", "node_id"))).where("c > 1")
-    found = [_rows(n.where(collapse("page_content") == ""), "empty_content"), _rows(repeated, "duplicate_node_id")]
-    found += [_rows(n.where(blank(f)), "missing_field", detail=F.lit(f)) for f in REQUIRED_FIELDS if f in n.columns]
+    found = [_rows(n.where(blank(f)), "missing_field", detail=F.lit(f)) for f in REQUIRED_FIELDS if f in n.columns]
     found += [
         _rows(n.where(blank("episode_date")), "missing_episode_date", "warning"),
         _rows(n.where(card & (blank("speaker") | ~F.col("speaker_scope").eqNullSafe(F.lit("single")))), "card_without_single_speaker"),
         _rows(n.where(card & blank("claim")), "card_without_claim"),
-        _rows(n.where(card & no_children), "card_without_evidence", "warning"),
-        _rows(missing_children(edge, n), "missing_child", detail=F.col("child_id")),
-        _rows(n.where(~leaf & is_missing_context("page_content")), "missing_context_text"),
+        _rows(n.where(card & _no_children()), "card_without_evidence", "warning"),
     ]
     types = n.groupBy("cache_id").agg(F.collect_set("node_type").alias("types"))
     lacking = types.select("cache_id", F.lit(None).cast("string").alias("node_id"), F.explode(F.array_except(F.array(*[F.lit(t) for t in REQUIRED_TYPES]), "types")).alias("t"))
-    found.append(_rows(lacking, "missing_node_type", detail=F.col("t")))
+    return reduce(DataFrame.unionByName, [*found, _rows(lacking, "missing_node_type", detail=F.col("t"))])
+
+
+def violations(nodes: DataFrame, provenance: bool = True) -> DataFrame:
+    """(cache_id, node_id, rule, severity, detail) of all broken rules."""
+    n = nodes
+    edge, leaf, no_children = edges(n), F.col("node_type") == "leaf_chunk", _no_children()
+    repeated = n.withColumn("c", F.count("*").over(Window.partitionBy("cache_id", "node_id"))).where("c > 1")
+    found = [
+        field_violations(n),
+        _rows(n.where(collapse("page_content") == ""), "empty_content"),
+        _rows(repeated, "duplicate_node_id"),
+        _rows(missing_children(edge, n), "missing_child", detail=F.col("child_id")),
+        _rows(n.where(~leaf & is_missing_context("page_content")), "missing_context_text"),
+    ]
     if provenance:
         nothing = (F.size(F.coalesce("source_segment_ids", F.array().cast("array<string>"))) == 0) & (F.col("start_time").isNull() | F.col("end_time").isNull())
         unclosed = n.where(~leaf).join(evidence_closure(edge, n).select("cache_id", "node_id"), ["cache_id", "node_id"], "left_anti")

@@ -313,3 +313,15 @@ def test_queries_match_sql(spark, name):
     from tests.compare import compare
 
     assert compare(spark, "/root/testdata/sf0.001", QUERIES[name], SQL[name]) == ""
+
+
+def test_required_fields_of_odd_rows_match_sql(spark, tmp_path):
+    """Repeated ids, empty texts, texts that ask for their input, and nulls: none of them is a rule of the SQL."""
+    from loomline.plans.oracles import SQL
+    from loomline.plans.queries import QUERIES
+    from tests.compare import compare
+
+    rows = [(i, "en" if i % 3 else "fr", "a", "some text") for i in range(40)]
+    rows += [(7, "en", "a", "again"), (7, "en", "a", "again"), (8, "en", "b", "  "), (9, "en", "b", None), (10, "en", "b", "Please provide the transcript."), (None, "en", "a", "x"), (12, None, "c", "x"), (13, "", "d", "x"), (14, "en", "", "x"), (15, "en", None, "x"), (-18, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert compare(spark, str(tmp_path), QUERIES["required_fields"], SQL["required_fields"]) == ""
