@@ -7,6 +7,8 @@ so no posting list is ever one row or one group.
 A query needs its best k documents. The greatest weights of its words bound what any document of a block can score: the
 blocks of highest bounds are scored first, and of the others only those whose bound reaches the k-th score found there.
 Nothing is approximate: a block that is skipped can't hold a better document.
+
+Where the queries are known before, `best_documents` needs no index: documents stay where they are, queries are sent to them.
 """
 
 from __future__ import annotations
@@ -14,8 +16,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +34,9 @@ BLOCK_DOCS = 4096
 #: Constant of reciprocal rank fusion.
 FUSION = 60
 
+#: Queries that are held at once, and parts of the documents, each of which gives its k best of every query: both bound what is held and sent.
+QUERIES, PARTS = 1 << 14, 64
+
 #: Texts that are counted at once.
 _ROWS = 256
 _COUNTS = "array<struct<term:string,n:bigint>>"
@@ -139,6 +147,93 @@ def search(index: LexicalIndex, asked: DataFrame, k: int = 50, first: int = 2) -
     return _best(best.drop("rank").unionByName(scored(rest).drop("rank")), k).select("query_id", "rank", "document_id", "score")
 
 
+def best_documents(terms: DataFrame, asked: DataFrame, k: int = 50, queries: int = QUERIES, parts: int = PARTS) -> DataFrame:
+    """As search in index_of(terms, asked), for ids that are whole numbers, with no posting in a shuffle.
+
+    A pass keeps the numbers of asked words only, as integers and where the documents are; a second one scores them and gives the k best of each part.
+    Queries beyond `queries` are dealt into groups, which have passes of their own.
+    """
+    kinds = dict(asked.dtypes)["query_id"], dict(terms.dtypes)["document_id"]
+    asked = cut(asked.select(F.col("query_id").cast("long").alias("query_id"), "term"))
+    turns = max(1, -(-asked.select("query_id").distinct().count() // queries))
+    terms = cut(terms) if turns > 1 else terms
+    found = [_best_of(terms, asked.where(F.pmod(F.xxhash64("query_id"), F.lit(turns)) == turn), k, parts) for turn in range(turns)]
+    every = _best(reduce(DataFrame.unionByName, found), k)
+    return every.select(F.col("query_id").cast(kinds[0]).alias("query_id"), "rank", F.col("document_id").cast(kinds[1]).alias("document_id"), "score")
+
+
+def _best_of(terms: DataFrame, asked: DataFrame, k: int, parts: int) -> DataFrame:
+    """(query_id, document_id, score): at least the k best of each query, of queries that fit into memory."""
+    context = terms.sparkSession.sparkContext
+    rows = sorted((r.query_id, r.term) for r in asked.collect())
+    vocabulary = sorted({term for _, term in rows})
+    number = {term: i for i, term in enumerate(vocabulary)}
+    ids, starts = np.unique(np.array([q for q, _ in rows], np.int64), return_index=True)
+    held = context.broadcast((vocabulary, ids, starts, np.array([number[term] for _, term in rows], np.int64)))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.array(held.value[0], pa.string())
+        for batch in batches:
+            lists = batch.column(1)
+            each, ends = lists.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            n = each.field(1).to_numpy()
+            at = pc.index_in(each.field(0).cast(pa.string()), value_set=words)
+            hit = pc.is_valid(at).to_numpy(zero_copy_only=False)
+            sizes = np.diff(np.concatenate([[0], np.cumsum(n)])[ends])
+            own = np.concatenate([[0], np.cumsum(hit)])[ends].astype(np.int32)
+            t, n = at.drop_null().cast(pa.int32()), pa.array(n[hit].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.ListArray.from_arrays(own, t), pa.ListArray.from_arrays(own, n)], ["document_id", "size", "t", "n"])
+
+    counts = cut(terms.select(F.col("document_id").cast("long").alias("document_id"), "counts").mapInArrow(kept, "document_id long, size long, t array<int>, n array<int>"))
+    docs, size = counts.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    df = np.zeros(len(vocabulary))
+    for t, n in counts.select(F.explode("t").alias("t")).groupBy("t").agg(F.count("*")).collect():
+        df[t] = n
+    rare, mean = context.broadcast(np.log1p((docs - df + 0.5) / (df + 0.5))), size / docs if size else 1.0
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, ids, starts, asked = held.value
+        stops = np.append(starts[1:], len(asked))
+        best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, np.int64))] * len(ids)
+        reach = np.zeros(len(ids))
+        for batch in (whole.slice(at, BLOCK_DOCS) for whole in batches for at in range(0, whole.num_rows, BLOCK_DOCS)):
+            lists = batch.column(2)
+            t, n = lists.flatten().to_numpy(), batch.column(3).flatten().to_numpy().astype(np.float64)
+            if not len(t) or not len(ids):
+                continue
+            document = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            names, long = batch.column(0).to_numpy(), batch.column(1).to_numpy()[document]
+            w = rare.value[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * long / mean))
+            order = np.argsort(t, kind="stable")
+            t, document, w = t[order], document[order], w[order]
+            ends = np.searchsorted(t, np.arange(len(rare.value) + 1))
+            # the greatest weights of a query's words bound what any document here can score
+            top, there = np.zeros(len(rare.value)), np.flatnonzero(np.diff(ends))
+            top[there] = np.maximum.reduceat(w, ends[there])
+            bound = np.add.reduceat(top[asked], starts)
+            for q in np.flatnonzero((bound > 0) & (bound >= reach - 1e-8)):
+                score = np.zeros(batch.num_rows)
+                for a in asked[starts[q] : stops[q]]:
+                    score[document[ends[a] : ends[a + 1]]] += w[ends[a] : ends[a + 1]]
+                near = np.flatnonzero((score > 0) & (score >= reach[q] - 1e-8) & (names != ids[q]))
+                if not len(near):
+                    continue
+                s, i = np.concatenate([best[q][0], score[near]]), np.concatenate([best[q][1], names[near]])
+                if len(s) > k:
+                    rounded = np.round(s, 9)
+                    some = np.flatnonzero(rounded >= np.partition(rounded, len(s) - k)[len(s) - k])
+                    some = some[np.lexsort((i[some], -rounded[some]))][:k]
+                    s, i = s[some], i[some]
+                best[q] = s, i
+                reach[q] = s.min() if len(s) == k else 0.0
+        for at in range(0, len(ids), _ROWS):
+            several = best[at : at + _ROWS]
+            asking = np.repeat(ids[at : at + _ROWS], [len(s) for s, _ in several])
+            yield pa.RecordBatch.from_arrays([pa.array(asking), pa.array(np.concatenate([i for _, i in several])), pa.array(np.concatenate([s for s, _ in several]))], ["query_id", "document_id", "score"])
+
+    return counts.coalesce(parts).mapInArrow(scored, "query_id long, document_id long, score double")
+
+
 def fuse(runs: dict[str, DataFrame], constant: int = FUSION, k: int = 50) -> DataFrame:
     """Reciprocal rank fusion of runs (query_id, rank, document_id) by name: rank, score and each run's own rank."""
     named = [run.select("query_id", "document_id", F.lit(name).alias("run"), F.col("rank").cast("long").alias("place")) for name, run in runs.items()]

@@ -125,3 +125,27 @@ def test_recall_of_the_registered_index(spark):
 
     found = QUERIES["vector_recall"](spark, "/root/testdata/sf0.1").collect()
     assert len(found) >= 20 and sum(r.recall for r in found) / len(found) >= 0.9
+
+
+@pytest.mark.parametrize("queries, parts", [(7, 3), (1 << 14, 1)])
+def test_known_queries_need_no_postings_in_shuffles(spark, queries, parts):
+    rng = random.Random(queries)
+    vocabulary = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(rng.choices(vocabulary, weights=[1 / (j + 1) for j in range(40)], k=rng.choice([1, 3, 10, 80])))) for i in range(300)]
+    docs += [(300 + i, "w39 w38 w0") for i in range(30)] + [(-5, "w1 w2"), (400, None), (401, ""), (402, "!!"), (403, "W7, w7; W8"), (None, "w1")]
+    asked = {i: set(rng.sample(vocabulary, 3)) for i in range(0, 300, 11)} | {400: {"w0", "nowhere"}, 403: {"nowhere"}}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    terms = spark.createDataFrame([(q, t) for q, ts in asked.items() for t in ts], "query_id long, term string")
+    got = retrieval.best_documents(retrieval.document_terms(df), terms, 10, queries, parts)
+    want = plain_bm25([d for d in docs if d[0] is not None], asked, 10)
+    assert by_query(got) == {q: ids for q, ids in want.items() if ids}
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert retrieval.best_documents(retrieval.document_terms(df), terms.limit(0), 10).collect() == []
+    assert retrieval.best_documents(retrieval.document_terms(df.limit(0)), terms, 10).collect() == []
+
+
+def test_lexical_results_shuffle_no_postings(spark):
+    from loomline.plans.queries import QUERIES
+
+    plan = QUERIES["lexical_results"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
