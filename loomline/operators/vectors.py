@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import let
-from .lineage import cut
+from .lineage import cut, drop
 from .retrieval import document_terms
 
 #: Hashed features, and dimensions that they are added into.
@@ -145,6 +145,7 @@ def vector_index(vectors: DataFrame, cells: int = CELLS, sample: int = SAMPLE, c
     if not len(found):
         return VectorIndex(units.selectExpr("0L as cell", "0L as part", "*"), units.selectExpr("0L as cell", "1L as parts").limit(0), found)
     placed = cut(_near_cells(units, "document_id", found, 1))
+    drop(units)
     parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / cell_rows).alias("parts"))
     rows = placed.join(F.broadcast(parts), "cell").select("cell", F.pmod(F.xxhash64("document_id"), "parts").alias("part"), "document_id", "v")
     return VectorIndex(rows, parts, found)

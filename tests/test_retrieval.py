@@ -149,3 +149,18 @@ def test_lexical_results_shuffle_no_postings(spark):
 
     plan = QUERIES["lexical_results"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fused_results_keep_vectors_once_and_no_words(spark):
+    import os
+
+    from loomline.operators.lineage import scratch_root
+    from loomline.plans.oracles import SQL
+    from loomline.plans.queries import QUERIES
+    from tests.compare import compare
+
+    root = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert compare(spark, "/root/testdata/sf0.001", QUERIES["fused_results"], SQL["fused_results"]) == ""
+    columns = [set(spark.read.parquet(f"file:{root}/{d}").columns) for d in set(os.listdir(root)) - before]
+    assert sum("v" in c for c in columns) == 1 and not any("counts" in c or "f" in c for c in columns)
